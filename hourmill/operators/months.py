@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import batch_month, batch_year, month_span, month_tag, parse_instant
+from ..functions import month_span, month_tag, parse_instant
 from ..session import require_utc
 from ..spec import GERMAN_POWER
 
@@ -45,16 +45,16 @@ def list_batches(
     holds rows of it, so that a later read can be limited to those.
     """
     require_utc(df)
-    tagged = df.select(
-        month_tag(instant_of(df, column, on_error)).alias("batch_id"),
+    rows = df.select(
+        F.date_trunc("month", instant_of(df, column, on_error)).alias("_month"),
         *([F.col(folder).alias("_folder")] if folder else []),
-    ).where(F.col("batch_id").isNotNull())
+    ).where(F.col("_month").isNotNull())
     span = [F.min("_folder").alias("first_folder"), F.max("_folder").alias("last_folder")]
-    found = tagged.groupBy("batch_id").agg(*span) if folder else tagged.distinct()
+    found = rows.groupBy("_month").agg(*span) if folder else rows.distinct()
     return found.select(
-        "batch_id",
-        batch_year(F.col("batch_id")).alias("year"),
-        batch_month(F.col("batch_id")).alias("month"),
+        month_tag(F.col("_month")).alias("batch_id"),
+        F.year("_month").alias("year"),
+        F.month("_month").alias("month"),
         *(["first_folder", "last_folder"] if folder else []),
     )
 

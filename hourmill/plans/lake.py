@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import spec as names
 from ..session import require_utc
@@ -14,8 +15,9 @@ from . import control
 class Lake:
     """Bronze, Silver, three daily tables and the control table.
 
-    Bronze is foldered by batch, Silver by year and month, daily tables by
-    month, control by year.
+    Bronze is foldered by batch, Silver by year and month. The daily tables have
+    one row per day and the control table one per month whatever the volume of
+    hourly rows, so both are foldered by year to keep files from being tiny.
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: SeriesSpec = GERMAN_POWER):
@@ -44,23 +46,24 @@ class Lake:
         return MonthTable(self.spark, f"{self.root}/{place}", keys, folders, **options)
 
     def _daily(self, name: str) -> MonthTable:
-        month = {"event_month": "date_format(event_date, 'yyyy-MM')"}
-        return self._table(f"gold/{name}", ["event_date"], month, hidden=True)
+        return self._table(f"gold/{name}", ["event_date"], {"event_year": "year(event_date)"}, hidden=True)
 
     def control_state(self) -> DataFrame:
         """Rows of the control table, none before the first attempt."""
-        if not self.control.exists():
-            return control.empty(self.spark)
-        return self.control.read().select(*control.SCHEMA.names)
+        rows = self.control.read_if_exists()
+        return control.empty(self.spark) if rows is None else rows.select(*control.SCHEMA.names)
 
-    def save_control(self, state: DataFrame, batches: list[str]) -> None:
-        """Write the control rows of the years in which some batches lie."""
+    def save_control(self, state: DataFrame, batches: list[str]) -> dict[str, int]:
+        """Write the control rows of the years some batches lie in; counts how many of them are completed."""
         years = sorted({int(b[:4]) for b in batches})
-        self.control.overwrite_folders(state.where(state["year"].isin(years)), spread=False)
+        done = F.col("batch_id").isin(batches) & (F.col("status") == control.COMPLETED)
+        rows = state.where(F.col("year").isin(years))
+        return self.control.overwrite_folders(rows, spread=False, metrics={"completed": done})
 
     def register_views(self) -> None:
         """Name the existing tables for SQL: temporary views under the table names."""
         for table in (self.bronze, self.silver, self.load, self.generation, self.share):
-            if table.exists():
-                table.read().createOrReplaceTempView(table.path.rsplit("/", 1)[1])
+            rows = table.read_if_exists()
+            if rows is not None:
+                rows.createOrReplaceTempView(table.path.rsplit("/", 1)[1])
         self.control_state().createOrReplaceTempView(names.CONTROL_TABLE)

@@ -54,9 +54,10 @@ def transform_silver(lake: Lake, batches: Sequence[str], on_error: str = "raise"
     Which old rows give way follows from the keys alone, so these are taken
     from Bronze without the deduplication.
     """
-    if not lake.bronze.exists():
+    bronze = lake.bronze.read_if_exists()
+    if bronze is None:
         return dict.fromkeys(batches, 0), {}
-    source = scan_batch(lake.bronze.read(), batches)
+    source = scan_batch(bronze, batches)
     rows = silver_batch(source, lake.spec, on_error=on_error)
     measures = scoped_columns(rows, lake.spec.typed_prefix)
     counts = lake.silver.merge(
@@ -75,10 +76,11 @@ def aggregate_gold(lake: Lake, batches: Sequence[str]) -> None:
     The three tables share one set of daily sums, a row per day, which is kept
     while they are written.
     """
-    totals = daily_totals(scan_batch(lake.silver.read(), batches), lake.spec) if lake.silver.exists() else None
-    if totals is None:
+    silver = lake.silver.read_if_exists()
+    if silver is None:
         raise ValueError(f"no clean rows for {', '.join(batches)}")
-    totals = totals.persist(StorageLevel.MEMORY_AND_DISK)
+    years = sorted({b[:4] for b in batches})
+    totals = daily_totals(scan_batch(silver, batches), lake.spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         month = F.date_format("event_date", "yyyy-MM").alias("month")
         present = {r["month"] for r in totals.select(month).distinct().collect()}
@@ -90,7 +92,7 @@ def aggregate_gold(lake: Lake, batches: Sequence[str]) -> None:
             (lake.generation, generation_summary(totals, lake.spec)),
             (lake.share, share_summary(totals, lake.spec)),
         ):
-            table.merge(daily, touched=batches, spread=False)
+            table.merge(daily, touched=years, spread=False)
     finally:
         totals.unpersist()
 
@@ -110,10 +112,8 @@ def _process(lake: Lake, landing: Landing, batches: list[str], folders, as_of, o
         lake.save_control(control.fail(lake.control_state(), batches, str(error), as_of), batches)
         raise
     aggregate_gold(lake, batches)
-    state = lake.control_state()
-    completed = control.completable(state, batches).count()
-    lake.save_control(control.complete(state, batches, as_of), batches)
-    return BatchReport(tuple(batches), bronze, silver, nulls, completed)
+    counted = lake.save_control(control.complete(lake.control_state(), batches, as_of), batches)
+    return BatchReport(tuple(batches), bronze, silver, nulls, counted["completed"])
 
 
 def run_batch(

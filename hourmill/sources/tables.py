@@ -44,10 +44,14 @@ class MonthTable:
         return self._stored() is not None
 
     def read(self) -> DataFrame:
-        stored = self._stored()
-        if stored is None:
+        rows = self.read_if_exists()
+        if rows is None:
             raise ValueError(f"no table at {self.path}")
-        return self._visible(stored)
+        return rows
+
+    def read_if_exists(self) -> DataFrame | None:
+        stored = self._stored()
+        return None if stored is None else self._visible(stored)
 
     def _stored(self) -> DataFrame | None:
         try:
@@ -95,9 +99,9 @@ class MonthTable:
         """Upsert by key, or create the table; returns counts of source rows per metric.
 
         Only folders of the source are read and rewritten. ``touched`` names
-        them when the caller knows them (``yyyy-MM`` or ``year/month`` values
-        joined by ``/``), otherwise they are looked up. While none of them holds
-        rows yet, the source is written as it is, without any join.
+        them when the caller knows them (folder values as text, joined by ``/``),
+        otherwise they are looked up. While none of them holds rows yet, the
+        source is written as it is, without any join.
         ``match_on`` may give the source's keys more cheaply than the source.
         """
         incoming = self._in_folders(unique_source(source, self.keys, on_duplicate, latest_by))
