@@ -10,13 +10,13 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import scoped_columns
+from ..operators.cleaning import normalize_names, parse_timestamps, scoped_columns
 from ..operators.daily import daily_totals, generation_summary, load_summary, share_summary
 from ..operators.months import list_batches, scan_batch
 from ..sources.landing import Landing
 from . import control
 from .lake import Lake
-from .layers import bronze_batch, silver_batch, typed_rows
+from .layers import bronze_batch, silver_batch
 
 
 @dataclass(frozen=True)
@@ -51,8 +51,8 @@ def ingest_bronze(lake: Lake, raw: DataFrame, batches: Sequence[str], as_of=None
 def transform_silver(lake: Lake, batches: Sequence[str], on_error: str = "raise"):
     """Upsert some months of Bronze into Silver; returns rows per batch and null counts per column.
 
-    Which old rows give way follows from the keys alone, so these are taken
-    from Bronze without the deduplication.
+    Which old rows give way follows from the keys alone, so these are read from
+    Bronze by themselves, without the measures and the deduplication.
     """
     bronze = lake.bronze.read_if_exists()
     if bronze is None:
@@ -62,7 +62,7 @@ def transform_silver(lake: Lake, batches: Sequence[str], on_error: str = "raise"
     measures = scoped_columns(rows, lake.spec.typed_prefix)
     counts = lake.silver.merge(
         rows,
-        match_on=typed_rows(source, lake.spec, on_error),
+        match_on=normalize_names(parse_timestamps(source.select(*lake.spec.time_columns), lake.spec, on_error)),
         touched=[f"{int(b[:4])}/{int(b[5:])}" for b in batches],
         spread=len(batches) > 1,
         metrics=_per_batch(batches) | {f"null {m}": F.col(m).isNull() for m in measures},

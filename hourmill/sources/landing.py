@@ -18,11 +18,16 @@ from pyspark.sql import types as T
 _ONE_SPLIT_PER_FILE = str(1 << 50)
 
 
-def _first_line(batches):
-    for batch in batches:
-        if len(batch):
-            yield batch.head(1)
-            return
+def first_line_of_task():
+    """A function on a task's batches, local so that it travels to workers by value."""
+
+    def first_line(batches):
+        for batch in batches:
+            if len(batch):
+                yield batch.head(1)
+                return
+
+    return first_line
 
 
 def _names(header: str) -> list[str]:
@@ -98,7 +103,7 @@ class Landing:
         firsts = (
             reader.read.text(pattern)
             .select("value", F.col("_metadata.file_path").alias("path"))
-            .mapInPandas(_first_line, "value string, path string")
+            .mapInPandas(first_line_of_task(), "value string, path string")
             .select("value", "path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
         )
         found = firsts.groupBy("folder", "value").count().orderBy("folder", "value").collect()

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.cleaning import named
 from ..operators.mutations import conform, unique_source
@@ -39,6 +40,7 @@ class MonthTable:
         self.spark, self.path = spark, path
         self.keys, self.folders = tuple(keys), dict(folders)
         self.hidden, self.last = hidden, tuple(last)
+        self._schema: StructType | None = None
 
     def exists(self) -> bool:
         return self._stored() is not None
@@ -54,12 +56,16 @@ class MonthTable:
         return None if stored is None else self._visible(stored)
 
     def _stored(self) -> DataFrame | None:
+        """All rows with their folder columns, or None without a table; the schema is looked up once."""
+        reader = self.spark.read if self._schema is None else self.spark.read.schema(self._schema)
         try:
-            return self.spark.read.parquet(self.path)
+            stored = reader.parquet(self.path)
         except AnalysisException as problem:
             if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
+        self._schema = stored.schema
+        return stored
 
     def _visible(self, stored: DataFrame) -> DataFrame:
         dropped = set(self.folders) if self.hidden else set()

@@ -1,10 +1,15 @@
 """CSV year folders: headers that differ, missing folders, lineage."""
 
+import subprocess
+import sys
+
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from hourmill import Landing
+from hourmill.sources.landing import first_line_of_task
 
 
 @pytest.fixture
@@ -97,3 +102,9 @@ def test_the_session_settings_stay(spark, put):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     Landing(spark, put.root).scan().collect()
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_workers_do_not_need_the_package(tmp_path):
+    sent = cloudpickle.dumps(first_line_of_task())
+    load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'hourmill' not in sys.modules"
+    subprocess.run([sys.executable, "-c", load], input=sent, cwd=tmp_path, check=True, timeout=60)
