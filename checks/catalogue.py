@@ -249,14 +249,14 @@ def _daily_tables(lake: Lake) -> DataFrame:
     return lake.load.read().join(lake.generation.read(), "event_date").join(share, "event_date")
 
 
-def pipeline_one_batch(spark, d):
+def run_one_batch(spark, d):
     lake = Lake(spark, inputs.new_folder(spark))
     lake.control.overwrite_folders(inputs.control_rows(spark, d))
     run_batch(lake, _landing(spark, d), as_of=RUN_TIME)
     return _daily_tables(lake)
 
 
-def pipeline_all_batches(spark, d):
+def run_all_batches(spark, d):
     lake = Lake(spark, inputs.new_folder(spark))
     run_pending(lake, _landing(spark, d), as_of=RUN_TIME)
     return _daily_tables(lake)
@@ -314,6 +314,6 @@ QUERIES: dict[str, Query] = {
     "v2_bronze_counts": _on(inputs.hourly_batches, analytics.rows_per_batch),
     "v3_silver_counts": _on(inputs.hourly_batches, analytics.rows_per_month),
     "v4_share_preview": _on(_share, analytics.share_preview),
-    "pipeline_one_batch": pipeline_one_batch,
-    "pipeline_all_batches": pipeline_all_batches,
+    "run_one_batch": run_one_batch,
+    "run_all_batches": run_all_batches,
 }

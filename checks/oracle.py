@@ -270,6 +270,6 @@ def statements() -> dict[str, str]:
           count(*) AS row_count FROM hourly GROUP BY 1""",
         "v3_silver_counts": f"WITH {HOURLY} SELECT {_YM}, count(*) AS row_count FROM hourly GROUP BY 1, 2",
         "v4_share_preview": f"WITH {DAILY} SELECT * FROM share ORDER BY event_date LIMIT 20",
-        "pipeline_one_batch": f"{daily_all} WHERE strftime(event_date, '%Y-%m') = '{FIRST_OPEN_MONTH}'",
-        "pipeline_all_batches": daily_all,
+        "run_one_batch": f"{daily_all} WHERE strftime(event_date, '%Y-%m') = '{FIRST_OPEN_MONTH}'",
+        "run_all_batches": daily_all,
     }

@@ -33,13 +33,12 @@ def bronze_batch(
     require_utc(raw)
     month = F.date_trunc("month", instant_of(raw, spec.key, on_error))
     if batches is None:
-        rows = raw.where(F.col(spec.key).isNotNull())
+        rows = raw.where(month.isNotNull())
     else:
         rows = raw.where(month.isin([F.lit(str(month_span(b)[0])).cast("timestamp") for b in batches]))
     batch = F.lit(batches[0]) if batches is not None and len(batches) == 1 else month_tag(month)
     scoped = project_prefix(rows, spec.prefix, spec.time_columns, ["source_file"])
-    tagged = scoped.select("*", batch.alias("batch_id"), at_time(as_of).alias("ingestion_timestamp"))
-    return tagged if batches is not None else tagged.where(F.col("batch_id").isNotNull())
+    return scoped.select("*", batch.alias("batch_id"), at_time(as_of).alias("ingestion_timestamp"))
 
 
 def typed_rows(bronze: DataFrame, spec: SeriesSpec = GERMAN_POWER, on_error: str = "raise") -> DataFrame:

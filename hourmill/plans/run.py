@@ -38,6 +38,10 @@ def _split(counts: dict[str, int], batches: Sequence[str]) -> dict[str, int]:
     return {b: counts.get(f"rows {b}", 0) for b in batches}
 
 
+def _month_folders(batches: Sequence[str]) -> list[str]:
+    return [f"{int(b[:4])}/{int(b[5:])}" for b in batches]
+
+
 def ingest_bronze(lake: Lake, raw: DataFrame, batches: Sequence[str], as_of=None, on_error: str = "raise"):
     """Upsert some months into Bronze; returns source rows per batch.
 
@@ -54,7 +58,7 @@ def transform_silver(lake: Lake, batches: Sequence[str], on_error: str = "raise"
     Which old rows give way follows from the keys alone, so these are read from
     Bronze by themselves, without the measures and the deduplication.
     """
-    bronze = lake.bronze.read_if_exists()
+    bronze = lake.bronze.read_if_exists(batches)
     if bronze is None:
         return dict.fromkeys(batches, 0), {}
     source = scan_batch(bronze, batches)
@@ -63,7 +67,7 @@ def transform_silver(lake: Lake, batches: Sequence[str], on_error: str = "raise"
     counts = lake.silver.merge(
         rows,
         match_on=normalize_names(parse_timestamps(source.select(*lake.spec.time_columns), lake.spec, on_error)),
-        touched=[f"{int(b[:4])}/{int(b[5:])}" for b in batches],
+        touched=_month_folders(batches),
         spread=len(batches) > 1,
         metrics=_per_batch(batches) | {f"null {m}": F.col(m).isNull() for m in measures},
     )
@@ -76,7 +80,7 @@ def aggregate_gold(lake: Lake, batches: Sequence[str]) -> None:
     The three tables share one set of daily sums, a row per day, which is kept
     while they are written.
     """
-    silver = lake.silver.read_if_exists()
+    silver = lake.silver.read_if_exists(_month_folders(batches))
     if silver is None:
         raise ValueError(f"no clean rows for {', '.join(batches)}")
     years = sorted({b[:4] for b in batches})

@@ -7,6 +7,7 @@ and no others.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,8 @@ from ..operators.mutations import conform, unique_source
 
 _INCOMING = "_incoming"
 _MAX_NAMED_FOLDERS = 10_000
+_NULL_TAG = "null"
+_PLAIN_TAG = re.compile(r"[\w.-]+(/[\w.-]+)*")
 
 
 class MonthTable:
@@ -51,21 +54,35 @@ class MonthTable:
             raise ValueError(f"no table at {self.path}")
         return rows
 
-    def read_if_exists(self) -> DataFrame | None:
-        stored = self._stored()
+    def read_if_exists(self, tags: Sequence[str] | None = None) -> DataFrame | None:
+        """The table, or only some of its folders; None when there is nothing there.
+
+        A tag is a folder's values as text, joined by ``/``.
+        """
+        stored = self._stored(tags)
         return None if stored is None else self._visible(stored)
 
-    def _stored(self) -> DataFrame | None:
-        """All rows with their folder columns, or None without a table; the schema is looked up once."""
-        reader = self.spark.read if self._schema is None else self.spark.read.schema(self._schema)
+    def _stored(self, tags: Sequence[str] | None = None) -> DataFrame | None:
+        """Rows with their folder columns. The schema is looked up once; named folders alone are listed."""
+        reader = self.spark.read.option("basePath", self.path)
+        if self._schema is not None:
+            reader = reader.schema(self._schema)
         try:
-            stored = reader.parquet(self.path)
+            stored = reader.parquet(self.path if tags is None else self._pattern(tags))
         except AnalysisException as problem:
             if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
         self._schema = stored.schema
-        return stored
+        return stored if tags is None else stored.where(self._tag().isin(list(tags)))
+
+    def _pattern(self, tags: Sequence[str]) -> str:
+        """Glob over the folders of some tags; with two levels it may cover a few more."""
+        if not tags or not all(_PLAIN_TAG.fullmatch(t) for t in tags) or _NULL_TAG in "/".join(tags).split("/"):
+            return self.path
+        levels = zip(*[t.split("/") for t in tags], strict=True)
+        parts = [f"{name}={{{','.join(sorted(set(values)))}}}" for name, values in zip(self.folders, levels, strict=True)]
+        return "/".join([self.path, *parts])
 
     def _visible(self, stored: DataFrame) -> DataFrame:
         dropped = set(self.folders) if self.hidden else set()
@@ -77,7 +94,7 @@ class MonthTable:
         return rows.select("*", *[F.expr(e).alias(n) for n, e in self.folders.items() if n not in rows.columns])
 
     def _tag(self) -> Column:
-        parts = [F.coalesce(F.col(f).cast("string"), F.lit("null")) for f in self.folders]
+        parts = [F.coalesce(F.col(f).cast("string"), F.lit(_NULL_TAG)) for f in self.folders]
         return F.concat_ws("/", *parts)
 
     def folder_tags(self, rows: DataFrame) -> list[str] | None:
@@ -104,30 +121,34 @@ class MonthTable:
     ) -> dict[str, int]:
         """Upsert by key, or create the table; returns counts of source rows per metric.
 
-        Only folders of the source are read and rewritten. ``touched`` names
-        them when the caller knows them (folder values as text, joined by ``/``),
-        otherwise they are looked up. While none of them holds rows yet, the
-        source is written as it is, without any join.
-        ``match_on`` may give the source's keys more cheaply than the source.
+        Only folders of the source are read and rewritten. ``touched`` gives
+        their tags when the caller knows them, otherwise they are looked up.
+        While none of them holds rows yet, the source is written as it is,
+        without any join. ``match_on`` may give the source's keys more cheaply
+        than the source.
         """
         incoming = self._in_folders(unique_source(source, self.keys, on_duplicate, latest_by))
-        stored = self._stored()
-        if stored is not None:
-            incoming = conform(incoming, stored)
+        table = self._stored() if self._schema is None else self.spark.createDataFrame([], self._schema)
+        if table is not None:
+            incoming = conform(incoming, table)
         rows = incoming.withColumn(_INCOMING, F.lit(True))
-        if stored is not None:
+        if table is not None:
             replaced = (source if match_on is None else match_on).select(*[named(k) for k in self.keys])
             tags = self.folder_tags(replaced) if touched is None else list(touched)
-            if tags is None:
-                of_source = self._in_folders(replaced).select(self._tag().alias("_tag")).distinct()
-                old = stored.withColumn("_tag", self._tag()).join(of_source, "_tag", "left_semi").drop("_tag")
-            else:
-                old = stored.where(self._tag().isin(tags))
-            if not old.isEmpty():
+            old = self._stored_like(replaced) if tags is None else self._stored(tags)
+            if old is not None and not old.isEmpty():
                 kept = old.join(replaced, list(self.keys), "left_anti")
                 rows = rows.unionByName(kept.withColumn(_INCOMING, F.lit(False)))
         return self._write(rows, spread, metrics)
 
+    def _stored_like(self, rows: DataFrame) -> DataFrame | None:
+        """Stored rows of the folders some rows belong to, however many these are."""
+        stored = self._stored()
+        if stored is None:
+            return None
+        tags = self._in_folders(rows).select(self._tag().alias("_tag")).distinct()
+        return stored.withColumn("_tag", self._tag()).join(tags, "_tag", "left_semi").drop("_tag")
+
     def _write(self, rows: DataFrame, spread: bool, metrics: dict[str, Column] | None) -> dict[str, int]:
         """Dynamic partition overwrite; counts are taken after the last shuffle.
 

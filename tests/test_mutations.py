@@ -142,9 +142,21 @@ def test_more_folders_than_can_be_named(spark, table, monkeypatch):
     assert stored(table) == [("2019-01-01", 5), ("2019-02-01", 2), ("2019-02-02", 6), ("2019-03-01", 3)]
 
 
-def test_only_touched_folders_are_read(spark, table):
+def test_only_touched_folders_are_listed_and_read(spark, table):
     table.merge(days(spark, ("2019-01-01", 1), ("2019-02-01", 2)))
-    pruned = table._stored().where(table._tag().isin(["2019-01"]))
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    january = table.read_if_exists(["2019-01", "2018-12"])
+    assert [r.v for r in january.collect()] == [1]
+    assert all("ym=2019-01/" in f for f in january.inputFiles())
+    plan = january._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
-    assert len(pruned.inputFiles()) >= 1 and pruned.count() == 1
+    assert table.read_if_exists(["2018-12"]) is None
+
+
+def test_folders_of_two_levels_and_of_unknown_days(spark, tmp_path):
+    folders = {"y": "year(day)", "m": "month(day)"}
+    table = MonthTable(spark, str(tmp_path / "two"), ["day"], folders)
+    table.merge(days(spark, ("2018-02-01", 1), ("2019-01-01", 2), ("2019-02-01", 3), (None, 4)))
+    assert sorted(r.v for r in table.read_if_exists(["2018/2", "2019/1"]).collect()) == [1, 2]
+    table.merge(days(spark, ("2018-02-01", 5), (None, 6)))
+    assert sorted(r.v for r in table.read().collect()) == [2, 3, 4, 5, 6]
+    assert [r.v for r in table.read().where("day IS NULL").orderBy("v").collect()] == [4, 6]

@@ -46,6 +46,7 @@ def test_same_rows(spark, duck, name):
     ours = {c: kinds.get(t, t.upper()) for c, t in result.dtypes}
     theirs = {c: str(t) for c, t in zip(twin.columns, twin.types)}
     assert ours == theirs
+    assert "Python" not in result._jdf.queryExecution().executedPlan().toString()
     got = _rows(result.columns, [tuple(r) for r in result.collect()])
     want = _rows(twin.columns, twin.fetchall())
     assert len(got) == len(want) and len(got) > 0
