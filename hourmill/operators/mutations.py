@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cleaning import dedupe_latest, named
 
+_BROADCAST_BYTES = 64 << 20
+_ROW_OVERHEAD = 32
+_SALTS = 32
+
 
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, [named(k).isNull() for k in keys])
@@ -45,6 +49,23 @@ def conform(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
+def without_keys(rows: DataFrame, replaced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not among the distinct keys in ``replaced``; null keys are among none.
+
+    The keys are measured first. Up to a fixed size they are broadcast, so the
+    rows stay where they are, however many of them share a key. Beyond it both
+    sides are shuffled, and rows of one key are spread over several tasks by the
+    scan partition they come from, against a copy of the keys for each.
+    """
+    width = reduce(add, [F.coalesce(F.octet_length(named(k).cast("string")), F.lit(0)) for k in keys])
+    size = replaced.agg(F.coalesce(F.sum(width + F.lit(_ROW_OVERHEAD)), F.lit(0)).alias("size")).collect()[0]["size"]
+    if size <= _BROADCAST_BYTES:
+        return rows.join(F.broadcast(replaced), list(keys), "left_anti")
+    salted = rows.withColumn("_salt", F.spark_partition_id() % _SALTS)
+    copies = replaced.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return salted.join(copies, [*keys, "_salt"], "left_anti").drop("_salt")
+
+
 def merge_upsert(
     target: DataFrame,
     source: DataFrame,
@@ -58,8 +79,8 @@ def merge_upsert(
     ``match_on`` may give the source's keys more cheaply than the source itself.
     """
     incoming = conform(unique_source(source, keys, on_duplicate, latest_by), target)
-    replaced = (source if match_on is None else match_on).select(*[named(k) for k in keys])
-    return target.join(replaced, list(keys), "left_anti").unionByName(incoming)
+    replaced = (source if match_on is None else match_on).select(*[named(k) for k in keys]).distinct()
+    return without_keys(target, replaced, keys).unionByName(incoming)
 
 
 def _joined(target: DataFrame, source: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -88,7 +109,8 @@ def merge_update(
     """Target rows, changed where a source row has their key and the condition holds.
 
     Columns in ``assign`` and ``condition`` are named ``target.x`` and
-    ``source.x``. Source rows without a match are not inserted.
+    ``source.x``. Source rows without a match are not inserted. The target is
+    meant to have few rows per key, as a keyed table has.
     """
     hit = _hit(condition)
     return _joined(target, source, keys, "left").select(

@@ -10,13 +10,14 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.cleaning import named
-from ..operators.mutations import conform, unique_source
+from ..operators.mutations import conform, unique_source, without_keys
 
 _INCOMING = "_incoming"
 _MAX_NAMED_FOLDERS = 10_000
@@ -125,21 +126,26 @@ class MonthTable:
         their tags when the caller knows them, otherwise they are looked up.
         While none of them holds rows yet, the source is written as it is,
         without any join. ``match_on`` may give the source's keys more cheaply
-        than the source.
+        than the source; the distinct keys are kept while they are used.
         """
         incoming = self._in_folders(unique_source(source, self.keys, on_duplicate, latest_by))
         table = self._stored() if self._schema is None else self.spark.createDataFrame([], self._schema)
         if table is not None:
             incoming = conform(incoming, table)
         rows = incoming.withColumn(_INCOMING, F.lit(True))
-        if table is not None:
-            replaced = (source if match_on is None else match_on).select(*[named(k) for k in self.keys])
-            tags = self.folder_tags(replaced) if touched is None else list(touched)
-            old = self._stored_like(replaced) if tags is None else self._stored(tags)
+        if table is None:
+            return self._write(rows, spread, metrics)
+        keys = (source if match_on is None else match_on).select(*[named(k) for k in self.keys]).distinct()
+        keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tags = self.folder_tags(keys) if touched is None else list(touched)
+            old = self._stored_like(keys) if tags is None else self._stored(tags)
             if old is not None and not old.isEmpty():
-                kept = old.join(replaced, list(self.keys), "left_anti")
-                rows = rows.unionByName(kept.withColumn(_INCOMING, F.lit(False)))
-        return self._write(rows, spread, metrics)
+                kept = without_keys(old, keys, self.keys).withColumn(_INCOMING, F.lit(False))
+                rows = rows.unionByName(kept)
+            return self._write(rows, spread, metrics)
+        finally:
+            keys.unpersist()
 
     def _stored_like(self, rows: DataFrame) -> DataFrame | None:
         """Stored rows of the folders some rows belong to, however many these are."""

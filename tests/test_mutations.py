@@ -35,6 +35,20 @@ def test_repeated_source_keys(spark):
         merge_upsert(target, source, ["k"], "other")
 
 
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_hot_keys_on_either_side(spark, monkeypatch, limit):
+    monkeypatch.setattr("hourmill.operators.mutations._BROADCAST_BYTES", limit)
+    target = spark.range(9_000, numPartitions=6).selectExpr("if(id % 3 = 0, -1, int(id)) AS k", "1 AS v")
+    target = target.unionByName(frame(spark, [(None, 1), (None, 1)]))
+    source = spark.range(9_000, numPartitions=6).selectExpr("if(id % 3 = 0, -1, int(id) + 6000) AS k", "2 AS v")
+    merged = merge_upsert(target, source, ["k"], "keep")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert ("_salt" in plan) == (limit == 0)
+    counts = {r.v: r["count"] for r in merged.groupBy("v").count().collect()}
+    assert counts == {1: 4_000 + 2, 2: 9_000}
+    assert {r.v for r in merged.where("k = -1").distinct().collect()} == {2}
+
+
 def test_source_columns_follow_the_target(spark):
     target = frame(spark, [(1, 1)])
     extra = frame(spark, [("2", 2, "x")], "k string, v int, w string")
