@@ -13,7 +13,6 @@ from .cleaning import dedupe_latest, named
 
 _BROADCAST_BYTES = 64 << 20
 _ROW_OVERHEAD = 32
-_SALTS = 32
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -53,17 +52,14 @@ def without_keys(rows: DataFrame, replaced: DataFrame, keys: Sequence[str]) -> D
     """Rows whose key is not among the distinct keys in ``replaced``; null keys are among none.
 
     The keys are measured first. Up to a fixed size they are broadcast, so the
-    rows stay where they are, however many of them share a key. Beyond it both
-    sides are shuffled, and rows of one key are spread over several tasks by the
-    scan partition they come from, against a copy of the keys for each.
+    rows stay where they are, however many of them share a key. Beyond it the
+    join shuffles both sides; with the keys persisted, adaptive execution can
+    split a shuffle partition that a frequent key makes too large.
     """
     width = reduce(add, [F.coalesce(F.octet_length(named(k).cast("string")), F.lit(0)) for k in keys])
     size = replaced.agg(F.coalesce(F.sum(width + F.lit(_ROW_OVERHEAD)), F.lit(0)).alias("size")).collect()[0]["size"]
-    if size <= _BROADCAST_BYTES:
-        return rows.join(F.broadcast(replaced), list(keys), "left_anti")
-    salted = rows.withColumn("_salt", F.spark_partition_id() % _SALTS)
-    copies = replaced.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"], "left_anti").drop("_salt")
+    fits = size <= _BROADCAST_BYTES
+    return rows.join(F.broadcast(replaced) if fits else replaced.hint("merge"), list(keys), "left_anti")
 
 
 def merge_upsert(

@@ -18,16 +18,21 @@ from pyspark.sql import types as T
 _ONE_SPLIT_PER_FILE = str(1 << 50)
 
 
-def first_line_of_task():
-    """A function on a task's batches, local so that it travels to workers by value."""
+def first_row_of_task():
+    """A function on a task's rows, local so that it travels to workers by value.
 
-    def first_line(batches):
-        for batch in batches:
-            if len(batch):
-                yield batch.head(1)
+    A Python worker that leaves input unread cannot be used again, so short
+    files are read to their end; in a long one this stops soon.
+    """
+
+    def first_row(rows):
+        for place, row in enumerate(rows):
+            if place == 0:
+                yield tuple(row)
+            elif place == 2_000:
                 return
 
-    return first_line
+    return first_row
 
 
 def _names(header: str) -> list[str]:
@@ -94,18 +99,17 @@ class Landing:
     def _group_by_header(self, pattern: str) -> list[tuple[str, list[str]]]:
         """Header lines with the folders (or, in a mixed folder, files) that carry them.
 
-        One task per file stops after its first line. Only folders and header
-        texts come to the driver; file paths do for mixed folders alone.
+        One task per file stops after its first line, which no DataFrame operator
+        can do (a limit is global). Only folders and header texts come to the
+        driver; file paths do for mixed folders alone.
         """
         reader = self.spark.newSession()
         for size in ("maxPartitionBytes", "openCostInBytes"):
             reader.conf.set(f"spark.sql.files.{size}", _ONE_SPLIT_PER_FILE)
-        firsts = (
-            reader.read.text(pattern)
-            .select("value", F.col("_metadata.file_path").alias("path"))
-            .mapInPandas(first_line_of_task(), "value string, path string")
-            .select("value", "path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
-        )
+        lines = reader.read.text(pattern).select("value", F.col("_metadata.file_path").alias("path"))
+        firsts = reader.createDataFrame(
+            lines.rdd.mapPartitions(first_row_of_task()), "value string, path string"
+        ).select("value", "path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
         found = firsts.groupBy("folder", "value").count().orderBy("folder", "value").collect()
         if not found:
             raise ValueError(f"no CSV rows under {self.root}")

@@ -133,13 +133,15 @@ class MonthTable:
         if table is not None:
             incoming = conform(incoming, table)
         rows = incoming.withColumn(_INCOMING, F.lit(True))
-        if table is None:
+        old = None if table is None or touched is None else self._stored(touched)
+        if table is None or (touched is not None and (old is None or old.isEmpty())):
             return self._write(rows, spread, metrics)
         keys = (source if match_on is None else match_on).select(*[named(k) for k in self.keys]).distinct()
         keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tags = self.folder_tags(keys) if touched is None else list(touched)
-            old = self._stored_like(keys) if tags is None else self._stored(tags)
+            if touched is None:
+                tags = self.folder_tags(keys)
+                old = self._stored_like(keys) if tags is None else self._stored(tags)
             if old is not None and not old.isEmpty():
                 kept = without_keys(old, keys, self.keys).withColumn(_INCOMING, F.lit(False))
                 rows = rows.unionByName(kept)

@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from hourmill import Landing
-from hourmill.sources.landing import first_line_of_task
+from hourmill.sources.landing import first_row_of_task
 
 
 @pytest.fixture
@@ -105,6 +105,6 @@ def test_the_session_settings_stay(spark, put):
 
 
 def test_workers_do_not_need_the_package(tmp_path):
-    sent = cloudpickle.dumps(first_line_of_task())
+    sent = cloudpickle.dumps(first_row_of_task())
     load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'hourmill' not in sys.modules"
     subprocess.run([sys.executable, "-c", load], input=sent, cwd=tmp_path, check=True, timeout=60)

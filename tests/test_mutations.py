@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hourmill import MonthTable
 from hourmill.operators import affected_rows, delete_where, merge_update, merge_upsert, update_where
+from hourmill.operators.mutations import without_keys
 
 SCHEMA = "k int, v int"
 
@@ -43,7 +44,7 @@ def test_hot_keys_on_either_side(spark, monkeypatch, limit):
     source = spark.range(9_000, numPartitions=6).selectExpr("if(id % 3 = 0, -1, int(id) + 6000) AS k", "2 AS v")
     merged = merge_upsert(target, source, ["k"], "keep")
     plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert ("_salt" in plan) == (limit == 0)
+    assert ("BroadcastHashJoin" in plan) == (limit > 0)
     counts = {r.v: r["count"] for r in merged.groupBy("v").count().collect()}
     assert counts == {1: 4_000 + 2, 2: 9_000}
     assert {r.v for r in merged.where("k = -1").distinct().collect()} == {2}
@@ -156,6 +157,28 @@ def test_more_folders_than_can_be_named(spark, table, monkeypatch):
     assert stored(table) == [("2019-01-01", 5), ("2019-02-01", 2), ("2019-02-02", 6), ("2019-03-01", 3)]
 
 
+def test_a_frequent_key_is_split_when_keys_are_too_many_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("hourmill.operators.mutations._BROADCAST_BYTES", 0)
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    target = spark.range(200_000, numPartitions=8).selectExpr("if(id % 3 = 0, -1, id) AS k", "uuid() AS v")
+    keys = spark.range(100_000, 400_000).selectExpr("id AS k").distinct().persist()
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        kept = without_keys(target, keys, ["k"])
+        assert len(kept.collect()) == 66_667 + 66_666
+        assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        keys.unpersist()
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_only_touched_folders_are_listed_and_read(spark, table):
     table.merge(days(spark, ("2019-01-01", 1), ("2019-02-01", 2)))
     january = table.read_if_exists(["2019-01", "2018-12"])
