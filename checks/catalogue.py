@@ -213,10 +213,16 @@ def _months(spark, d):
     return list_batches(inputs.raw_orders(spark, d), "utc_ts")
 
 
+def _shown(rows: DataFrame) -> DataFrame:
+    """Control rows with counts as doubles, in which every client can hold an unknown count."""
+    counts = {"rows_bronze", "rows_silver"} & set(rows.columns)
+    return rows.withColumns({c: F.col(c).cast("double") for c in counts}) if counts else rows
+
+
 def _finish(spark, d):
     state = inputs.control_rows(spark, d)
     done = state.where(F.col("batch_id") >= FIRST_OPEN_MONTH).select("batch_id", F.lit("completed").alias("status"))
-    return merge_update(
+    changed = merge_update(
         state,
         done,
         ["batch_id"],
@@ -227,6 +233,7 @@ def _finish(spark, d):
         },
         F.col("target.status") == "in_progress",
     )
+    return _shown(changed)
 
 
 def _record(spark, d):
@@ -234,11 +241,11 @@ def _record(spark, d):
     counts = rows.groupBy("batch_id").agg(
         F.sum("n").alias("rows_bronze"), F.count(F.lit(1)).alias("rows_silver")
     )
-    return control.record_counts(inputs.control_rows(spark, d), counts, RUN_TIME)
+    return _shown(control.record_counts(inputs.control_rows(spark, d), counts, RUN_TIME))
 
 
 def _control(change: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, d: change(inputs.control_rows(spark, d))
+    return lambda spark, d: _shown(change(inputs.control_rows(spark, d)))
 
 
 # -- whole runs -------------------------------------------------------------

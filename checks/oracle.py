@@ -108,8 +108,8 @@ months AS (SELECT strftime(utc_ts, '%Y-%m') AS batch_id, count(*) AS n, count(DI
 control AS (SELECT batch_id, CAST(batch_id[1:4] AS INTEGER) AS year, CAST(batch_id[6:7] AS INTEGER) AS month,
   CASE WHEN batch_id < '{FIRST_OPEN_MONTH}' THEN 'completed'
        WHEN batch_id = '{FIRST_OPEN_MONTH}' THEN 'failed' ELSE 'in_progress' END AS status,
-  CASE WHEN batch_id < '{FIRST_OPEN_MONTH}' THEN CAST(n AS INTEGER) END AS rows_bronze,
-  CASE WHEN batch_id < '{FIRST_OPEN_MONTH}' THEN CAST(hours AS INTEGER) END AS rows_silver,
+  CASE WHEN batch_id < '{FIRST_OPEN_MONTH}' THEN CAST(n AS DOUBLE) END AS rows_bronze,
+  CASE WHEN batch_id < '{FIRST_OPEN_MONTH}' THEN CAST(hours AS DOUBLE) END AS rows_silver,
   TIMESTAMP '{SETUP_TIME}' AS created_at, TIMESTAMP '{SETUP_TIME}' AS updated_at,
   CASE WHEN batch_id = '{FIRST_OPEN_MONTH}' THEN 'unreadable file' END AS error_message
   FROM months WHERE batch_id <= '{UNFINISHED_MONTH}')"""
@@ -215,7 +215,7 @@ def statements() -> dict[str, str]:
         "control_begin": f"""WITH {CONTROL} SELECT * FROM control WHERE batch_id <> '{FIRST_OPEN_MONTH}'
           UNION ALL {_started(FIRST_OPEN_MONTH)} UNION ALL {_started("1997-03")}""",
         "control_record_counts": f"""WITH {CONTROL} SELECT control.* REPLACE (
-          CAST(n AS INTEGER) AS rows_bronze, CAST(hours AS INTEGER) AS rows_silver,
+          CAST(n AS DOUBLE) AS rows_bronze, CAST(hours AS DOUBLE) AS rows_silver,
           TIMESTAMP '{RUN_TIME}' AS updated_at) FROM control JOIN months USING (batch_id)""",
         "control_fail": _changed(
             f"batch_id = '{UNFINISHED_MONTH}'",
