@@ -1,7 +1,7 @@
 """Exact removal of repeated word windows (super-k-mer partitioning).
 
 Of every document's windows of ``window`` words, consecutive ones that share a
-minimiser (the smallest hash among the window's four-word grams) travel together
+minimiser (the smallest hash among the window's three-word grams) travel together
 as one packed string to the bucket of that gram. Equal windows have equal
 minimisers, so they meet in one bucket, where rows come sorted by place and a
 window seen before is a repeat. Comparison is of words, hashes only route.
@@ -9,7 +9,7 @@ window seen before is a repeat. Comparison is of words, hashes only route.
 Scale: a first pass counts grams per task and sums them; windows of grams above
 ``hot_rows`` travel one by one to buckets of their own, so that no passage, however
 common, gathers its surroundings in one task. Copies of a packed string within a
-chunk are settled before the shuffle. The same pass picks the commonest words of
+task are settled before the shuffle. The same pass picks the commonest words of
 each part for one- and two-byte codes (at most ``CODES``), which halves the strings.
 """
 
@@ -20,18 +20,22 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, chunks, gram_hashes, identity, table_of
+from .common import WordHashes, chunks, gram_hashes, identity, saved, table_of
 
-GRAM = 4
-SHORT_CODES, CODES, LONGEST_CODED = 128, 32_000, 40
+GRAM = 3
+#: Words with one-, two- and three-byte codes.
+BY_LENGTH = (128, 112 << 8, 4 << 16)
+CODES, LONGEST_CODED = sum(BY_LENGTH), 40
 MAX_HOT_KEYS = 1 << 20
-SEEN_LIMIT = 50_000
+SEEN_LIMIT = 200_000
 
 _STATS = "kind int, key long, word binary, n long"
 _SUPER = "key long, d long, h long, start int, n int, words binary"
@@ -44,12 +48,17 @@ _STATS_ARROW = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("word", pa
 
 
 class Codes(dict):
-    """Self-delimiting codes of words: one byte, two bytes, or the word between 0xFE and 0xFF."""
+    """Self-delimiting codes of words: one to three bytes, or the word between 0xFE and 0xFF."""
 
     def __init__(self, words: list[bytes]):
+        one, two, _ = BY_LENGTH
         for i, w in enumerate(words[:CODES]):
-            j = i - SHORT_CODES
-            self[w] = bytes([i]) if j < 0 else bytes([0x80 + (j >> 8), j & 255])
+            if i < one:
+                self[w] = bytes([i])
+            elif i < one + two:
+                self[w] = (0x8000 + i - one).to_bytes(2)
+            else:
+                self[w] = (0xF00000 + i - one - two).to_bytes(3)
 
     def __missing__(self, word: bytes) -> bytes:
         return b"\xfe" + word + b"\xff"
@@ -87,8 +96,10 @@ def _survey(window: int):
             for text in batch.column(0):
                 parts = (text.as_py() or "").encode().split()
                 words.update(w for w in parts if len(w) <= LONGEST_CODED)
-                if len(words) > 4 * CODES:
-                    words = Counter(dict(words.most_common(2 * CODES)))
+                if len(words) > 3 * CODES:
+                    words = Counter({w: n for w, n in words.items() if n > 1})
+                    if len(words) > 2 * CODES:
+                        words = Counter(dict(words.most_common(CODES)))
                 if len(parts) >= window:
                     pending.append(_runs(hashes.of(parts), window)[2])
                     size += len(pending[-1])
@@ -96,7 +107,7 @@ def _survey(window: int):
                         fold()
         fold()
         often = counts > 1
-        top = words.most_common(CODES)
+        top = [(w, n) for w, n in words.most_common(CODES) if n > 2]
         yield table_of(
             {
                 "kind": [0] * int(often.sum()) + [1] * len(top),
@@ -171,7 +182,7 @@ def _merged(flags: list[int], start: int, window: int) -> Iterator[tuple[int, in
 
 def _count(window: int):
     """Rows sorted by bucket and place: the word ranges of windows seen before in their bucket."""
-    code = re.compile(rb"[\x00-\x7f]|[\x80-\xfd][\x00-\xff]|\xfe[^\xff]*\xff", re.DOTALL)
+    code = re.compile(rb"[\x00-\x7f]|[\x80-\xef].|[\xf0-\xf3]..|\xfe[^\xff]*\xff", re.DOTALL)
 
     def windows(words: bytes) -> list[bytes]:
         ends = [m.end() for m in code.finditer(words)]
@@ -212,19 +223,35 @@ def _count(window: int):
 def repeated_spans(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) -> DataFrame:
     """Word ranges ``[lo, hi)`` of documents (``d``, ``h``) covered by windows that also start earlier."""
     texts = docs.select("text")
-    stats = texts.mapInArrow(_survey(window), _STATS).groupBy("kind", "key", "word").agg(F.sum("n").alias("n"))
-    found = (
-        stats.where((F.col("kind") == 1) | (F.col("n") > hot_rows))
-        .orderBy("kind", F.desc("n"), "word", "key")
-    )
-    # At most MAX_HOT_KEYS numbers and CODES words of LONGEST_CODED bytes come to the driver.
-    hot = [r["key"] for r in found.where("kind = 0").limit(MAX_HOT_KEYS).select("key").collect()]
-    words = [bytes(r["word"]) for r in found.where("kind = 1").limit(CODES).select("word").collect()]
+    stats = saved(
+        texts.mapInArrow(_survey(window), _STATS).groupBy("kind", "key", "word").agg(F.sum("n").alias("n"))
+        .where((F.col("kind") == 1) | (F.col("n") > hot_rows)),
+        "grams",
+    )
+
+    def most(kind: int, column: str, limit: int) -> list:
+        """The most frequent ones: at most ``limit`` numbers, or words of LONGEST_CODED bytes."""
+        top = stats.where(F.col("kind") == kind).orderBy(F.desc("n"), column).limit(limit)
+        return [r[column] for r in top.select(column).collect()]
+
+    hot, words = most(0, "key", MAX_HOT_KEYS), [bytes(w) for w in most(1, "word", CODES)]
     supers = docs.select(*identity(), "text").mapInArrow(_split(window, words, np.sort(np.array(hot, np.int64))), _SUPER)
     sorted_rows = supers.repartition("key").sortWithinPartitions("key", "d", "h", "start")
     return sorted_rows.mapInArrow(_count(window), _SPANS)
 
 
+def _packed(text: Column) -> Column:
+    """The text compressed, for a shuffle of whole texts."""
+
+    @F.pandas_udf("binary")
+    def pack(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        compress = zstandard.ZstdCompressor(3).compress
+        for texts in parts:
+            yield pd.Series([None if t is None else compress(t.encode()) for t in texts], dtype="object")
+
+    return pack(text)
+
+
 def substring_dedup(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) -> DataFrame:
     """Documents less every word in a window of ``window`` words that also starts earlier.
 
@@ -242,15 +269,17 @@ def substring_dedup(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) -
     spans = repeated_spans(docs, window, hot_rows).groupBy("d", "h").agg(
         F.collect_set(F.struct("lo", "hi")).alias("spans")
     )
-    row = F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in kept_columns if c != "text"], _packed(F.col("text")).alias("text")).alias("row")
     joined = docs.select(row, *identity()).join(spans, ["d", "h"], "left").select("row", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for whole in batches:
-            whole_texts = whole.column(0).field("text")
-            for a, b in chunks(whole_texts.to_pylist()):
+            rows = whole.column(0)
+            packed = rows.field("text").to_pylist()
+            for a, b in chunks(packed):
                 batch = whole.slice(a, b - a)
-                texts, lists = whole_texts.slice(a, b - a).to_pylist(), batch.column(1).to_pylist()
+                texts, lists = [None if t is None else unpack(t).decode() for t in packed[a:b]], batch.column(1).to_pylist()
                 n_words, n_removed, kept = [], [], []
                 for text, found in zip(texts, lists):
                     words = (text or "").encode().split()
@@ -267,11 +296,14 @@ def substring_dedup(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) -
                         kept.append(b" ".join(words).decode())
                     n_words.append(len(words))
                     n_removed.append(gone)
+                fields = {f.name: rows.field(f.name).slice(a, b - a) for f in rows.type}
+                fields["text"] = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                    [pa.StructArray.from_arrays(list(fields.values()), names=list(fields)), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
                     names=["row", *added],
                 )
 
-    types = [T.StructField("row", joined.schema["row"].dataType)]
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns if c != "text"], F.col("text")).alias("row"))
+    types = [T.StructField("row", plain.schema["row"].dataType)]
     types += [T.StructField(n, T.LongType() if t == "long" else T.StringType()) for n, t in added.items()]
-    return joined.mapInArrow(cut, T.StructType(types)).select("row.*", *added)
+    return joined.mapInArrow(cut, T.StructType(types)).select(*[F.col(f"row.`{c}`") for c in kept_columns], *added)
