@@ -7,8 +7,10 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(text: Column) -> Column:
+    """The text compressed, for a shuffle of whole texts."""
+
+    @F.pandas_udf("binary")
+    def pack(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        compress = zstandard.ZstdCompressor(3).compress
+        for texts in parts:
+            yield pd.Series([None if t is None else compress(t.encode()) for t in texts], dtype="object")
+
+    return pack(text)
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -23,28 +23,32 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunks, gram_hashes, identity, mixed, saved, table_of
+from .common import WordHashes, chunks, gram_hashes, identity, mixed, packed, saved, table_of
 
 FREQUENT = 8
 MAX_FREQUENT = 1 << 20
 MAX_COUNTED = 1 << 23
+#: Shingles of so many sets are known to be shared, so their rows need not meet.
+HOT = 20_000
 LOWEST = -(1 << 63)
 _PLACE_NAMES = {"d": "_llm_e", "h": "_llm_g", "n_shingles": "_llm_n", "component_id": "_llm_c", "leads": "_llm_l"}
 LARGEST_SMALL = 64
 
-_NODES = "kind int, d long, h long, id binary, n int, token long, df long"
+_NODES = "kind int, d long, h long, id binary, a long, n int, token long, df long"
 _NODES_ARROW = pa.schema(
-    [("kind", pa.int32()), ("d", pa.int64()), ("h", pa.int64()), ("id", pa.binary()), ("n", pa.int32()), ("token", pa.int64()), ("df", pa.int64())]
-)
-_KEYS = "key long, id binary, n int, pos int"
-_KEYS_ARROW = pa.schema([("key", pa.int64()), ("id", pa.binary()), ("n", pa.int32()), ("pos", pa.int32())])
+    [
+        ("kind", pa.int32()), ("d", pa.int64()), ("h", pa.int64()), ("id", pa.binary()), ("a", pa.int64()),
+        ("n", pa.int32()), ("token", pa.int64()), ("df", pa.int64()),
+    ]
+)
+_KEYS = "key long, a long, n int, pos int, hot boolean"
+_KEYS_ARROW = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("hot", pa.bool_())])
 _COST = "n int, subsets long, lists long"
 _COST_ARROW = pa.schema([("n", pa.int32()), ("subsets", pa.int64()), ("lists", pa.int64())])
-_SETS = "id binary, shingles binary"
-_SETS_ARROW = pa.schema([("id", pa.binary()), ("shingles", pa.binary())])
 
 
 def shingle_set(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
@@ -59,6 +63,11 @@ def _id(shingles: np.ndarray) -> bytes:
     return blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def _short(name: bytes | None) -> int | None:
+    """Half of an id. Candidates go by it; should two sets share it, there are more candidates, not fewer."""
+    return None if name is None else int.from_bytes(name[:8], "little", signed=True)
+
+
 def _least(n: int, percent: int) -> int:
     """Common shingles that a set of ``n`` must have with any similar set."""
     return -(-n * percent // 100)
@@ -93,13 +102,16 @@ def _nodes(shingle: int):
                     if len(pending) >= 4000:
                         fold()
             none = [None] * len(d)
-            yield table_of({"kind": [0] * len(d), "d": d, "h": h, "id": ids, "n": sizes, "token": none, "df": none}, _NODES_ARROW)
+            yield table_of(
+                {"kind": [0] * len(d), "d": d, "h": h, "id": ids, "a": [_short(i) for i in ids], "n": sizes, "token": none, "df": none},
+                _NODES_ARROW,
+            )
         if pending:
             fold()
         often = counts > 1
         n = int(often.sum())
         none = [None] * n
-        rows = {"kind": [1] * n, "d": none, "h": none, "id": none, "n": none}
+        rows = {"kind": [1] * n, "d": none, "h": none, "id": none, "a": none, "n": none}
         yield table_of(rows | {"token": tokens[often].view(np.int64), "df": counts[often]}, _NODES_ARROW)
 
     return run
@@ -176,7 +188,7 @@ def _keys(shingle: int, percent: int, order: Order, small: int):
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for lo, hi in chunks(texts):
-                keys, ids, sizes, places = [], [], [], []
+                keys, ids, sizes, places, hot = [], [], [], [], []
                 for text in texts[lo:hi]:
                     found = shingle_set(text, shingle, hashes)
                     n = len(found)
@@ -184,44 +196,65 @@ def _keys(shingle: int, percent: int, order: Order, small: int):
                         continue
                     if len(known) < 1 << 20:
                         known.add(name)
-                    prefix = order.prefix(found, n - _least(n, percent) + 2)[0]
+                    prefix, df = order.prefix(found, n - _least(n, percent) + 2)
                     before = len(keys)
                     if n <= small:
                         for i, j in combinations(range(len(prefix)), 2):
                             pair = gram_hashes(prefix[[i, j]], 2) + np.uint64(1)
                             keys.append(int(pair.view(np.int64)[0]))
                             places.append(j - 1)
+                        hot += [False] * (len(keys) - before)
                     if n >= from_lists:
                         keys += prefix[:-1].view(np.int64).tolist()
                         places += range(len(prefix) - 1)
-                    ids += [name] * (len(keys) - before)
+                        hot += (df[:-1] >= HOT).tolist()
+                    ids += [_short(name)] * (len(keys) - before)
                     sizes += [n] * (len(keys) - before)
                 if keys:
-                    yield table_of({"key": keys, "id": ids, "n": sizes, "pos": places}, _KEYS_ARROW)
+                    yield table_of({"key": keys, "a": ids, "n": sizes, "pos": places, "hot": hot}, _KEYS_ARROW)
 
     return run
 
 
-def _sets(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in chunks(texts):
-                sets = [shingle_set(t, shingle, hashes).tobytes() for t in texts[lo:hi]]
-                yield table_of({"id": ids[lo:hi], "shingles": sets}, _SETS_ARROW)
-
-    return run
-
-
-def _verify(percent: int):
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, sorted by key and set, of keys that several sets have."""
+    last, told = None, True  # the last row, and whether it has gone out
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, ids, hot = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "a", "hot"))
+        new_key = np.r_[last is None or last["key"][0].as_py() != keys[0], keys[1:] != keys[:-1]]
+        new_set = new_key | np.r_[last is None or last["a"][0].as_py() != ids[0], ids[1:] != ids[:-1]]
+        firsts = np.flatnonzero(new_key)
+        group = np.cumsum(new_key)  # 0 continues the last batch's key
+        carried = last is not None and not new_key[0]
+        several = np.zeros(group[-1] + 1, bool)
+        several[group[new_set & ~new_key]] = True
+        if carried:
+            several[0] |= told
+            if several[0] and not told:
+                yield last
+        keep = several[group] | hot
+        told = bool(keep[-1])
+        if not told:  # equal sets of one key that stay open are one row
+            start = firsts[-1] if len(firsts) else 0
+            keep[start:] = False
+        yield batch.filter(pa.array(keep))
+        last = batch.slice(len(keys) - 1, 1)
+
+
+def _verify(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor().decompress
+        last: tuple[bytes | None, np.ndarray] = (None, np.empty(0, np.uint64))
         for batch in batches:
             keep = []
-            for i, (a, b) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (a, b))
-                both = np.intersect1d(x, y, assume_unique=True).size
-                if 100 * both >= percent * (len(x) + len(y) - both):
+            for i, (x, a, b) in enumerate(zip(batch.column(0), batch.column(2), batch.column(3))):
+                if last[0] != x.as_py():
+                    last = (x.as_py(), shingle_set(unpack(a.as_py()).decode(), shingle, hashes))
+                left, right = last[1], shingle_set(unpack(b.as_py()).decode(), shingle, hashes)
+                both = np.intersect1d(left, right, assume_unique=True).size
+                if 100 * both >= percent * (len(left) + len(right) - both):
                     keep.append(i)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
@@ -272,31 +305,34 @@ def similar_links(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int)
     small = boundary({r["n"]: (r["subsets"], r["lists"]) for r in sizes.collect()}, percent)
 
     keys = docs.select("text").mapInArrow(_keys(shingle, percent, order, small), _KEYS)
-    keys = keys.withColumn("a", F.xxhash64("id"))
-    leaders = keys.groupBy("key").agg(F.min("a").alias("first"), F.max("a").alias("last")).where("first != last")
-    shared = saved(keys.join(leaders, "key").select("key", "id", "n", "pos", "a", "first"), "ngram-keys")
-
-    reps = nodes.where("id is not null").groupBy("id").agg(F.min(F.struct("d", "h")).alias("rep"))
-    names = reps.select("id", F.xxhash64("id").alias("a"))
-    votes = shared.where("a != first").groupBy("id", "first").count()
-    best = votes.groupBy("id").agg(F.max(F.struct("count", "first")).alias("best"))
-    one_each = best.join(names.select(F.col("id").alias("y"), F.col("a").alias("first")), F.col("best.first") == F.col("first"))
-    one_each = one_each.select(F.least("id", "y").alias("x"), F.greatest("id", "y").alias("y")).distinct()
-
-    involved = shared.select("id").distinct()
-    rep_docs = reps.join(involved, "id", "left_semi").select("id", "rep.d", "rep.h")
-    texts = docs.select(*identity(), "text").join(rep_docs, ["d", "h"]).dropDuplicates(["id"]).select("id", "text")
-    sets = saved(texts.mapInArrow(_sets(shingle), _SETS), "ngram-sets")
+    slot = F.when(F.col("hot"), F.xxhash64("key", "a")).otherwise(F.xxhash64("key"))
+    met = keys.repartition(slot).sortWithinPartitions("key", "a").mapInArrow(_shared, _KEYS)
+    shared = saved(met.drop("hot"), "ngram-keys")
+    firsts = shared.groupBy("key").agg(F.min("a").alias("first"))
+
+    reps = nodes.where("id is not null").groupBy("id", "a").agg(F.min(F.struct("d", "h")).alias("rep"))
+    involved = shared.select("a").distinct()
+    chosen = saved(reps.join(involved, "a", "left_semi").select("id", "a", "rep.d", "rep.h"), "ngram-chosen")
+    votes = shared.join(firsts, "key").where("a != first").groupBy("a", "first").count()
+    best = votes.groupBy("a").agg(F.max(F.struct("count", "first")).alias("best")).select("a", "best.first")
+    x, y = chosen.select(F.col("id").alias("x"), "a"), chosen.select(F.col("id").alias("y"), F.col("a").alias("first"))
+    one_each = best.join(x, "a").join(y, "first")
+    one_each = saved(one_each.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "ngram-pairs")
+
+    d, h = identity()
+    texts = docs.select(d, h, packed(F.col("text")).alias("text")).join(chosen, ["d", "h"]).dropDuplicates(["id"])
+    texts = saved(texts.select("id", "text"), "ngram-texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("id").alias("x"), F.col("shingles").alias("left"))
-        right = sets.select(F.col("id").alias("y"), F.col("shingles").alias("right"))
+        left = texts.select(F.col("id").alias("x"), F.col("text").alias("left"))
+        right = texts.select(F.col("id").alias("y"), F.col("text").alias("right"))
         whole = pairs.join(left, "x").join(right, "y").select("x", "y", "left", "right")
-        return whole.mapInArrow(_verify(percent), "x binary, y binary")
+        return whole.mapInArrow(_verify(shingle, percent), "x binary, y binary")
 
     first_links = saved(verified(one_each), "ngram-links")
     roots = components(first_links)
-    placed = shared.join(roots, "id", "left").select("key", "id", "n", "pos", F.coalesce("root", "id").alias("root"))
+    rooted = chosen.select("id", "a").join(roots, "id", "left").select("id", "a", F.coalesce("root", "id").alias("root"))
+    placed = shared.join(rooted, "a").select("key", "id", "n", "pos", "root")
     placed = placed.withColumn("r", F.xxhash64("root"))
     mixed_keys = placed.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo != hi").select("key")
     rest = saved(placed.join(mixed_keys, "key").drop("r"), "ngram-rest")

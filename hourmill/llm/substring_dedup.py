@@ -20,21 +20,21 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, chunks, gram_hashes, identity, saved, table_of
+from .common import WordHashes, chunks, gram_hashes, identity, packed, saved, table_of
 
 GRAM = 3
 #: Words with one-, two- and three-byte codes.
 BY_LENGTH = (128, 112 << 8, 4 << 16)
 CODES, LONGEST_CODED = sum(BY_LENGTH), 40
 MAX_HOT_KEYS = 1 << 20
+ALONE = -(1 << 63)
 SEEN_LIMIT = 200_000
 
 _STATS = "kind int, key long, word binary, n long"
@@ -75,6 +75,14 @@ def _runs(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.n
     return starts, counts, grams[place[starts]].view(np.int64)
 
 
+def _apart(starts: np.ndarray, counts: np.ndarray, keys: np.ndarray, hot: np.ndarray):
+    """Super-k-mers with those of hot grams taken apart into single windows, whose bucket is still open."""
+    times = np.where(hot, counts, 1)
+    first = np.repeat(np.cumsum(times) - times, times)
+    begins = np.repeat(starts, times) + np.arange(times.sum()) - first
+    return begins, np.repeat(np.where(hot, 1, counts), times), np.repeat(np.where(hot, ALONE, keys), times)
+
+
 def _survey(window: int):
     """Per task: how often super-k-mers of a gram occur (from twice on), and its commonest words."""
 
@@ -95,7 +103,7 @@ def _survey(window: int):
         for batch in batches:
             for text in batch.column(0):
                 parts = (text.as_py() or "").encode().split()
-                words.update(w for w in parts if len(w) <= LONGEST_CODED)
+                words.update(parts)
                 if len(words) > 3 * CODES:
                     words = Counter({w: n for w, n in words.items() if n > 1})
                     if len(words) > 2 * CODES:
@@ -107,7 +115,7 @@ def _survey(window: int):
                         fold()
         fold()
         often = counts > 1
-        top = [(w, n) for w, n in words.most_common(CODES) if n > 2]
+        top = [(w, n) for w, n in words.most_common(CODES) if n > 2 and len(w) <= LONGEST_CODED]
         yield table_of(
             {
                 "kind": [0] * int(often.sum()) + [1] * len(top),
@@ -127,13 +135,13 @@ def _split(window: int, coded: list[bytes], hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, codes = WordHashes(), Codes(coded)
         seen: dict[bytes, tuple[int, int, int]] = {}
+        seen_before = seen.get
         for batch in batches:
             texts = batch.column(2).to_pylist()
             d_all, h_all = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             order = sorted(range(len(texts)), key=list(zip(d_all, h_all)).__getitem__)
             for lo, hi in chunks([texts[i] for i in order]):
                 out: dict[str, list] = {f.name: [] for f in _SUPER_ARROW}
-                put = [out[f.name].append for f in _SUPER_ARROW]
                 for i in order[lo:hi]:
                     words = (texts[i] or "").encode().split()
                     if len(words) < window:
@@ -145,21 +153,27 @@ def _split(window: int, coded: list[bytes], hot: np.ndarray):
                     np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)), out=at[1:])
                     offsets, blob = at.tolist(), b"".join(packed)
                     common = np.isin(keys, hot).tolist() if len(hot) else None
-                    rows = zip(starts.tolist(), counts.tolist(), keys.tolist())
-                    for k, (start, n, key) in enumerate(rows):
-                        alone = common is not None and common[k]
-                        for a, m in [(j, 1) for j in range(start, start + n)] if alone else [(start, n)]:
-                            piece = blob[offsets[a] : offsets[a + m - 1 + window]]
-                            place, first = (d, h, a), seen.get(piece)
-                            repeat = first is not None and first < place
-                            if not repeat:
-                                if len(seen) >= SEEN_LIMIT:
-                                    seen.clear()
-                                seen[piece] = place
-                            if alone:
-                                key = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
-                            for f, v in zip(put, (key ^ d if repeat else key, d, h, a, m, None if repeat else piece)):
-                                f(v)
+                    if common is not None and any(common):
+                        starts, counts, keys = _apart(starts, counts, keys, np.array(common))
+                    begins, sizes, buckets = starts.tolist(), counts.tolist(), keys.tolist()
+                    pieces = [blob[offsets[a] : offsets[a + m - 1 + window]] for a, m in zip(begins, sizes)]
+                    for k, piece in enumerate(pieces):
+                        place, first = (d, h, begins[k]), seen_before(piece)
+                        if first is not None and first < place:
+                            pieces[k] = None
+                            buckets[k] ^= d
+                            continue
+                        if buckets[k] == ALONE:
+                            buckets[k] = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
+                        if len(seen) >= SEEN_LIMIT:
+                            seen.clear()
+                        seen[piece] = place
+                    out["key"] += buckets
+                    out["d"] += [d] * len(pieces)
+                    out["h"] += [h] * len(pieces)
+                    out["start"] += begins
+                    out["n"] += sizes
+                    out["words"] += pieces
                 if out["d"]:
                     yield table_of(out, _SUPER_ARROW)
 
@@ -240,18 +254,6 @@ def repeated_spans(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) ->
     return sorted_rows.mapInArrow(_count(window), _SPANS)
 
 
-def _packed(text: Column) -> Column:
-    """The text compressed, for a shuffle of whole texts."""
-
-    @F.pandas_udf("binary")
-    def pack(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        compress = zstandard.ZstdCompressor(3).compress
-        for texts in parts:
-            yield pd.Series([None if t is None else compress(t.encode()) for t in texts], dtype="object")
-
-    return pack(text)
-
-
 def substring_dedup(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) -> DataFrame:
     """Documents less every word in a window of ``window`` words that also starts earlier.
 
@@ -269,17 +271,17 @@ def substring_dedup(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) -
     spans = repeated_spans(docs, window, hot_rows).groupBy("d", "h").agg(
         F.collect_set(F.struct("lo", "hi")).alias("spans")
     )
-    row = F.struct(*[F.col(f"`{c}`") for c in kept_columns if c != "text"], _packed(F.col("text")).alias("text")).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in kept_columns if c != "text"], packed(F.col("text")).alias("text")).alias("row")
     joined = docs.select(row, *identity()).join(spans, ["d", "h"], "left").select("row", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for whole in batches:
             rows = whole.column(0)
-            packed = rows.field("text").to_pylist()
-            for a, b in chunks(packed):
+            held = rows.field("text").to_pylist()
+            for a, b in chunks(held):
                 batch = whole.slice(a, b - a)
-                texts, lists = [None if t is None else unpack(t).decode() for t in packed[a:b]], batch.column(1).to_pylist()
+                texts, lists = [None if t is None else unpack(t).decode() for t in held[a:b]], batch.column(1).to_pylist()
                 n_words, n_removed, kept = [], [], []
                 for text, found in zip(texts, lists):
                     words = (text or "").encode().split()
