@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 
 import numpy as np
 
@@ -19,6 +20,41 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class Pieces(dict):
+    """Ids of pieces of text, remembered up to a bound.
+
+    A piece splits once more where a token always ends: between a letter and a
+    closing full stop or comma, and around a single line break.
+    """
+
+    LIMIT, LONGEST = 1_000_000, 48
+
+    def __init__(self, tokenizer, dtype: np.dtype):
+        self.encode, self.dtype = tokenizer.encode, dtype
+
+    def __missing__(self, piece: str) -> bytes:
+        at = piece.find("\n")
+        if 0 < at < len(piece) - 1 and not piece[at - 1].isspace() and not piece[at + 1].isspace():
+            ids = self[piece[:at]] + self["\n"] + self[piece[at + 1 :]]
+        elif len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha():
+            ids = self[piece[:-1]] + self[piece[-1]]
+        else:
+            ids = np.array(self.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
+        if len(piece) <= self.LONGEST:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
+def _pieces_of(name: str, tokenizer, dtype: np.dtype) -> Pieces:
+    """One memory per worker process and tokenizer, so that a task goes on with what earlier ones have learned."""
+    known = vars(sys).setdefault("_llm_token_pieces", {})
+    if name not in known:
+        known[name] = Pieces(tokenizer, dtype)
+    return known[name]
+
+
 class Encoder:
     """Ids of texts with ``add_special_tokens=False``; strings of special tokens count as ordinary text.
 
@@ -27,8 +63,6 @@ class Encoder:
     it. Texts in which a space touches other white space are encoded as they are.
     """
 
-    LIMIT, LONGEST = 400_000, 48
-
     def __init__(self, name: str = TOKENIZER):
         from tokenizers import Tokenizer
 
@@ -37,18 +71,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._touching = re.compile(r" \s|\s ").search
         self._splits = "ByteLevel" in str(type(self.tokenizer.pre_tokenizer).__name__) and self.tokenizer.normalizer is None
-        encode, dtype, limit, longest = self.tokenizer.encode, self.dtype, self.LIMIT, self.LONGEST
-
-        class Pieces(dict):
-            def __missing__(self, piece: str) -> bytes:
-                ids = np.array(encode(piece, add_special_tokens=False).ids, dtype).tobytes()
-                if len(piece) <= longest:
-                    if len(self) >= limit:
-                        self.clear()
-                    self[piece] = ids
-                return ids
-
-        self._pieces = Pieces()
+        self._pieces = _pieces_of(name, self.tokenizer, self.dtype)
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian ids of ``dtype``."""
