@@ -198,7 +198,8 @@ def fit(
 
     At most ``max_labelled`` labelled rows, those of smallest hash, take part; rows
     without number or label do not, and one with several labels is toxic if any says
-    so. Without both labels the model scores every document 0.
+    so. Without both labels the model scores every document
+    practically 0.
     """
     usable = labels.where(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = (
