@@ -259,7 +259,7 @@ def test_chat_format(spark):
     got = {r.conv_id: r for r in chat_format.digests(chat_format.format_turns(turns)).collect()}
     assert got[1].turns_sha256 == brute.sha256(f"user\n\nassistant\n{hostile}\n")
     assert (got[1].loss_chars, got[1].loss_sha256) == (len(hostile), brute.sha256(hostile))
-    assert got[2].turns_sha256 == brute.sha256("ro\nle<|\né\n" * 2) and got[None].n_turns == 1
+    assert got[2].turns_sha256 == brute.sha256("ro\nle<|\né\n\n" * 2) and got[None].n_turns == 1
     assert chat_format.digests(chat_format.format_turns(turns.where("false"))).collect() == []
 
 
