@@ -47,9 +47,10 @@ def _strings(names: list[str]) -> T.StructType:
 
 
 class Landing:
-    """A landing area; headers are read once per instance.
+    """A landing area; headers are read at every scan, so files that came or changed since the last one count.
 
-    ``headers="group"`` reads the first line of every file. ``headers="same"``
+    ``headers="group"`` reads the first line of every file, and a file that changes
+    its header before its rows are read makes the scan fail. ``headers="same"``
     takes the header of one file and lets the scan itself fail on any file
     that differs, which costs nothing extra and suits very many files.
     """
@@ -58,7 +59,6 @@ class Landing:
         if headers not in ("group", "same"):
             raise ValueError(f"headers must be 'group' or 'same', not {headers!r}")
         self.spark, self.root, self.headers = spark, root.rstrip("/"), headers
-        self._layout: list[tuple[str, list[str]]] | None = None
 
     def scan(self, first_year: int | None = None, last_year: int | None = None, lineage: bool = False) -> DataFrame:
         """Rows of all year folders, or of a range of them: strings plus ``year`` of the folder.
@@ -92,9 +92,12 @@ class Landing:
         if self.headers == "same":
             names = [c for c in self._reader().csv(pattern).columns if c != "year"]
             return [self._reader(check=True).schema(_strings(names)).csv(pattern)]
-        if self._layout is None:
-            self._layout = self._group_by_header(pattern)
-        return [self._reader().schema(_strings(_names(h))).csv(paths) for h, paths in self._layout]
+        return [self._group(header, paths) for header, paths in self._group_by_header(pattern)]
+
+    def _group(self, header: str, paths: list[str]) -> DataFrame:
+        names = _names(header)
+        stated = next(csv.reader([header.removeprefix("\ufeff")]))
+        return self._reader(check=names == stated).schema(_strings(names)).csv(paths)
 
     def _group_by_header(self, pattern: str) -> list[tuple[str, list[str]]]:
         """Header lines with the folders (or, in a mixed folder, files) that carry them.

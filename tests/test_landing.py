@@ -108,3 +108,19 @@ def test_workers_do_not_need_the_package(tmp_path):
     sent = cloudpickle.dumps(first_row_of_task())
     load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'hourmill' not in sys.modules"
     subprocess.run([sys.executable, "-c", load], input=sent, cwd=tmp_path, check=True, timeout=60)
+
+
+def test_files_that_come_later_are_read_by_name(spark, tmp_path):
+    def put(year, name, text):
+        folder = tmp_path / f"year={year}"
+        folder.mkdir(exist_ok=True)
+        (folder / name).write_text(text)
+
+    put(2018, "a.csv", "utc_timestamp,DE_a,DE_b\n2018,1,2\n")
+    put(2019, "a.csv", "utc_timestamp,DE_a\n2019,3\n")
+    landing = Landing(spark, str(tmp_path))
+    assert landing.scan().count() == 2
+    put(2020, "a.csv", "utc_timestamp,DE_a,DE_b\n2020,4,5\n")
+    put(2018, "b.csv", "utc_timestamp,DE_b,DE_a\n2018,7,6\n")
+    rows = {(r.utc_timestamp, r.DE_a, r.DE_b) for r in landing.scan().collect()}
+    assert rows == {("2018", "1", "2"), ("2019", "3", None), ("2020", "4", "5"), ("2018", "6", "7")}
