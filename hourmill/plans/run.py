@@ -144,11 +144,41 @@ def run_pending(lake: Lake, landing: Landing, as_of=None, on_error: str = "raise
     """Run all pending months in one pass, with the same tables as one run per month.
 
     The landing area is read once to list months and once to load them, instead
-    of twice per month.
+    of twice per month. Should the pass fail, its months run one by one, so that
+    only those that fail by themselves stay undone; the first such error is raised
+    once the others are complete.
     """
     listed = list_batches(landing.scan(), lake.spec.key, folder="year", on_error=on_error)
     found = control.pending_batches(listed, lake.control_state()).orderBy("year", "month").collect()
     if not found:
         return None
     folders = (min(r["first_folder"] for r in found), max(r["last_folder"] for r in found))
-    return _process(lake, landing, [r["batch_id"] for r in found], folders, as_of, on_error)
+    try:
+        return _process(lake, landing, [r["batch_id"] for r in found], folders, as_of, on_error)
+    except Exception:
+        if len(found) == 1:
+            raise
+    reports, errors = [], []
+    for r in found:
+        try:
+            own = (r["first_folder"], r["last_folder"])
+            reports.append(_process(lake, landing, [r["batch_id"]], own, as_of, on_error))
+        except Exception as error:
+            errors.append(error)
+    if errors:
+        raise errors[0]
+    return _together(reports)
+
+
+def _together(reports: list[BatchReport]) -> BatchReport:
+    nulls: dict[str, int] = {}
+    for report in reports:
+        for name, n in report.nulls.items():
+            nulls[name] = nulls.get(name, 0) + n
+    return BatchReport(
+        tuple(b for r in reports for b in r.batches),
+        {b: n for r in reports for b, n in r.rows_bronze.items()},
+        {b: n for r in reports for b, n in r.rows_silver.items()},
+        nulls,
+        sum(r.completed for r in reports),
+    )

@@ -185,3 +185,16 @@ def test_tables_can_be_queried_by_name(spark, land, lake):
     assert [r.row_count for r in analytics.rows_per_batch(spark.table("germany_energy_raw")).collect()] == [2, 2, 1]
     assert [r.row_count for r in analytics.rows_per_month(spark.table("germany_energy_clean")).collect()] == [2, 2, 1]
     assert spark.table("batch_control").count() == 3
+
+
+def test_one_bad_month_leaves_the_others_complete(lake, land):
+    landing = land(
+        2019,
+        line("2019-01-01T00:00:00Z", 22),
+        line("2019-02-01T00:00:00Z", "bad"),
+        line("2019-03-01T00:00:00Z", 24),
+    )
+    with pytest.raises(PySparkException):
+        run_pending(lake, landing)
+    status = {r.batch_id: r.status for r in lake.control_state().collect()}
+    assert status == {"2019-01": "completed", "2019-02": "failed", "2019-03": "completed"}
