@@ -48,18 +48,29 @@ def conform(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
-def without_keys(rows: DataFrame, replaced: DataFrame, keys: Sequence[str]) -> DataFrame:
+def key_bytes(keys: Sequence[str]) -> Column:
+    """About how many bytes some distinct keys take when they are broadcast (an aggregate)."""
+    width = reduce(add, [F.coalesce(F.octet_length(named(k).cast("string")), F.lit(0)) for k in keys])
+    return F.coalesce(F.sum(width + F.lit(_ROW_OVERHEAD)), F.lit(0))
+
+
+def without_keys(rows: DataFrame, replaced: DataFrame, keys: Sequence[str], size: int | None = None) -> DataFrame:
     """Rows whose key is not among the distinct keys in ``replaced``; null keys are among none.
 
-    The keys are measured first. Up to a fixed size they are broadcast, so the
-    rows stay where they are, however many of them share a key. Beyond it the
-    join shuffles both sides; with the keys persisted, adaptive execution can
-    split a shuffle partition that a frequent key makes too large.
+    The keys are measured, unless their ``size`` is given. Up to a fixed size they
+    are broadcast, so the rows stay where they are, however many of them share a key.
+    Beyond it both sides are shuffled, and adaptive execution splits a shuffle
+    partition that a frequent key makes too large. It can do so only where the join
+    itself shuffles the keys; joining on one struct sees to that, since the
+    partitioning left by a ``distinct()`` on the single columns does not serve it.
     """
-    width = reduce(add, [F.coalesce(F.octet_length(named(k).cast("string")), F.lit(0)) for k in keys])
-    size = replaced.agg(F.coalesce(F.sum(width + F.lit(_ROW_OVERHEAD)), F.lit(0)).alias("size")).collect()[0]["size"]
-    fits = size <= _BROADCAST_BYTES
-    return rows.join(F.broadcast(replaced) if fits else replaced.hint("merge"), list(keys), "left_anti")
+    if size is None:
+        size = replaced.agg(key_bytes(keys).alias("size")).collect()[0]["size"]
+    if size <= _BROADCAST_BYTES:
+        return rows.join(F.broadcast(replaced), list(keys), "left_anti")
+    whole = F.when(~_any_null(keys), F.struct(*[named(k).alias(k) for k in keys]))
+    left, right = rows.withColumn("_key", whole), replaced.select(whole.alias("_replaced"))
+    return left.join(right.hint("merge"), F.col("_key") == F.col("_replaced"), "left_anti").drop("_key")
 
 
 def merge_upsert(

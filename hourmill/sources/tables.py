@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.cleaning import named
-from ..operators.mutations import conform, unique_source, without_keys
+from ..operators.mutations import conform, key_bytes, unique_source, without_keys
 
 _INCOMING = "_incoming"
 _MAX_NAMED_FOLDERS = 10_000
@@ -98,12 +98,6 @@ class MonthTable:
         parts = [F.coalesce(F.col(f).cast("string"), F.lit(_NULL_TAG)) for f in self.folders]
         return F.concat_ws("/", *parts)
 
-    def folder_tags(self, rows: DataFrame) -> list[str] | None:
-        """The folders some rows belong to, or None when there are too many to name."""
-        keys_only = self._in_folders(rows.select(*[named(k) for k in self.keys]))
-        found = keys_only.select(self._tag().alias("tag")).distinct().limit(_MAX_NAMED_FOLDERS + 1).collect()
-        return None if len(found) > _MAX_NAMED_FOLDERS else sorted(r["tag"] for r in found)
-
     def overwrite_folders(
         self, rows: DataFrame, spread: bool = True, metrics: dict[str, Column] | None = None
     ) -> dict[str, int]:
@@ -139,16 +133,25 @@ class MonthTable:
         keys = (source if match_on is None else match_on).select(*[named(k) for k in self.keys]).distinct()
         keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            size = None
             if touched is None:
-                tags = self.folder_tags(keys)
+                tags, size = self._measured(keys)
                 old = self._stored_like(keys) if tags is None else self._stored(tags)
-            if old is not None and not old.isEmpty():
-                kept = without_keys(old, keys, self.keys).withColumn(_INCOMING, F.lit(False))
+            if old is not None:
+                kept = without_keys(old, keys, self.keys, size).withColumn(_INCOMING, F.lit(False))
                 rows = rows.unionByName(kept)
             return self._write(rows, spread, metrics)
         finally:
             keys.unpersist()
 
+    def _measured(self, keys: DataFrame) -> tuple[list[str] | None, int | None]:
+        """Folders and bytes of some distinct keys by one job; unknown when the folders are too many to name."""
+        per_folder = self._in_folders(keys).groupBy(self._tag().alias("tag")).agg(key_bytes(self.keys).alias("size"))
+        found = per_folder.limit(_MAX_NAMED_FOLDERS + 1).collect()
+        if len(found) > _MAX_NAMED_FOLDERS:
+            return None, None
+        return sorted(r["tag"] for r in found), sum(r["size"] for r in found)
+
     def _stored_like(self, rows: DataFrame) -> DataFrame | None:
         """Stored rows of the folders some rows belong to, however many these are."""
         stored = self._stored()

@@ -157,7 +157,8 @@ def test_more_folders_than_can_be_named(spark, table, monkeypatch):
     assert stored(table) == [("2019-01-01", 5), ("2019-02-01", 2), ("2019-02-02", 6), ("2019-03-01", 3)]
 
 
-def test_a_frequent_key_is_split_when_keys_are_too_many_to_broadcast(spark, monkeypatch):
+@pytest.mark.parametrize("stored_keys", [True, False])
+def test_a_frequent_key_is_split_when_keys_are_too_many_to_broadcast(spark, monkeypatch, tmp_path, stored_keys):
     monkeypatch.setattr("hourmill.operators.mutations._BROADCAST_BYTES", 0)
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
@@ -166,7 +167,11 @@ def test_a_frequent_key_is_split_when_keys_are_too_many_to_broadcast(spark, monk
     }
     before = {name: spark.conf.get(name) for name in settings}
     target = spark.range(200_000, numPartitions=8).selectExpr("if(id % 3 = 0, -1, id) AS k", "uuid() AS v")
-    keys = spark.range(100_000, 400_000).selectExpr("id AS k").distinct().persist()
+    source = spark.range(100_000, 400_000).selectExpr("id AS k")
+    if stored_keys:
+        source.write.parquet(str(tmp_path / "keys"))
+        source = spark.read.parquet(str(tmp_path / "keys"))
+    keys = source.distinct().persist()
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
