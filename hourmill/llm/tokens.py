@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import re
 import sys
+from array import array
 
 import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
+#: A space and Latin letters below this are one pre-token, which goes straight to the tokenizer's model.
+WORD_END = "\u0250"
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,32 +22,52 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_characters() -> dict[int, int]:
+    """The character that byte-level vocabularies show each byte as: itself if visible, else the next one from 256 on."""
+    hidden = [b for b in range(256) if b <= 32 or 127 <= b <= 160 or b == 173]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class Pieces(dict):
-    """Ids of pieces of text, remembered up to a bound.
+    """Ids of pieces of text, remembered up to a bound; None for a piece whose white space touches that of its neighbours.
 
     A piece splits once more where a token always ends: between a letter and a
-    closing full stop or comma, and around a single line break.
+    closing run of punctuation, and around a single line break. When the memory is full
+    it becomes the older half, from which pieces still in use are taken over.
     """
 
-    LIMIT, LONGEST = 1_000_000, 48
+    LIMIT, LONGEST, CLOSING = 500_000, 48, ".,;:!?*#$%&"
 
     def __init__(self, tokenizer, dtype: np.dtype):
-        self.encode, self.dtype = tokenizer.encode, dtype
+        self.encode, self.kind, self.older = tokenizer.encode, {2: "H", 4: "I"}[dtype.itemsize], {}
+        self.tokenize, self.shown = tokenizer.model.tokenize, byte_characters()
 
-    def __missing__(self, piece: str) -> bytes:
-        at = piece.find("\n")
-        if 0 < at < len(piece) - 1 and not piece[at - 1].isspace() and not piece[at + 1].isspace():
-            ids = self[piece[:at]] + self["\n"] + self[piece[at + 1 :]]
-        elif len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha():
-            ids = self[piece[:-1]] + self[piece[-1]]
-        else:
-            ids = np.array(self.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
+    def __missing__(self, piece: str) -> bytes | None:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self._ids(piece)
         if len(piece) <= self.LONGEST:
             if len(self) >= self.LIMIT:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
+    def _ids(self, piece: str) -> bytes | None:
+        if piece != "\n" and (piece == " " or piece[piece[0] == " "].isspace() or piece[-1].isspace()):
+            return None
+        at = piece.find("\n")
+        if 0 < at < len(piece) - 1 and not piece[at - 1].isspace() and not piece[at + 1].isspace():
+            before, after = self[piece[:at]], self[piece[at + 1 :]]
+            return None if before is None or after is None else before + self["\n"] + after
+        body = piece.rstrip(self.CLOSING)
+        if body and body != piece and body[-1].isalpha():
+            return self[body] + self[piece[len(body) :]]
+        if piece[0] == " " and piece[1:].isalpha() and max(piece) < WORD_END:
+            shown = piece.encode().decode("latin-1").translate(self.shown)
+            return array(self.kind, [t.id for t in self.tokenize(shown)]).tobytes()
+        return array(self.kind, self.encode(piece, add_special_tokens=False).ids).tobytes()
+
 
 def _pieces_of(name: str, tokenizer, dtype: np.dtype) -> Pieces:
     """One memory per worker process and tokenizer, so that a task goes on with what earlier ones have learned."""
@@ -60,7 +82,7 @@ class Encoder:
 
     For byte-level BPE, words that a single space joins are encoded apart and
     remembered, since such a space always begins a token and nothing merges across
-    it. Texts in which a space touches other white space are encoded as they are.
+    it. Texts in which a space may touch other white space are encoded as they are.
     """
 
     def __init__(self, name: str = TOKENIZER):
@@ -69,7 +91,6 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._touching = re.compile(r" \s|\s ").search
         self._splits = "ByteLevel" in str(type(self.tokenizer.pre_tokenizer).__name__) and self.tokenizer.normalizer is None
         self._pieces = _pieces_of(name, self.tokenizer, self.dtype)
 
@@ -77,12 +98,13 @@ class Encoder:
         """Little-endian ids of ``dtype``."""
         if not text:
             return b""
-        if not self._splits or self._touching(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        first, *rest = text.split(" ")
-        get = self._pieces.__getitem__
-        start = get(first) if first else b""
-        return start + b"".join([get(" " + w) for w in rest])
+        if self._splits:
+            first, *rest = text.split(" ")
+            get = self._pieces.__getitem__
+            parts = [get(first) if first else b"", *[get(" " + w) for w in rest]]
+            if None not in parts:
+                return b"".join(parts)
+        return array(self._pieces.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids with the end id, as 32-bit numbers."""
