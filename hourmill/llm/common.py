@@ -85,6 +85,64 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_SLICE = 1 << 18
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0x9FB21C651E98DF25  # odd, so that it has an inverse
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse from 0 to ``n`` at least, wrapping at 64 bits."""
+    size = max(2 * _SLICE, 1 << n.bit_length()) + 1
+    if size not in _POWERS:
+        both = np.array([_BASE, pow(_BASE, -1, 1 << 64)], np.uint64)
+        steps = np.repeat(both[:, None], size, axis=1)
+        steps[:, 0] = 1
+        up, down = np.multiply.accumulate(steps, axis=1)
+        if size > 2 * _SLICE + 1:  # only a word longer than a slice needs more: not kept
+            return up, down
+        _POWERS[size] = up, down
+    return _POWERS[size]
+
+
+def _slices(text: bytes) -> Iterator[bytes]:
+    """A text in parts of about ``_SLICE`` bytes, cut at white space only."""
+    start = 0
+    while len(text) - start > _SLICE:
+        cut = next((i for i in range(start + _SLICE, len(text)) if _SPACE[text[i]]), len(text))
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text, white space being the bytes 0x20 and 0x09 to 0x0D.
+
+    A word's hash is a polynomial over values of its bytes, taken from running sums
+    of the whole text, so that no word becomes an object of its own.
+    """
+    found = []
+    for part in _slices(text):
+        raw = np.frombuffer(part, np.uint8)
+        inside = np.zeros(len(raw) + 2, bool)
+        np.logical_not(_SPACE[raw], out=inside[1:-1])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        up, down = _powers(len(raw))
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[raw] * up[: len(raw)], out=sums[1:])
+        starts, ends = edges[::2], edges[1::2]
+        found.append(mixed((sums[ends] - sums[starts]) * down[starts]))
+    return found[0] if len(found) == 1 else np.concatenate(found)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """A hash of every run of ``n`` word hashes; none if there are fewer words."""
     count = len(hashes) - n + 1

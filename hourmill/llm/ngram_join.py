@@ -27,11 +27,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunks, gram_hashes, identity, mixed, packed, saved, table_of
+from .common import chunks, distinct, gram_hashes, identity, mixed, packed, saved, table_of, word_hashes
 
 FREQUENT = 8
 MAX_FREQUENT = 1 << 20
-MAX_COUNTED = 1 << 23
+#: Bounds of a task's memory: shingles counted, shingles waiting to be counted, rows sent at once, shingles kept for verification.
+MAX_COUNTED, FOLDED, SENT, KEPT = 1 << 22, 1 << 20, 1 << 16, 1 << 20
 #: Shingles of so many sets are known to be shared, so their rows need not meet.
 HOT = 20_000
 LOWEST = -(1 << 63)
@@ -51,12 +52,13 @@ _COST = "n int, subsets long, lists long"
 _COST_ARROW = pa.schema([("n", pa.int32()), ("subsets", pa.int64()), ("lists", pa.int64())])
 
 
-def shingle_set(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: str | bytes | None, n: int) -> np.ndarray:
     """Sorted hashes of the distinct ``n``-word shingles; of the whole sequence if it is shorter."""
-    words = (text or "").encode().lower().split()
-    if not words:
+    raw = text.encode() if isinstance(text, str) else text or b""
+    words = word_hashes(raw.lower())
+    if not len(words):
         return np.empty(0, np.uint64)
-    return np.unique(gram_hashes(hashes.of(words), min(n, len(words))))
+    return distinct(gram_hashes(words, min(n, len(words))))
 
 
 def _id(shingles: np.ndarray) -> bytes:
@@ -77,14 +79,19 @@ def _nodes(shingle: int):
     """Per document its set's id and size; per task how many sets hold a shingle (from two on)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known = WordHashes(), set()
-        pending, tokens, counts = [], np.empty(0, np.uint64), np.empty(0, np.int64)
+        known, pending = set(), []
+        tokens, counts, waiting = np.empty(0, np.uint64), np.empty(0, np.int64), 0
 
         def fold():
-            nonlocal pending, tokens, counts
-            new, n = np.unique(np.concatenate([tokens, *pending]), return_inverse=True)
-            weight = np.concatenate([counts, np.ones(len(n) - len(counts), np.int64)])
-            tokens, counts, pending = new, np.bincount(n, weight, len(new)).astype(np.int64), []
+            nonlocal pending, tokens, counts, waiting
+            new = np.sort(np.concatenate(pending))
+            firsts = np.flatnonzero(np.r_[True, new[1:] != new[:-1]])
+            more = np.diff(np.r_[firsts, len(new)])
+            both = np.concatenate([tokens, new[firsts]])
+            by = np.argsort(both, kind="stable")
+            both, weight = both[by], np.concatenate([counts, more])[by]
+            firsts = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
+            tokens, counts, pending, waiting = both[firsts], np.add.reduceat(weight, firsts), [], 0
             if len(tokens) > MAX_COUNTED:  # counts serve the order of shingles only, where any order is right
                 tokens, counts = tokens[counts > 1], counts[counts > 1]
 
@@ -92,14 +99,15 @@ def _nodes(shingle: int):
             d, h, texts = (c.to_pylist() for c in batch.columns)
             ids, sizes = [], []
             for text in texts:
-                found = shingle_set(text, shingle, hashes)
+                found = shingle_set(text, shingle)
                 ids.append(_id(found) if len(found) else None)
                 sizes.append(len(found))
                 if len(found) and ids[-1] not in known:
                     if len(known) < 1 << 20:
                         known.add(ids[-1])
                     pending.append(found)
-                    if len(pending) >= 4000:
+                    waiting += len(found)
+                    if waiting >= FOLDED:
                         fold()
             none = [None] * len(d)
             yield table_of(
@@ -108,11 +116,12 @@ def _nodes(shingle: int):
             )
         if pending:
             fold()
-        often = counts > 1
-        n = int(often.sum())
-        none = [None] * n
-        rows = {"kind": [1] * n, "d": none, "h": none, "id": none, "a": none, "n": none}
-        yield table_of(rows | {"token": tokens[often].view(np.int64), "df": counts[often]}, _NODES_ARROW)
+        tokens, counts = tokens[counts > 1].view(np.int64), counts[counts > 1]
+        for lo in range(0, len(tokens), SENT):
+            part = tokens[lo : lo + SENT]
+            none = [None] * len(part)
+            rows = {"kind": [1] * len(part), "d": none, "h": none, "id": none, "a": none, "n": none}
+            yield table_of(rows | {"token": part, "df": counts[lo : lo + SENT]}, _NODES_ARROW)
 
     return run
 
@@ -149,10 +158,10 @@ def _costs(shingle: int, percent: int, order: Order):
     """Work per set size, as rows of subsets and as entries met in inverted lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known, total = WordHashes(), set(), {}
+        known, total = set(), {}
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = shingle_set(text, shingle, hashes)
+                found = shingle_set(text, shingle)
                 n = len(found)
                 if not 0 < n <= LARGEST_SMALL or _id(found) in known:
                     continue
@@ -184,13 +193,13 @@ def _keys(shingle: int, percent: int, order: Order, small: int):
     from_lists = _least(small + 1, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known = WordHashes(), set()
+        known = set()
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for lo, hi in chunks(texts):
                 keys, ids, sizes, places, hot = [], [], [], [], []
                 for text in texts[lo:hi]:
-                    found = shingle_set(text, shingle, hashes)
+                    found = shingle_set(text, shingle)
                     n = len(found)
                     if n < least_linked or (name := _id(found)) in known:
                         continue
@@ -243,18 +252,42 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = batch.slice(len(keys) - 1, 1)
 
 
+class _Sets(dict):
+    """Shingle sets by id, remembered up to a bound on their sizes together."""
+
+    def __init__(self, shingle: int):
+        self.shingle, self.held, self.unpack = shingle, 0, zstandard.ZstdDecompressor().decompress
+
+    def of(self, name: bytes, text: pa.Scalar) -> np.ndarray:
+        found = self.get(name)
+        if found is None:
+            found = shingle_set(self.unpack(text.as_py()), self.shingle)
+            if self.held > KEPT:
+                self.clear()
+                self.held = 0
+            self[name] = found
+            self.held += len(found) + 64
+        return found
+
+
 def _verify(shingle: int, percent: int):
+    """Similar ones among pairs that come in the order of their second members."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor().decompress
+        sets = _Sets(shingle)
         last: tuple[bytes | None, np.ndarray] = (None, np.empty(0, np.uint64))
         for batch in batches:
             keep = []
-            for i, (x, a, b) in enumerate(zip(batch.column(0), batch.column(2), batch.column(3))):
-                if last[0] != x.as_py():
-                    last = (x.as_py(), shingle_set(unpack(a.as_py()).decode(), shingle, hashes))
-                left, right = last[1], shingle_set(unpack(b.as_py()).decode(), shingle, hashes)
-                both = np.intersect1d(left, right, assume_unique=True).size
-                if 100 * both >= percent * (len(left) + len(right) - both):
+            for i, (x, y, a, b) in enumerate(zip(*batch.columns)):
+                if last[0] != y.as_py():
+                    last = (y.as_py(), sets.of(y.as_py(), b))
+                left, right = sets.of(x.as_py(), a), last[1]
+                least, most = sorted((len(left), len(right)))
+                if 100 * least < percent * most:
+                    continue
+                both = np.sort(np.concatenate([left, right]), kind="stable")
+                common = int(np.count_nonzero(both[1:] == both[:-1]))
+                if 100 * common >= percent * (least + most - common):
                     keep.append(i)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
@@ -317,7 +350,9 @@ def similar_links(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int)
     best = votes.groupBy("a").agg(F.max(F.struct("count", "first")).alias("best")).select("a", "best.first")
     x, y = chosen.select(F.col("id").alias("x"), "a"), chosen.select(F.col("id").alias("y"), F.col("a").alias("first"))
     one_each = best.join(x, "a").join(y, "first")
-    one_each = saved(one_each.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "ngram-pairs")
+    pair = [F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")]
+    one_each = one_each.groupBy(*pair).agg(F.min(F.struct("x", "y")).alias("pair"))  # the partner of many comes second
+    one_each = saved(one_each.select("lo", "hi", "pair.*"), "ngram-pairs")
 
     d, h = identity()
     texts = docs.select(d, h, packed(F.col("text")).alias("text")).join(chosen, ["d", "h"]).dropDuplicates(["id"])
@@ -329,7 +364,7 @@ def similar_links(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int)
         whole = pairs.join(left, "x").join(right, "y").select("x", "y", "left", "right")
         return whole.mapInArrow(_verify(shingle, percent), "x binary, y binary")
 
-    first_links = saved(verified(one_each), "ngram-links")
+    first_links = saved(verified(one_each.select("x", "y")), "ngram-links")
     roots = components(first_links)
     rooted = chosen.select("id", "a").join(roots, "id", "left").select("id", "a", F.coalesce("root", "id").alias("root"))
     placed = shared.join(rooted, "a").select("key", "id", "n", "pos", "root")
@@ -351,7 +386,7 @@ def similar_links(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int)
         .select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
         .distinct()
     )
-    later = further.join(one_each, ["x", "y"], "left_anti")
+    later = further.join(one_each.select(F.col("lo").alias("x"), F.col("hi").alias("y")), ["x", "y"], "left_anti")
     return first_links.unionByName(verified(later))
 
 

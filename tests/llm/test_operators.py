@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 
+from hourmill.llm.common import word_hashes  # noqa: E402
 from hourmill.llm import chat_format, decontaminate, licenses, nearest, ngram_join, packing, substring_dedup  # noqa: E402
 from hourmill.llm import token_files, toxicity, url_filter  # noqa: E402
 from hourmill.llm.common import new_path  # noqa: E402
@@ -89,6 +90,14 @@ def test_near_duplicates_keep_one(docs, repeated, none):
     assert ngram_join.ngram_components(none).collect() == []
 
 
+def test_word_hashes_tell_words_apart():
+    for text in (b"", b" ", b"a", b"ab ba\x1cb ab\tba\x0b\x0cb\r\n", b"x" * 600_000 + b" y" * 300_000 + b" x"):
+        words = text.split()
+        found = word_hashes(text).tolist()
+        assert len(found) == len(words)
+        assert len(set(zip(words, found))) == len(set(words)) == len(set(found))
+
+
 def test_boundary_takes_the_cheaper_side():
     assert ngram_join.boundary({10: (10, 1000), 40: (500, 100)}, 85) in range(10, 40)
     assert ngram_join.boundary({10: (1000, 10)}, 85) == 0
