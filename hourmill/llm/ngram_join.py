@@ -132,13 +132,20 @@ class Order:
     def __init__(self, tokens: np.ndarray, df: np.ndarray):
         by = np.argsort(tokens)
         self.tokens, self.df = tokens[by], df[by]
+        self.leading: np.ndarray | None = None  # leading 24 bits that some token has; made where it is used
 
     def frequency(self, shingles: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(shingles), np.int64)
         if not len(self.tokens):
-            return np.zeros(len(shingles), np.int64)
-        at = np.searchsorted(self.tokens, shingles)
+            return found
+        if self.leading is None:
+            self.leading = np.zeros(1 << 24, bool)
+            self.leading[self.tokens >> np.uint64(40)] = True
+        maybe = np.flatnonzero(self.leading[shingles >> np.uint64(40)])
+        at = np.searchsorted(self.tokens, shingles[maybe])
         at[at == len(self.tokens)] = 0
-        return np.where(self.tokens[at] == shingles, self.df[at], 0)
+        found[maybe] = np.where(self.tokens[at] == shingles[maybe], self.df[at], 0)
+        return found
 
     def prefix(self, shingles: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         df = self.frequency(shingles)

@@ -98,6 +98,12 @@ def test_word_hashes_tell_words_apart():
         assert len(set(zip(words, found))) == len(set(words)) == len(set(found))
 
 
+def test_frequencies_are_those_given():
+    tokens = np.random.default_rng(5).integers(0, 1 << 63, 5000).astype(np.uint64)
+    order = ngram_join.Order(tokens[:3000], np.arange(1, 3001))
+    assert order.frequency(tokens).tolist() == [*range(1, 3001), *[0] * 2000]
+
+
 def test_boundary_takes_the_cheaper_side():
     assert ngram_join.boundary({10: (10, 1000), 40: (500, 100)}, 85) in range(10, 40)
     assert ngram_join.boundary({10: (1000, 10)}, 85) == 0
