@@ -68,7 +68,6 @@ def transform_silver(lake: Lake, batches: Sequence[str], on_error: str = "raise"
         rows,
         match_on=normalize_names(parse_timestamps(source.select(*lake.spec.time_columns), lake.spec, on_error)),
         touched=_month_folders(batches),
-        spread=len(batches) > 1,
         metrics=_per_batch(batches) | {f"null {m}": F.col(m).isNull() for m in measures},
     )
     return _split(counts, batches), {m: counts.get(f"null {m}", 0) for m in measures}
