@@ -1,9 +1,9 @@
 """License statements by a positional rare-token index, in DataFrame functions only.
 
-Templates are short license texts. Their words with positions are the postings. Of
-each document the words of highest inverse document frequency among the template
-words it holds are looked up; each occurrence votes for the places at which a
-template would start there (its own position less the word's in the template).
+Templates are short license texts. Their words with positions are the postings. For
+each template, the words of highest inverse document frequency among those of its
+words that the document holds are looked up; each occurrence votes for the places at
+which the template would start there (its own position less the word's in the template).
 Where enough of a template's words agree on one start, the template's mandatory
 phrases must stand in the words from there on; then its label is given.
 """
@@ -141,10 +141,15 @@ def scan_licenses(
     located = split.withColumn("hits", F.filter(indexed, lambda h: h.isNotNull()))
     base = located.select("*", *[_starts(p).alias(f"base_{k}") for k, (p, _) in enumerate(phrases)])
 
-    weight = F.create_map(*[x for w in sorted(idf) for x in (F.lit(w), F.lit(idf[w]))])
-    present = F.array_distinct(F.filter(F.transform("hits", lambda h: h["w"]), lambda w: w.isin(sorted(postings))))
-    by_idf = F.sort_array(F.transform(present, lambda w: F.struct((-weight[w]).alias("idf"), w.alias("w"))))
-    base = base.withColumn("rare", F.transform(F.slice(by_idf, 1, RARE_WORDS), lambda s: s["w"]))
+    held_words = F.array_distinct(F.filter(F.transform("hits", lambda h: h["w"]), lambda w: w.isin(sorted(postings))))
+    base = base.withColumn("held", held_words)
+
+    def rare(template: Template) -> Column:
+        """The rarest words of the template that the document holds."""
+        own = sorted(set(template.text.split()), key=lambda w: (-idf[w], w))
+        return F.slice(F.array_intersect(F.array(*[F.lit(w) for w in own]), "held"), 1, RARE_WORDS)
+
+    base = base.select("*", *[rare(x).alias(f"rare_{t}") for t, x in enumerate(templates)])
 
     def votes(t: int, template: Template) -> Column:
         """The most votes for one start of the template, and that start."""
@@ -153,7 +158,7 @@ def scan_licenses(
             if own := [p for x, p in found if x == t]:
                 places[word] = own
         at = F.create_map(*[x for w, p in sorted(places.items()) for x in (F.lit(w), F.array(*[F.lit(i) for i in p]))])
-        mine = F.filter("hits", lambda h: F.array_contains("rare", h["w"]) & h["w"].isin(sorted(places)))
+        mine = F.filter("hits", lambda h: F.array_contains(f"rare_{t}", h["w"]))
         starts = F.sort_array(F.flatten(F.transform(mine, lambda h: F.transform(at[h["w"]], lambda p: h["i"] - p))))
 
         def step(s: Column, x: Column) -> Column:
@@ -170,10 +175,8 @@ def scan_licenses(
     voted = base.select("*", *[votes(t, x).alias(f"vote_{t}") for t, x in enumerate(templates)])
     shares, found = [], []
     for t, template in enumerate(templates):
-        text = template.text.split()
-        vote, length = F.col(f"vote_{t}"), len(text)
-        looked_up = F.size(F.array_intersect("rare", F.array(*[F.lit(w) for w in sorted(set(text))])))
-        share = vote["most"] / F.least(F.lit(length), F.greatest(looked_up, F.lit(math.ceil(AGREEING * min(RARE_WORDS, length)))))
+        vote, length = F.col(f"vote_{t}"), len(template.text.split())
+        share = vote["most"] / F.least(F.lit(length), F.greatest(F.size(f"rare_{t}"), F.lit(math.ceil(AGREEING * min(RARE_WORDS, length)))))
         standing = [_stands(p, vote["start"] - SLACK, vote["start"] + length + SLACK) for p in template.phrases]
         enough = (share >= AGREEING) & reduce(lambda a, b: a & b, standing)
         fits = F.when(vote["most"] > 0, enough).otherwise(False)

@@ -205,6 +205,18 @@ def test_licenses(spark, none):
     assert licenses.scan_licenses(none).collect() == []
 
 
+@pytest.mark.parametrize("common", ["", "mit,apache-2.0"])
+def test_licenses_side_by_side(spark, common):
+    stated = licenses.TEMPLATES
+    pairs = [({a.label, b.label}, f"{a.text} {b.text}") for a in stated for b in stated if a is not b]
+    prose = " then ".join(w for t in stated[:9] for w in t.text.split()[::-1])
+    pairs += [({t.label}, f"{prose} {'and so on ' * 20} {t.text}") for t in stated]
+    rare = [(set(), t.text) for t in stated for _ in range(300 if t.label in common else 10)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(pairs + rare)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan_licenses(df).collect()}
+    assert [(text, want - got[i]) for i, (want, text) in enumerate(pairs) if want - got[i]] == []
+
+
 def test_toxicity(spark, none):
     rows = [(i, f"plain words number {'abcdefgh'[i % 8]} here" + (" you f0olish man" if i % 5 == 0 else "")) for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)] + [(None, 1), (7, None)], "doc_id long, toxic int")
