@@ -4,8 +4,8 @@ Templates are short license texts. Their words with positions are the postings.
 each template, the words of highest inverse document frequency among those of its
 words that the document holds are looked up; each occurrence votes for the places at
 which the template would start there (its own position less the word's in the template).
-Where enough of a template's words agree on one start, the template's mandatory
-phrases must stand in the words from there on; then its label is given.
+At every start on which enough of a template's words agree, the template's mandatory
+phrases are looked for in the words from there on; its label is given where they stand.
 """
 
 from __future__ import annotations
@@ -151,37 +151,42 @@ def scan_licenses(
 
     base = base.select("*", *[rare(x).alias(f"rare_{t}") for t, x in enumerate(templates)])
 
-    def votes(t: int, template: Template) -> Column:
-        """The most votes for one start of the template, and that start."""
+    def starts(t: int, template: Template) -> Column:
+        """A start of the template per vote, sorted."""
         places: dict[str, list[int]] = {}
         for word, found in postings.items():
             if own := [p for x, p in found if x == t]:
                 places[word] = own
         at = F.create_map(*[x for w, p in sorted(places.items()) for x in (F.lit(w), F.array(*[F.lit(i) for i in p]))])
         mine = F.filter("hits", lambda h: F.array_contains(f"rare_{t}", h["w"]))
-        starts = F.sort_array(F.flatten(F.transform(mine, lambda h: F.transform(at[h["w"]], lambda p: h["i"] - p))))
-
-        def step(s: Column, x: Column) -> Column:
-            run = F.when(s["now"] == x, s["run"] + 1).otherwise(F.lit(1))
-            better = run > s["most"]
-            return F.struct(
-                x.alias("now"), run.alias("run"), F.when(better, run).otherwise(s["most"]).alias("most"),
-                F.when(better, x).otherwise(s["start"]).alias("start"),
-            )
-
-        nothing = F.struct(F.lit(-(1 << 31)).alias("now"), F.lit(0).alias("run"), F.lit(0).alias("most"), F.lit(0).alias("start"))
-        return F.aggregate(starts, nothing, step)
-
-    voted = base.select("*", *[votes(t, x).alias(f"vote_{t}") for t, x in enumerate(templates)])
-    shares, found = [], []
-    for t, template in enumerate(templates):
-        vote, length = F.col(f"vote_{t}"), len(template.text.split())
-        share = vote["most"] / F.least(F.lit(length), F.greatest(F.size(f"rare_{t}"), F.lit(math.ceil(AGREEING * min(RARE_WORDS, length)))))
-        standing = [_stands(p, vote["start"] - SLACK, vote["start"] + length + SLACK) for p in template.phrases]
-        enough = (share >= AGREEING) & reduce(lambda a, b: a & b, standing)
-        fits = F.when(vote["most"] > 0, enough).otherwise(False)
-        found.append(F.when(fits, F.lit(template.label)))
-        shares.append(F.when(fits, F.least(share, F.lit(1.0))).otherwise(0.0))
+        return F.sort_array(F.flatten(F.transform(mine, lambda h: F.transform(at[h["w"]], lambda p: h["i"] - p))))
+
+    def edges(t: int) -> Column:
+        """Where runs of one start begin in the sorted starts."""
+        new = F.transform(f"starts_{t}", lambda x, j: F.when((j == 0) | (F.get(f"starts_{t}", j - 1) != x), j))
+        return F.filter(new, lambda j: j.isNotNull())
+
+    def fitting(t: int, template: Template) -> Column:
+        """The shares of the words that agree on a start, of all starts at which the template stands."""
+        length = len(template.text.split())
+        at, first = f"starts_{t}", f"edges_{t}"
+        out_of = F.least(F.lit(length), F.greatest(F.size(f"rare_{t}"), F.lit(math.ceil(AGREEING * min(RARE_WORDS, length)))))
+
+        def run(j: Column, r: Column) -> Column:
+            n = F.coalesce(F.get(first, r + 1), F.size(at)) - j
+            return F.struct(F.get(at, j).alias("start"), (n / out_of).alias("share"))
+
+        def stands(s: Column) -> Column:
+            return reduce(lambda a, b: a & b, [_stands(p, s["start"] - SLACK, s["start"] + length + SLACK) for p in template.phrases])
+
+        enough = F.filter(F.transform(first, run), lambda s: s["share"] >= AGREEING)
+        return F.transform(F.filter(enough, stands), lambda s: s["share"])
+
+    voted = base.select("*", *[starts(t, x).alias(f"starts_{t}") for t, x in enumerate(templates)])
+    voted = voted.select("*", *[edges(t).alias(f"edges_{t}") for t in range(len(templates))])
+    voted = voted.select("*", *[fitting(t, x).alias(f"fits_{t}") for t, x in enumerate(templates)])
+    found = [F.when(F.size(f"fits_{t}") > 0, F.lit(x.label)) for t, x in enumerate(templates)]
+    shares = [F.least(F.coalesce(F.array_max(f"fits_{t}"), F.lit(0.0)), F.lit(1.0)) for t in range(len(templates))]
     bases = [F.col(f"base_{k}") for k in range(len(phrases))]
     places = F.concat(*bases)
     base_labels = F.array_compact(F.array(*[F.when(F.size(b) > 0, F.lit(label)) for b, (_, label) in zip(bases, phrases)]))

@@ -217,6 +217,23 @@ def test_licenses_side_by_side(spark, common):
     assert [(text, want - got[i]) for i, (want, text) in enumerate(pairs) if want - got[i]] == []
 
 
+def test_licenses_after_cut_copies(spark):
+    rows = []
+    for t in licenses.TEMPLATES:
+        cut = t.text
+        for p in t.phrases[-1:]:
+            cut = cut.replace(p.split()[-1], "gone")
+        rows += [(t.label, f"{cut} {'and so on ' * 20} {t.text}"), (t.label, f"{cut} {'x ' * 50}" * 30 + f"{t.text} {'y ' * 50} {cut}")]
+        rows.append((None, f"{cut} {'x ' * 50}" * 30))
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (set(r.labels.split(",")), r.score) for r in licenses.scan_licenses(df).collect()}
+    for i, (label, text) in enumerate(rows):
+        if label:
+            assert label in got[i][0] and got[i][1] == 1, text
+        else:
+            assert rows[i - 1][0] not in got[i][0], text
+
+
 def test_toxicity(spark, none):
     rows = [(i, f"plain words number {'abcdefgh'[i % 8]} here" + (" you f0olish man" if i % 5 == 0 else "")) for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)] + [(None, 1), (7, None)], "doc_id long, toxic int")
