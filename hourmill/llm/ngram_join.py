@@ -9,10 +9,11 @@ last. Two similar sets then share their first common shingles within a prefix:
 - any pair with a *large* set is found by scanning inverted lists of single prefix
   shingles. The boundary is the size that makes both costs least on these tables.
 
-Candidates are verified on the whole sets. To spare large groups of copies their
-pairs, each node is first checked against one other node, the one it shares most
-keys with; only keys that then still hold nodes of different components give further
-pairs, of those nodes only. Links and components stay distributed.
+Candidates are verified on the whole sets: all pairs where links are asked for. Where
+only groups are, large groups of copies are spared their pairs: each node is first
+checked against one other node, the one it shares most keys with; only keys that then
+still hold nodes of different components give further pairs, of those nodes only.
+Links and components stay distributed.
 """
 
 from __future__ import annotations
@@ -35,8 +36,10 @@ MAX_FREQUENT = 1 << 20
 MAX_COUNTED, FOLDED, SENT, KEPT = 1 << 22, 1 << 20, 1 << 16, 1 << 20
 #: Shingles of so many sets are known to be shared, so their rows need not meet.
 HOT = 20_000
+#: Sets of one key that a task pairs with each other; keys of more are dealt to several tasks.
+PAIRED = 1_000
 LOWEST = -(1 << 63)
-_PLACE_NAMES = {"d": "_llm_e", "h": "_llm_g", "n_shingles": "_llm_n", "component_id": "_llm_c", "leads": "_llm_l"}
+_PLACE_NAMES = {"d": "_llm_e", "h": "_llm_g", "n_shingles": "_llm_n", "component_id": "_llm_c", "leads": "_llm_l", "n_links": "_llm_k"}
 LARGEST_SMALL = 64
 
 _NODES = "kind int, d long, h long, id binary, a long, n int, token long, df long"
@@ -328,8 +331,32 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def similar_links(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links ``x``, ``y`` between distinct sets that yield the same components as all links."""
+def _all_pairs(placed: DataFrame, percent: int, paired: int) -> DataFrame:
+    """Distinct pairs ``x`` < ``y`` of sets that share a key of ``placed`` (``key``, ``id``, ``n``, ``pos``) and may be similar.
+
+    A key of many sets is split: each set's row goes to one part as first member and to all parts as second.
+    """
+    sizes = placed.groupBy("key").agg(F.ceil(F.count("*") / paired).cast("int").alias("parts"))
+    placed = placed.join(sizes.where("parts > 1"), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    x = placed.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).alias("x")
+    y = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    need = (F.col("x.n") + F.col("y.n")) * percent
+    room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent)
+    met = x.join(
+        y,
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.part") == F.col("y.part"))
+        & (F.col("x.id") < F.col("y.id"))
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        & (room >= need),
+    )
+    return met.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct()
+
+
+def similar_links(
+    docs: DataFrame, nodes: DataFrame, shingle: int, percent: int, every: bool = True, paired: int = PAIRED
+) -> DataFrame:
+    """Links ``x``, ``y`` between distinct sets: every one, or only such as yield the same components."""
     spark = docs.sparkSession
     frequent = (
         nodes.where("kind = 1").groupBy("token").agg(F.sum("df").alias("df")).where(F.col("df") >= FREQUENT)
@@ -348,19 +375,10 @@ def similar_links(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int)
     slot = F.when(F.col("hot"), F.xxhash64("key", "a")).otherwise(F.xxhash64("key"))
     met = keys.repartition(slot).sortWithinPartitions("key", "a").mapInArrow(_shared, _KEYS)
     shared = saved(met.drop("hot"), "ngram-keys")
-    firsts = shared.groupBy("key").agg(F.min("a").alias("first"))
 
     reps = nodes.where("id is not null").groupBy("id", "a").agg(F.min(F.struct("d", "h")).alias("rep"))
     involved = shared.select("a").distinct()
     chosen = saved(reps.join(involved, "a", "left_semi").select("id", "a", "rep.d", "rep.h"), "ngram-chosen")
-    votes = shared.join(firsts, "key").where("a != first").groupBy("a", "first").count()
-    best = votes.groupBy("a").agg(F.max(F.struct("count", "first")).alias("best")).select("a", "best.first")
-    x, y = chosen.select(F.col("id").alias("x"), "a"), chosen.select(F.col("id").alias("y"), F.col("a").alias("first"))
-    one_each = best.join(x, "a").join(y, "first")
-    pair = [F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")]
-    one_each = one_each.groupBy(*pair).agg(F.min(F.struct("x", "y")).alias("pair"))  # the partner of many comes second
-    one_each = saved(one_each.select("lo", "hi", "pair.*"), "ngram-pairs")
-
     d, h = identity()
     texts = docs.select(d, h, packed(F.col("text")).alias("text")).join(chosen, ["d", "h"]).dropDuplicates(["id"])
     texts = saved(texts.select("id", "text"), "ngram-texts")
@@ -371,6 +389,18 @@ def similar_links(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int)
         whole = pairs.join(left, "x").join(right, "y").select("x", "y", "left", "right")
         return whole.mapInArrow(_verify(shingle, percent), "x binary, y binary")
 
+    if every:
+        pairs = saved(_all_pairs(shared.join(chosen.select("id", "a"), "a"), percent, paired), "ngram-pairs")
+        return verified(pairs)
+
+    firsts = shared.groupBy("key").agg(F.min("a").alias("first"))
+    votes = shared.join(firsts, "key").where("a != first").groupBy("a", "first").count()
+    best = votes.groupBy("a").agg(F.max(F.struct("count", "first")).alias("best")).select("a", "best.first")
+    x, y = chosen.select(F.col("id").alias("x"), "a"), chosen.select(F.col("id").alias("y"), F.col("a").alias("first"))
+    one_each = best.join(x, "a").join(y, "first")
+    pair = [F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")]
+    one_each = one_each.groupBy(*pair).agg(F.min(F.struct("x", "y")).alias("pair"))  # the partner of many comes second
+    one_each = saved(one_each.select("lo", "hi", "pair.*"), "ngram-pairs")
     first_links = saved(verified(one_each.select("x", "y")), "ngram-links")
     roots = components(first_links)
     rooted = chosen.select("id", "a").join(roots, "id", "left").select("id", "a", F.coalesce("root", "id").alias("root"))
@@ -397,17 +427,25 @@ def similar_links(docs: DataFrame, nodes: DataFrame, shingle: int, percent: int)
     return first_links.unionByName(verified(later))
 
 
-def _placed(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Per document (``d``, ``h``): set size, component, and whether it is the first of its component."""
+def _placed(docs: DataFrame, shingle: int, percent: int, every: bool, paired: int = PAIRED) -> DataFrame:
+    """Per document (``d``, ``h``): set size, component, whether it is the first of its component and, given all links, their number."""
     nodes = saved(docs.select(*identity(), "text").mapInArrow(_nodes(shingle), _NODES), "ngram-nodes")
     per_doc = nodes.where("kind = 0").select("d", "h", "id", "n").distinct()
-    links = saved(similar_links(docs, nodes, shingle, percent), "ngram-all-links")
+    links = saved(similar_links(docs, nodes, shingle, percent, every, paired), "ngram-all-links")
     roots = components(links)
     grouped = per_doc.where("id is not null").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     firsts = grouped.groupBy("root").agg(
         F.min(F.when(F.col("d") != F.lit(LOWEST).cast("long"), F.col("d"))).alias("component"), F.min(F.struct("d", "h")).alias("first")
     )
-    placed = grouped.join(firsts, "root").select("d", "h", "component", (F.struct("d", "h") == F.col("first")).alias("leads"))
+    if every:  # a node's documents link with each other and with those of its neighbours
+        copies = nodes.where("kind = 0 and id is not null").groupBy("id").agg(F.count("*").alias("copies"))
+        both = links.select("x", "y").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        beside = both.join(copies.withColumnRenamed("id", "y"), "y").groupBy(F.col("x").alias("id")).agg(F.sum("copies").alias("beside"))
+        linked = copies.join(beside, "id", "left").select("id", (F.col("copies") - 1 + F.coalesce("beside", F.lit(0))).alias("n_links"))
+        grouped = grouped.join(linked, "id")
+    else:
+        grouped = grouped.withColumn("n_links", F.lit(None).cast("long"))
+    placed = grouped.join(firsts, "root").select("d", "h", "component", "n_links", (F.struct("d", "h") == F.col("first")).alias("leads"))
     alone = F.col("id").isNull()
     return per_doc.join(placed, ["d", "h"], "left").select(
         "d",
@@ -415,6 +453,7 @@ def _placed(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         F.col("n").cast("long").alias("n_shingles"),
         F.when(alone & (F.col("d") != F.lit(LOWEST).cast("long")), F.col("d")).otherwise(F.col("component")).alias("component_id"),
         F.coalesce("leads", F.lit(True)).alias("leads"),
+        F.when(alone, 0).otherwise(F.col("n_links")).alias("n_links"),
     )
 
 
@@ -425,22 +464,26 @@ def _with_places(docs: DataFrame, placed: DataFrame) -> DataFrame:
     return marked.join(placed.select(*[F.col(o).alias(n) for o, n in _PLACE_NAMES.items()]), same)
 
 
-def ngram_components(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
-    """Every document with its set size and its group of near duplicates.
+def ngram_components(docs: DataFrame, shingle: int = 4, percent: int = 85, paired: int = PAIRED) -> DataFrame:
+    """Every document with its set size, its group of near duplicates and the number of its links.
 
     Two documents link when the Jaccard similarity of their sets of distinct
     ``shingle``-word shingles (A-Z lower-cased) is at least ``percent`` hundredths; a
     shorter text is one shingle. Added columns, which replace extra ones of these
-    names: ``n_shingles`` and ``component_id``, the smallest ``doc_id`` reachable by links.
+    names: ``n_shingles``, ``component_id``, the smallest ``doc_id`` reachable by links, and
+    ``n_links``, how many other documents (rows) it links with, equal ones among them.
 
     Null, empty and blank texts have no shingles and link with nothing: their
     component is their own number. Rows with one ``doc_id`` are separate documents of
     that number. A null ``doc_id`` is never the smallest; a group of such rows alone
     has a null component. An empty table gives an empty result.
     """
-    kept = docs.drop("n_shingles", "component_id")
-    return _with_places(kept, _placed(docs, shingle, percent)).select(
-        *[F.col(f"`{c}`") for c in kept.columns], F.col("_llm_n").alias("n_shingles"), F.col("_llm_c").alias("component_id")
+    kept = docs.drop("n_shingles", "component_id", "n_links")
+    return _with_places(kept, _placed(docs, shingle, percent, True, paired)).select(
+        *[F.col(f"`{c}`") for c in kept.columns],
+        F.col("_llm_n").alias("n_shingles"),
+        F.col("_llm_c").alias("component_id"),
+        F.col("_llm_k").alias("n_links"),
     )
 
 
@@ -450,5 +493,5 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80
     Cases are those of :func:`ngram_components`; documents without words all stay,
     but of wholly equal rows one does.
     """
-    rows = _with_places(docs, _placed(docs, shingle, percent)).where("_llm_l")
+    rows = _with_places(docs, _placed(docs, shingle, percent, False)).where("_llm_l")
     return rows.dropDuplicates(["_llm_d", "_llm_h"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -80,6 +80,27 @@ def test_ngram_components(docs, n, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(TEXTS, n, percent)
 
 
+@pytest.mark.parametrize("paired", [ngram_join.PAIRED, 2])
+def test_ngram_links_are_all_found(spark, repeated, paired):
+    near = [(20 + i, passage((59, f"z{i}"))) for i in range(8)] + [(30 + i, passage((0, f"y{i}"), (59, "z0"))) for i in range(4)]
+    rows = [*TEXTS, *near, (40, near[0][1]), (41, near[0][1]), (42, near[0][1].upper())]
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 85, paired)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in got.collect()}
+    sets = {}
+    for d, text in rows:
+        w = brute.words(brute.lower(text))
+        k = min(4, len(w))
+        sets[d] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+    groups = brute.components(rows, 4, 85)
+    for d, s in sets.items():
+        links = sum(1 for e, o in sets.items() if e != d and s and o and 100 * len(s & o) >= 85 * len(s | o))
+        assert got[d] == (*groups[d], links)
+    rows = ngram_join.ngram_components(repeated).collect()
+    assert sorted((r.doc_id or 0, (r.text or "")[:1], r.n_links) for r in rows) == [
+        (0, "", 0), (0, "p", 0), (1, "o", 0), (1, "q", 2), (1, "q", 2), (2, "q", 2)
+    ]
+
+
 def test_near_duplicates_keep_one(docs, repeated, none):
     want = brute.components(TEXTS, 5, 80)
     assert sorted(r.doc_id for r in ngram_join.without_near_duplicates(docs).collect()) == sorted(
