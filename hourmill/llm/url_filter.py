@@ -122,15 +122,15 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, calibration_shar
     sets the threshold, where both kinds are told apart best. Without allowed or
     blocked URLs the models say nothing and everything without a rule is allowed.
 
-    A null url, or one without ``://``, has an empty host and path and is scored as
-    an empty string. The added columns replace extra ones of these names; repeated
+    The models count and score the whole url, query and fragment too. A null url, or
+    one without ``://``, has an empty host and path; null is scored as an empty string. The added columns replace extra ones of these names; repeated
     rows are judged alike; an empty table gives an empty result.
     """
     added = ("host", "path", "rule", "verdict", "score")
     host, path = host_and_path(F.col("url"))
     split = pages.drop(*added).select("*", host.alias("host"), path.alias("path"))
     name, kind = rule_of(F.col("host"), F.col("path"), rules)
-    ruled = split.select("*", name.alias("rule"), kind.alias("_kind"), F.concat("host", "path").alias("_said"))
+    ruled = split.select("*", name.alias("rule"), kind.alias("_kind"), F.coalesce("url", F.lit("")).alias("_said"))
     known = ruled.where(F.col("_kind").isNotNull()).select((F.col("_kind") == "block").cast("int").alias("kind"), "_said")
     apart = F.pmod(F.xxhash64("_said"), F.lit(calibration_share)) == 0
     summed = known.where(~apart).mapInArrow(_count, "kind int, gram int, n long").groupBy("kind", "gram").agg(F.sum("n").alias("n"))

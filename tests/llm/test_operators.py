@@ -205,6 +205,15 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(empty).collect() == []
 
 
+def test_url_filter_scores_the_whole_url(spark):
+    rows = [(i, f"https://good{i}.com/a?{'abc' * (i % 5)}=fine") for i in range(60)]
+    rows += [(100 + i, f"https://bad{i}.net/es/a?{'xyz' * (i % 5)}=pills") for i in range(60)]
+    rows += [(200, "q://h.org/a?abc=fine"), (201, "q://h.org/a?xyz=pills"), (202, "abc=fine"), (203, "xyz=pills"), (204, None), (205, "")]
+    got = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got[200].score > got[201].score and got[202].score > got[203].score and got[204].score == got[205].score
+    assert (got[200].host, got[200].path, got[200].rule, got[202].host) == ("h.org", "/a", None, "")
+
+
 def test_licenses(spark, none):
     texts = {
         0: "Licensed under the Apache License, Version 2.0.",
