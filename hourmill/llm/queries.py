@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, licenses, nearest, ngram_join, packing, substring_dedup, token_files, toxicity, url_filter
+from . import chat_format, collocations, decontaminate, licenses, nearest, ngram_join, packing, substring_dedup, token_files, toxicity, url_filter
 from .common import new_path
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -65,6 +65,10 @@ def op10_chat_format(spark, d):
     return chat_format.digests(chat_format.format_turns(turns.unionByName(spark.createDataFrame(added, turns.schema))))
 
 
+def op11_collocations(spark, d):
+    return collocations.collocations(_table(spark, d, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,6 +82,7 @@ QUERIES = {
         op8_nearest,
         op9_decontamination,
         op10_chat_format,
+        op11_collocations,
     )
 }
 
@@ -156,4 +161,41 @@ SQL = {
                CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens
         FROM turns GROUP BY conv_id
     """,
+    "op11_collocations": rf"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ),
+        p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+        sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+        runs AS (
+            SELECT lang, m, w[i : i + m - 1] AS w
+            FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p CROSS JOIN range(1, 5) AS s(m))
+        ),
+        every AS (
+            SELECT lang, any_value(m) AS m, w, array_to_string(w, ' ') AS phrase, count(*) AS f FROM runs GROUP BY lang, w HAVING count(*) >= 30
+        ),
+        inner_runs AS (
+            SELECT lang, w[i : i + k - 1] AS w, max(f) AS longer
+            FROM (SELECT lang, w, f, k, unnest(range(1, m - k + 2)) AS i FROM every CROSS JOIN range(2, 4) AS s(k) WHERE k < m)
+            GROUP BY ALL
+        ),
+        settled AS (
+            SELECT e.* FROM every e LEFT JOIN inner_runs i ON i.lang = e.lang AND i.w = e.w
+            WHERE e.m > 1 AND (longer IS NULL OR 100 * longer < 80 * e.f)
+        ),
+        cuts AS (
+            SELECT s.lang, s.phrase, s.f AS a, k, x.f AS l, y.f AS r,
+                   CAST((CAST(s.f AS HUGEINT) * 2000000) // (x.f + y.f) AS BIGINT) AS score
+            FROM settled s CROSS JOIN range(1, 4) AS c(k)
+            JOIN every x ON x.lang = s.lang AND x.w = s.w[1 : k] JOIN every y ON y.lang = s.lang AND y.w = s.w[k + 1 :]
+            WHERE k < s.m
+        ),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        ranked AS (
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+            FROM lowest
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+    """,
 }
