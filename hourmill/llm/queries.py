@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, collocations, decontaminate, licenses, nearest, ngram_join, packing, substring_dedup, token_files, toxicity, url_filter
+from . import chat_format, collocations, decontaminate, licenses, nearest, ngram_join, packing, prefix_trie, substring_dedup, token_files, toxicity, url_filter
 from .common import new_path
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -69,6 +69,10 @@ def op11_collocations(spark, d):
     return collocations.collocations(_table(spark, d, "documents"))
 
 
+def op12_prefix_trie(spark, d):
+    return prefix_trie.prefix_trie(_table(spark, d, "conversations")).drop("node")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,6 +87,7 @@ QUERIES = {
         op9_decontamination,
         op10_chat_format,
         op11_collocations,
+        op12_prefix_trie,
     )
 }
 
@@ -198,4 +203,39 @@ SQL = {
         )
         SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
     """,
+    "op12_prefix_trie": rf"""
+        WITH told AS (
+            SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                                 ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ),
+        drawn AS (
+            SELECT conv_id, t, conv_id - conv_id % 20 AS family,
+                   xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                           lambda x: [CAST(ascii(x) AS BIGINT)] || list_transform(range(8), lambda i: CAST(-1 AS BIGINT))))),
+                       lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 4 AS h
+            FROM told
+        ),
+        rebuilt AS (
+            SELECT a.conv_id, coalesce(b.t[1 : a.h], []) || a.t[a.h + 1 :] AS t
+            FROM drawn a LEFT JOIN told b ON b.conv_id = a.family
+        ),
+        places AS (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS depth FROM rebuilt),
+        nodes AS (
+            SELECT t[1 : depth] AS p, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(t) = depth), '')) AS ends_sha256
+            FROM places GROUP BY t[1 : depth]
+        ),
+        children AS (SELECT p[1 : depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+        own AS (
+            SELECT n.*, coalesce(c.n, 0) AS n_children,
+                   CASE WHEN n.depth = 0 THEN 0
+                        ELSE (n_convs - 1) * len({_WORDS.format("n.p[n.depth].text")}) END AS saved
+            FROM nodes n LEFT JOIN children c ON c.p = n.p
+        ),
+        tops AS (SELECT p[1 : k] AS p, n_children, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM own)),
+        below AS (SELECT p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM tops GROUP BY p)
+        SELECT o.conv_id, o.depth, u.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens, o.ends_sha256
+        FROM own o JOIN below b ON b.p = o.p LEFT JOIN nodes u ON o.depth > 0 AND u.p = o.p[1 : o.depth - 1]
+    """,
 }
