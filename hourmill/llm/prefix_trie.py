@@ -51,15 +51,11 @@ def _turn_rows(turns: DataFrame) -> DataFrame:
         quoted("turn").alias("turn"),
         role.alias("role"),
         F.sha2(F.concat_ws(":", F.octet_length(role).cast("string"), role, text), 256).alias("id"),
-        F.size(F.array_compact(F.expr(f"regexp_extract_all({_sql(text)}, '[^ \\\\t-\\\\r]+', 0)"))).cast("long").alias("words"),
+        F.regexp_count(text, F.lit(r"[^ \t-\r]+")).cast("long").alias("words"),
         text.alias("text"),
     )
 
 
-def _sql(_: object) -> str:
-    return "coalesce(cast(`text` as string), '')"
-
-
 def rebuilt(turns: DataFrame) -> DataFrame:
     """Conversations as told in `prefix_trie`: ``conv_id`` and ``turns``, an array of turn digests with their words.
 
@@ -67,8 +63,9 @@ def rebuilt(turns: DataFrame) -> DataFrame:
     few turns of those travel.
     """
     rows = _turn_rows(turns)
-    one = F.struct(F.col("turn").isNotNull().alias("a"), F.col("turn").alias("b"), "role", "text", F.unhex("id").alias("id"), "words")
-    told = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(one)).alias("t"))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    placed = rows.select("conv_id", F.struct(F.row_number().over(order).alias("place"), F.unhex("id").alias("id"), "words").alias("one"))
+    told = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("one")).alias("t"))
     own = told.select("conv_id", F.transform("t", lambda x: F.struct(x["id"].alias("id"), x["words"].alias("words"))).alias("own"))
     heads = own.where(F.col("conv_id") % FAMILY == 0).select(
         F.col("conv_id").alias("family"), F.slice("own", 1, OPENINGS - 1).alias("opening")

@@ -1,8 +1,8 @@
 """Quality rules: fixed counts per document, and how far its characters and common words are from its language's.
 
-The reference of a language is counted over all its documents: how its characters fall
-into classes, and how often each of its common words occurs. A document's own two
-histograms are held against them by the Jensen-Shannon distance (0: equal, 1: nothing
+The reference of a language is counted over all its documents: the median share of each
+class of characters, which junk does not move, and how often each of its common words
+occurs. A document's own two histograms are held against them by the Jensen-Shannon distance (0: equal, 1: nothing
 in common). A small sample is always some way off, so the allowed distance grows as a text
 gets shorter, and texts below a minimum length are not judged by that histogram at all.
 """
@@ -60,10 +60,14 @@ _FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else 32 if c < 0x30 or 0x3A <= c <= 0x40 or 0x5B <= c <= 0x60 or 0x7B <= c <= 0x7F else c for c in range(256)
 )
 
-_COUNTS = pa.schema([("lang", pa.string()), ("kind", pa.string()), ("item", pa.string()), ("n", pa.int64())])
-_RESULTS = T.StructType.fromDDL(
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
-    "char_distance double, word_distance double, kept boolean"
+_COUNTS = pa.schema([("lang", pa.string()), ("kind", pa.string()), ("item", pa.string()), ("share", pa.int32()), ("n", pa.int64())])
+#: Shares of a class are counted in steps of one in so many.
+_STEPS = 1000
+_RESULTS = T.StructType(
+    [T.StructField(name, T.LongType()) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    + [T.StructField("base_failed", T.BooleanType())]
+    + [T.StructField(name, T.DoubleType()) for name in ("char_distance", "word_distance")]
+    + [T.StructField("kept", T.BooleanType())]
 )
 
 
@@ -77,8 +81,8 @@ class Limits:
     of all words, so there are at most ``1 / min_share``.
     """
 
-    chars: float = 0.22
-    words: float = 0.42
+    chars: float = 0.17
+    words: float = 0.36
     min_chars: int = 200
     min_words: int = 50
     common_share: float = 0.005
@@ -110,47 +114,53 @@ def allowance(bins: int, n: int) -> float:
     return float(np.sqrt(max(bins - 1, 0) / (8 * np.log(2) * n)))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Characters per class and words of a task's texts, added up every now and then."""
-    classes: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(CLASSES), np.int64))
-    words: dict[str, Counter] = defaultdict(Counter)
+def _counter(min_chars: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents per share of a class, and words, of a task's texts, added up every now and then."""
+        classes: dict[str, Counter] = defaultdict(Counter)
+        words: dict[str, Counter] = defaultdict(Counter)
 
-    def added_up() -> Iterator[pa.RecordBatch]:
-        rows = [(lang, "class", name, int(n)) for lang, counts in classes.items() for name, n in zip(CLASSES, counts) if n]
-        rows += [(lang, "word", w.decode(errors="replace"), n) for lang, counts in words.items() for w, n in counts.items()]
-        classes.clear()
-        words.clear()
-        if rows:
-            yield from pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _COUNTS)], schema=_COUNTS).to_batches(1 << 16)
+        def added_up() -> Iterator[pa.RecordBatch]:
+            rows = [(lang, "class", CLASSES[c], share, n) for lang, counts in classes.items() for (c, share), n in counts.items()]
+            rows += [(lang, "word", w.decode(errors="replace"), 0, n) for lang, counts in words.items() for w, n in counts.items()]
+            classes.clear()
+            words.clear()
+            if rows:
+                yield from pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _COUNTS)], schema=_COUNTS).to_batches(1 << 16)
 
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            said = text.as_py()
-            classes[lang] += class_histogram(said)
-            words[lang].update(folded_words(said))
-            if sum(map(len, words.values())) > 1 << 18:
-                yield from added_up()
-    yield from added_up()
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                said = text.as_py()
+                histogram = class_histogram(said)
+                if (size := int(histogram.sum())) >= min_chars:
+                    classes[lang].update(enumerate((histogram * _STEPS // size).tolist()))
+                words[lang].update(folded_words(said))
+                if sum(map(len, words.values())) > 1 << 18:
+                    yield from added_up()
+        yield from added_up()
+
+    return count
 
 
 def language_references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Character classes and common words per language, counted over all documents.
 
-    Columns ``lang``, ``kind`` (``class``, ``word``, or ``words`` for the number of all words), ``item``, ``n``.
+    Columns ``lang``, ``kind`` (``class``, ``word``, or ``words`` for the number of all words), ``item`` and ``n``: the median
+    share of a class, in thousandths of the documents' characters, or the number of words.
     """
     texts = docs.select(
         F.coalesce(quoted("lang").cast("string"), F.lit(UNKNOWN_LANGUAGE)).alias("lang"), quoted("text").cast("string").cast("binary").alias("text")
     ).where("octet_length(text) > 0")
-    counts = saved(
-        texts.mapInArrow(_count, "lang string, kind string, item string, n long").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")),
-        "histograms",
-    )
+    counted = texts.mapInArrow(_counter(limits.min_chars), "lang string, kind string, item string, share int, n long")
+    counts = saved(counted.groupBy("lang", "kind", "item", "share").agg(F.sum("n").alias("n")), "histograms")
     sizes = counts.where("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("size"))
-    every = sizes.agg(F.sum("size").alias("every"))
-    large = sizes.join(every, F.col("size") >= F.greatest(F.lit(float(limits.min_reference)), F.col("every") * limits.min_share)).drop("every")
+    every = sizes.agg(F.sum("size")).first()[0] or 0
+    large = sizes.where(F.col("size") >= max(limits.min_reference, every * limits.min_share))
     known = counts.join(F.broadcast(large), "lang")
-    common = known.where((F.col("kind") == "class") | (F.col("n") >= F.col("size") * limits.common_share)).drop("size")
-    return common.unionByName(large.select("lang", F.lit("words").alias("kind"), F.lit("").alias("item"), F.col("size").alias("n")))
+    common = known.where((F.col("kind") == "word") & (F.col("n") >= F.col("size") * limits.common_share)).drop("size", "share")
+    median = F.expr("cast(percentile(share, 0.5, n) AS long) AS n")
+    classes = known.where("kind = 'class'").groupBy("lang", "kind", "item").agg(median)
+    return common.unionByName(classes).unionByName(large.select("lang", F.lit("words").alias("kind"), F.lit("").alias("item"), F.col("size").alias("n")))
 
 
 def repeated_words(ids: np.ndarray, text_of: np.ndarray, n_texts: int) -> np.ndarray:
@@ -227,7 +237,7 @@ class Reference:
         return chars, words, bool(fine)
 
 
-def _judge(known, keep: list[str], text: str, lang: str, schema: pa.Schema, limits: Limits):
+def _judge(known, keep: list[str], schema: pa.Schema, limits: Limits):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_lang: dict[str, list[dict]] = defaultdict(list)
         for row in known.value:
@@ -272,4 +282,4 @@ def judge_quality(docs: DataFrame, references: DataFrame | None = None, limits:
     lang = F.coalesce(quoted("lang").cast("string"), F.lit(UNKNOWN_LANGUAGE)) if "lang" in docs.columns else F.lit(UNKNOWN_LANGUAGE)
     prepared = docs.select(*[quoted(c) for c in keep], quoted("text").cast("string").cast("binary").alias("_text"), lang.alias("_lang"))
     schema = T.StructType([docs.schema[c] for c in keep] + _RESULTS.fields)
-    return prepared.mapInArrow(_judge(known, keep, "text", "lang", to_arrow_schema(_RESULTS), limits), schema)
+    return prepared.mapInArrow(_judge(known, keep, to_arrow_schema(_RESULTS), limits), schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, collocations, decontaminate, licenses, nearest, ngram_join, packing, prefix_trie, substring_dedup, token_files, toxicity, url_filter
+from . import chat_format, collocations, decontaminate, licenses, nearest, ngram_join, packing, prefix_trie, quality_rules, substring_dedup, token_files, toxicity, url_filter
 from .common import new_path
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -73,6 +73,11 @@ def op12_prefix_trie(spark, d):
     return prefix_trie.prefix_trie(_table(spark, d, "conversations")).drop("node")
 
 
+def op13_quality_rules(spark, d):
+    docs = _table(spark, d, "documents").select("doc_id", "text", "lang")
+    return quality_rules.judge_quality(docs).drop("text", "lang")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +93,7 @@ QUERIES = {
         op10_chat_format,
         op11_collocations,
         op12_prefix_trie,
+        op13_quality_rules,
     )
 }
 
