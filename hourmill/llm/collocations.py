@@ -1,15 +1,17 @@
 """Phrases whose words stand together more often than their parts would suggest, per language.
 
 Texts become numbered words; prefix polynomials over the words' values give the
-fingerprint of any run of words by two look-ups (Rabin and Karp). Runs are counted
-by fingerprint, short ones first: a run can only be frequent if the runs in it are,
-so a bit map of frequent fingerprints keeps most longer runs out of the shuffle. The
-map has a fixed size and errs on the side of letting runs through.
-
-What passes is an upper bound. A last reading of the texts finds every occurrence of
-a passing fingerprint, follows the pointer to its words, and counts by the words
-themselves, so runs that share a fingerprint are told apart and only frequent phrases
-are ever spelled out.
+fingerprint of any run of words by two look-ups (Rabin and Karp). Each task counts its
+runs by fingerprint and sends one row for each, with a pointer to an occurrence and a
+check value of its words; the shuffle adds them up. Short runs come first: a run can only
+be frequent if the runs in it are, so a bit map of frequent fingerprints keeps most
+longer runs out of the shuffle. The map has a fixed size and errs on the side of letting
+runs through.
+
+Only frequent fingerprints are spelled out, from the text their pointer leads to, where
+fingerprint and check are computed once more. Where the checks of a fingerprint
+differ, several phrases share it: such fingerprints are looked up in all texts again
+and counted by their words.
 """
 
 from __future__ import annotations
@@ -46,11 +48,11 @@ _FOLD = bytes(_FOLD)
 _PRIMES = (2147483647, 2147483629)
 _BASES = (1103515245, 1664525000)
 
-_COUNTS = pa.schema([("key", pa.int64()), ("f", pa.int64())])
+_COUNTS = pa.schema([(name, pa.int64()) for name in ("key", "f", "check", "doc", "place")])
 _WORDS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
-_PHRASES = pa.schema(
-    [("lang", pa.string()), ("n_parts", pa.int32()), ("phrase", pa.string()), ("f", pa.int64()), ("doc", pa.int64()), ("at", pa.int64())]
-)
+_PHRASES = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("n_parts", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
+#: A place holds 31 bits of the text's hash, the words before it, and the run's length.
+_HASH_SHIFT, _LENGTH_BITS = 32, 4
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -58,50 +60,56 @@ def _ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
+class Numbers(dict):
+    """Numbers of words by first appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Chunk:
     """Numbered words of some texts, one array for all; numbers 0 and 1 are the ends of pieces and texts."""
 
     def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {_PIECE: 0, _TEXT: 1}
+        self.numbers = Numbers({_PIECE: 0, _TEXT: 1})
         self.arrays: list[np.ndarray] = []
         self.langs: list[str] = []
-        self.docs: list[int | None] = []
         self.size = 0
 
-    def add(self, text: bytes, lang: str, doc: int | None) -> None:
+    def add(self, text: bytes, lang: str) -> None:
         folded = text.translate(_FOLD)
         start = 0
         while start < len(folded):  # long texts in parts, cut where a piece ends: no run crosses that
             cut = folded.find(_PIECE, start + _PART_BYTES) if len(folded) - start > _PART_BYTES else -1
             end = len(folded) if cut < 0 else cut + 1
-            self._number(folded[start:end].replace(_PIECE, b" \xff ").split(b" "))
+            self._number(folded[start:end].replace(_PIECE, b" \xff ").split())
             start = end
         self._number([_TEXT])
         self.langs.append(lang)
-        self.docs.append(doc)
 
     def _number(self, words: list[bytes]) -> None:
-        numbers = self.numbers
-        found = [numbers.setdefault(w, len(numbers)) for w in words if w]
-        self.arrays.append(np.array(found, np.int32))
-        self.size += len(found)
+        self.arrays.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+        self.size += len(words)
 
     def closed(self) -> Closed:
         ids = np.concatenate(self.arrays) if self.arrays else np.empty(0, np.int32)
-        return Closed(ids, list(self.numbers), self.langs, self.docs)
+        return Closed(ids, list(self.numbers), self.langs)
 
 
 class Closed:
     """A full chunk with its prefix polynomials."""
 
-    def __init__(self, ids: np.ndarray, words: list[bytes], langs: list[str], docs: list[int | None]):
-        self.ids, self.words, self.langs, self.docs = ids, words, langs, docs
+    def __init__(self, ids: np.ndarray, words: list[bytes], langs: list[str]):
+        self.ids, self.words, self.langs = ids, words, langs
         self.text_of = np.zeros(len(ids), np.int32)
         np.cumsum(ids[:-1] == 1, out=self.text_of[1:])
         salts = {lang: xxhash.xxh3_64_intdigest(lang.encode()) for lang in set(langs)}
         self.salt_of_text = np.array([salts[lang] for lang in langs], np.uint64)
         values = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         self.sums = [self._prefix(values, k) for k in (0, 1)]
+        self.first_of_text = np.r_[0, np.flatnonzero(ids == 1) + 1]
+        self._checks: np.ndarray | None = None
 
     def _prefix(self, values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Sums of value times power up to each word, and the inverse powers, modulo a prime."""
@@ -129,6 +137,15 @@ class Closed:
         key = mixed((halves[0] << np.uint64(31) | halves[1]) + self.salt_of_text[self.text_of[starts]] + np.uint64(n))
         return key >> np.uint64(64 - bits)
 
+    def checks(self, starts: np.ndarray, n: int) -> np.ndarray:
+        """Values of the words of runs that owe nothing to the polynomials."""
+        if self._checks is None:
+            self._checks = np.fromiter((xxhash.xxh3_64_intdigest(w, 1) for w in self.words), np.uint64, len(self.words))
+        total = self.salt_of_text[self.text_of[starts]]
+        for i in range(n):
+            total = mixed(total) + self._checks[self.ids[starts + i]]
+        return total
+
     def phrase(self, start: int, n: int) -> str:
         return b" ".join(self.words[i] for i in self.ids[start : start + n]).decode(errors="replace")
 
@@ -153,16 +170,18 @@ def _powers(n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     return kept
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Closed]:
-    chunk = Chunk()
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[Closed, list[tuple]]]:
+    """Texts as chunks, with the other columns of their rows."""
+    chunk, others = Chunk(), []
     for batch in batches:
-        for doc, lang, text in zip(*batch.columns):
-            chunk.add(text.as_py(), lang.as_py(), doc.as_py())
+        for text, lang, *other in zip(*[batch.column(name) for name in batch.schema.names]):
+            chunk.add(text.as_py(), lang.as_py())
+            others.append(other)
             if chunk.size >= size:
-                yield chunk.closed()
-                chunk = Chunk()
+                yield chunk.closed(), others
+                chunk, others = Chunk(), []
     if chunk.langs:
-        yield chunk.closed()
+        yield chunk.closed(), others
 
 
 def _frame(schema: pa.Schema, *columns: object) -> Iterator[pa.RecordBatch]:
@@ -171,33 +190,39 @@ def _frame(schema: pa.Schema, *columns: object) -> Iterator[pa.RecordBatch]:
     yield from table.to_batches(max_chunksize=1 << 16)
 
 
-def _totals(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.sort(keys)
-    firsts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
-    return keys[firsts], np.diff(np.r_[firsts, len(keys)])
+def _groups(differs: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where groups begin among ``n`` sorted rows, given where a row differs from the one before, and their sizes."""
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    firsts = np.flatnonzero(np.r_[True, reduce(np.logical_or, differs)])
+    return firsts, np.diff(np.r_[firsts, n])
 
 
 def _word_counter(size: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, size):
-            place = {lang: i for i, lang in enumerate(dict.fromkeys(chunk.langs))}
+        for chunk, _ in _chunks(batches, size):
+            names = list(dict.fromkeys(chunk.langs))
+            place = {lang: i for i, lang in enumerate(names)}
             code = np.array([place[lang] for lang in chunk.langs], np.int64)
             at = chunk.runs(1)
-            keys, counts = _totals(code[chunk.text_of[at]] * len(chunk.words) + chunk.ids[at])
-            lang, word = np.divmod(keys, max(len(chunk.words), 1))
-            names = list(place)
-            said = [chunk.words[i].decode(errors="replace") for i in word]
-            yield from _frame(_WORDS, [names[i] for i in lang], said, counts)
+            both = np.sort(code[chunk.text_of[at]] * len(chunk.words) + chunk.ids[at])
+            firsts, counts = _groups([both[1:] != both[:-1]], len(both))
+            lang, word = np.divmod(both[firsts], len(chunk.words))
+            yield from _frame(_WORDS, [names[i] for i in lang], [chunk.words[i].decode(errors="replace") for i in word], counts)
 
     return count
 
 
-def _passing(chunk: Closed, n: int, known: np.ndarray, bits: int) -> np.ndarray:
-    """Runs of ``n`` words all whose runs of ``n - 1`` words pass the filter."""
-    starts = chunk.runs(n)
-    for offset in (0, 1):
-        starts = starts[_holds(known, chunk.keys(starts + offset, n - 1, bits))]
-    return starts
+def _word_keys(bits: int):
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, words = batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()
+            numbers = Numbers({_PIECE: 0, _TEXT: 1})
+            ids = [x for word in words for x in (numbers[word.encode()], 1)]  # each word a text of its own
+            chunk = Closed(np.array(ids, np.int32), list(numbers), langs)
+            yield pa.RecordBatch.from_arrays([pa.array(chunk.keys(chunk.runs(1), 1, bits).view(np.int64))], names=["key"])
+
+    return keys
 
 
 def _holds(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -205,21 +230,64 @@ def _holds(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (known[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _run_counter(known, n: int, size: int, bits: int):
+def _run_counter(known, lengths: list[int], size: int, bits: int):
+    """Runs of some lengths whose own runs of the length before all pass the filter."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(known.value, np.uint8)
-        for chunk in _chunks(batches, size):
-            keys, counts = _totals(chunk.keys(_passing(chunk, n, bitmap, bits), n, bits))
-            yield from _frame(_COUNTS, keys.view(np.int64), counts)
+        inner = lengths[0] - 1
+        for chunk, others in _chunks(batches, size):
+            passes = np.zeros(len(chunk.ids) + lengths[-1], bool)
+            shorter = chunk.runs(inner)
+            passes[shorter[_holds(bitmap, chunk.keys(shorter, inner, bits))]] = True
+            docs = np.array([doc.as_py() for doc, _ in others], np.int64)
+            hashes = np.array([h.as_py() for _, h in others], np.int64)
+            for n in lengths:
+                starts = chunk.runs(n)
+                starts = starts[reduce(np.logical_and, [passes[starts + i] for i in range(n - inner + 1)])]
+                keys, checks = chunk.keys(starts, n, bits), chunk.checks(starts, n)
+                order = np.argsort(keys, kind="stable")
+                keys, checks, starts = keys[order], checks[order], starts[order]
+                firsts, counts = _groups([keys[1:] != keys[:-1], checks[1:] != checks[:-1]], len(keys))
+                starts = starts[firsts]
+                texts = chunk.text_of[starts]
+                at = starts - chunk.first_of_text[texts]
+                place = hashes[texts] << _HASH_SHIFT | at << _LENGTH_BITS | n
+                yield from _frame(_COUNTS, keys[firsts].view(np.int64), counts, checks[firsts].view(np.int64), docs[texts], place)
 
     return count
 
 
+def _reader(size: int, bits: int):
+    """The words that pointers into texts lead to, where fingerprint and check agree."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, others in _chunks(batches, size):
+            lists = [pointers.values for pointers, in others]
+            sizes = [len(p) for p in lists]
+            place, key, check, f = (np.concatenate([p.field(name).to_numpy() for p in lists]) for name in ("place", "key", "check", "f"))
+            starts = np.repeat(chunk.first_of_text[: len(sizes)], sizes) + ((place & (1 << _HASH_SHIFT) - 1) >> _LENGTH_BITS)
+            lengths = place & (1 << _LENGTH_BITS) - 1
+            starts = np.minimum(starts, len(chunk.ids) - 1)
+            for n in np.unique(lengths):
+                mine = np.flatnonzero((lengths == n) & (starts + n < len(chunk.ids)))
+                same = (chunk.keys(starts[mine], n, bits).view(np.int64) == key[mine]) & (
+                    chunk.checks(starts[mine], n).view(np.int64) == check[mine]
+                )
+                mine = mine[same]
+                langs = [chunk.langs[t] for t in chunk.text_of[starts[mine]]]
+                phrases = [chunk.phrase(s, n) for s in starts[mine]]
+                yield from _frame(_PHRASES, key[mine], langs, np.full(len(mine), n), phrases, f[mine])
+
+    return read
+
+
 def _speller(known, longest: int, size: int, bits: int):
+    """All runs whose fingerprints pass the filter, counted by their words."""
+
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(known.value, np.uint8)
-        for chunk in _chunks(batches, size):
-            first_of_text = np.r_[0, np.flatnonzero(chunk.ids == 1) + 1]
+        for chunk, _ in _chunks(batches, size):
             for n in range(2, longest + 1):
                 starts = chunk.runs(n)
                 keys = chunk.keys(starts, n, bits)
@@ -227,22 +295,14 @@ def _speller(known, longest: int, size: int, bits: int):
                 keys, starts = keys[passing], starts[passing]
                 order = np.argsort(keys, kind="stable")
                 keys, starts = keys[order], starts[order]
-                # A group ends where the fingerprint, the language or any word differs from the run before.
                 salts = chunk.salt_of_text[chunk.text_of[starts]]
                 differs = [keys[1:] != keys[:-1], salts[1:] != salts[:-1]]
                 differs += [(w := chunk.ids[starts + i])[1:] != w[:-1] for i in range(n)]
-                new = np.flatnonzero(np.r_[True, reduce(np.logical_or, differs)]) if len(keys) else np.empty(0, np.int64)
-                counts = np.diff(np.r_[new, len(keys)])
-                firsts = starts[new]
-                texts = chunk.text_of[firsts]
+                firsts, counts = _groups(differs, len(keys))
+                starts = starts[firsts]
+                langs = [chunk.langs[t] for t in chunk.text_of[starts]]
                 yield from _frame(
-                    _PHRASES,
-                    [chunk.langs[t] for t in texts],
-                    np.full(len(firsts), n, np.int32),
-                    [chunk.phrase(s, n) for s in firsts],
-                    counts,
-                    [chunk.docs[t] for t in texts],
-                    firsts - first_of_text[texts],
+                    _PHRASES, keys[firsts].view(np.int64), langs, np.full(len(firsts), n), [chunk.phrase(s, n) for s in starts], counts
                 )
 
     return spell
@@ -273,53 +333,44 @@ def phrase_counts(
 ) -> tuple[DataFrame, DataFrame]:
     """All phrases of up to ``longest`` words with ``min_count`` occurrences at least, and the number of words per language.
 
-    The first table has ``lang``, ``n_parts`` (words), ``phrase``, ``f`` and the place of one
-    occurrence: ``doc`` (the document's number) and ``at`` (words and ends of pieces before it).
-    Fewer ``filter_bits`` or ``fingerprint_bits`` cost time, not results.
+    The first table has ``lang``, ``n_parts`` (words), ``phrase`` and ``f``. Fewer ``filter_bits`` or
+    ``fingerprint_bits`` cost time, not results.
     """
-    if longest < 2:
-        raise ValueError("a phrase has two words at least")
+    if not 2 <= longest < 1 << _LENGTH_BITS:
+        raise ValueError(f"the longest phrase has 2 to {(1 << _LENGTH_BITS) - 1} words")
     lang = F.coalesce(quoted("lang").cast("string"), F.lit(UNKNOWN_LANGUAGE))
-    texts = docs.select(
-        quoted("doc_id").cast("long").alias("doc"), lang.alias("lang"), quoted("text").cast("string").cast("binary").alias("text")
-    ).where("octet_length(text) > 0")
-    words = saved(
-        texts.mapInArrow(_word_counter(chunk_words), _ddl(_WORDS)).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words"
+    text = quoted("text").cast("string")
+    doc = F.coalesce(quoted("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
+    marked = docs.where(F.octet_length(text) > 0).select(
+        text.cast("binary").alias("text"), lang.alias("lang"), doc.alias("doc"), F.hash(text, lang).bitwiseAND(F.lit((1 << 31) - 1)).alias("hash")
     )
+    texts = marked.select("text", "lang")
+    words = saved(texts.mapInArrow(_word_counter(chunk_words), _ddl(_WORDS)).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= min_count)
-    # The same key as in the tasks, from the same function on one word at a time.
     known = _filter_of(frequent.mapInArrow(_word_keys(fingerprint_bits), "key long"), filter_bits)
-    found = []
-    for n in range(2, longest + 1):
-        counted = texts.mapInArrow(_run_counter(known, n, chunk_words, fingerprint_bits), _ddl(_COUNTS))
-        level = saved(counted.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count), f"runs-{n}")
-        found.append(level.select("key"))
-        known = _filter_of(found[-1], filter_bits)
-    known = _filter_of(reduce(DataFrame.unionAll, found), filter_bits)
-    spelled = texts.mapInArrow(_speller(known, longest, chunk_words, fingerprint_bits), _ddl(_PHRASES))
-    place = F.min(F.struct("doc", "at")).alias("place")
-    phrases = spelled.groupBy("lang", "n_parts", "phrase").agg(F.sum("f").alias("f"), place).where(F.col("f") >= min_count)
-    single = frequent.select("lang", F.lit(1).alias("n_parts"), "phrase", "f", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("long").alias("at"))
-    every = phrases.select("lang", "n_parts", "phrase", "f", "place.doc", "place.at").unionAll(single)
-    return saved(every, "phrases"), sizes
-
-
-def _word_keys(bits: int):
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, words = batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()
-            if not words:
-                continue
-            distinct = {_PIECE: 0, _TEXT: 1}
-            ids = []
-            for word in words:  # each word a text of its own
-                ids += [distinct.setdefault(word.encode(), len(distinct)), 1]
-            chunk = Closed(np.array(ids, np.int32), list(distinct), langs, [None] * len(langs))
-            found = chunk.keys(chunk.runs(1), 1, bits)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["key"])
-
-    return keys
+    levels = []
+    for lengths in [[2], *[list(range(n, min(n + 2, longest + 1))) for n in range(3, longest + 1, 2)]]:
+        counted = marked.mapInArrow(_run_counter(known, lengths, chunk_words, fingerprint_bits), _ddl(_COUNTS))
+        level = counted.groupBy("key").agg(
+            F.sum("f").alias("f"), F.min("check").alias("check"), F.max("check").alias("other"), F.first("doc").alias("doc"), F.first("place").alias("place")
+        )  # the two firsts are of one row
+        levels.append(saved(level.where(F.col("f") >= min_count), "runs"))
+        known = _filter_of(levels[-1].select("key"), filter_bits)
+    runs = reduce(DataFrame.unionAll, levels)
+    shared = runs.where("check <> other")
+    pointers = runs.where("check = other").withColumn("hash", F.shiftright("place", _HASH_SHIFT).cast("int"))
+    per_text = pointers.groupBy("doc", "hash").agg(F.collect_list(F.struct("place", "key", "check", "f")).alias("pointers"))
+    found = marked.join(per_text, ["doc", "hash"]).select("text", "lang", "pointers")
+    # A row that is there twice is read twice.
+    phrases = found.mapInArrow(_reader(chunk_words, fingerprint_bits), _ddl(_PHRASES)).dropDuplicates(["key"]).drop("key")
+    if not shared.isEmpty():
+        known = _filter_of(shared.select("key"), filter_bits)
+        spelled = texts.mapInArrow(_speller(known, longest, chunk_words, fingerprint_bits), _ddl(_PHRASES))
+        own = spelled.join(shared.select("key"), "key", "left_semi").groupBy("lang", "n_parts", "phrase").agg(F.sum("f").alias("f"))
+        phrases = phrases.unionAll(own.where(F.col("f") >= min_count))
+    single = frequent.select("lang", F.lit(1).alias("n_parts"), "phrase", "f")
+    return saved(phrases.unionAll(single), "phrases"), sizes
 
 
 def collocations(
@@ -342,7 +393,7 @@ def collocations(
     longer one that holds its words has ``covered_percent`` of its occurrences. Each
     language's first ``limit`` (all, if None) by score and ``a`` descending, then phrase
     (UTF-8 bytes): ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n`` (words of the
-    language), ``score``, and one occurrence: ``doc`` and ``at`` (see `phrase_counts`).
+    language) and ``score``.
 
     Null texts are empty, a null language is ``und``, a null ``doc_id`` counts as any other;
     repeated rows all count; extra columns are not carried; without rows there is no result.
@@ -360,20 +411,20 @@ def collocations(
     settled = candidates.join(covered, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (_exact(F.col("longer")) * 100 < _exact(F.col("f")) * covered_percent)
     )
-    cuts = settled.select("lang", "phrase", "f", "doc", "at", F.explode(F.expr("sequence(1, n_parts - 1)")).alias("k"), F.split("phrase", " ").alias("w"))
+    cuts = settled.select("lang", "phrase", "f", F.explode(F.expr("sequence(1, n_parts - 1)")).alias("k"), F.split("phrase", " ").alias("w"))
     parts = cuts.select(
-        "lang", "phrase", "f", "doc", "at", "k",
+        "lang", "phrase", "f", "k",
         F.expr("array_join(slice(w, 1, k), ' ')").alias("left"), F.expr("array_join(slice(w, k + 1, size(w) - k), ' ')").alias("right"),
     )
     for side, count in (("left", "l"), ("right", "r")):
         parts = parts.join(every.select("lang", F.col("phrase").alias(side), F.col("f").alias(count)), ["lang", side])
     score = F.expr("cast(cast(f as decimal(20,0)) * 2000000 div (cast(l as decimal(20,0)) + r) as long)")
     lowest = (
-        parts.select("lang", "phrase", "f", "doc", "at", F.struct(score.alias("score"), "k", "l", "r").alias("cut"))
-        .groupBy("lang", "phrase").agg(F.min("cut").alias("cut"), *[F.first(c).alias(c) for c in ("f", "doc", "at")])
+        parts.select("lang", "phrase", "f", F.struct(score.alias("score"), "k", "l", "r").alias("cut"))
+        .groupBy("lang", "phrase").agg(F.min("cut").alias("cut"), F.first("f").alias("f"))
     )
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    scored = lowest.select("lang", "phrase", F.col("f").alias("a"), "cut.l", "cut.r", "cut.score", "doc", "at")
+    scored = lowest.select("lang", "phrase", F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
     if limit is not None:
         spread = F.xxhash64("phrase")
         for parts in _SPREAD:  # a language's first ones are among the first ones of any part of it
@@ -382,4 +433,4 @@ def collocations(
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if limit is not None:
         ranked = ranked.where(F.col("rank") <= limit)
-    return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score", "doc", "at")
+    return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
