@@ -31,7 +31,7 @@ UNKNOWN_LANGUAGE = "und"
 LONGEST = 4
 FILTER_BITS = 27
 #: Words that are counted together before they go to the shuffle.
-CHUNK_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 20
 _PART_BYTES = 4 << 20
 #: Parts of a language that are ranked by themselves first, so that no task sorts a whole language.
 _SPREAD = (1024, 32)
@@ -48,11 +48,11 @@ _FOLD = bytes(_FOLD)
 _PRIMES = (2147483647, 2147483629)
 _BASES = (1103515245, 1664525000)
 
-_COUNTS = pa.schema([(name, pa.int64()) for name in ("key", "f", "check", "doc", "place")])
+_COUNTS = pa.schema([("key", pa.int64()), ("f", pa.int64()), ("check", pa.int32()), ("text_id", pa.int64()), ("place", pa.int64())])
 _WORDS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 _PHRASES = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("n_parts", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
-#: A place holds 31 bits of the text's hash, the words before it, and the run's length.
-_HASH_SHIFT, _LENGTH_BITS = 32, 4
+#: A place holds the words and ends of pieces before a run, and in these bits its length.
+_LENGTH_BITS = 4
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -138,13 +138,13 @@ class Closed:
         return key >> np.uint64(64 - bits)
 
     def checks(self, starts: np.ndarray, n: int) -> np.ndarray:
-        """Values of the words of runs that owe nothing to the polynomials."""
+        """32-bit values of the words of runs that owe nothing to the polynomials."""
         if self._checks is None:
             self._checks = np.fromiter((xxhash.xxh3_64_intdigest(w, 1) for w in self.words), np.uint64, len(self.words))
         total = self.salt_of_text[self.text_of[starts]]
         for i in range(n):
             total = mixed(total) + self._checks[self.ids[starts + i]]
-        return total
+        return (mixed(total) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
     def phrase(self, start: int, n: int) -> str:
         return b" ".join(self.words[i] for i in self.ids[start : start + n]).decode(errors="replace")
@@ -240,8 +240,7 @@ def _run_counter(known, lengths: list[int], size: int, bits: int):
             passes = np.zeros(len(chunk.ids) + lengths[-1], bool)
             shorter = chunk.runs(inner)
             passes[shorter[_holds(bitmap, chunk.keys(shorter, inner, bits))]] = True
-            docs = np.array([doc.as_py() for doc, _ in others], np.int64)
-            hashes = np.array([h.as_py() for _, h in others], np.int64)
+            text_ids = np.array([x.as_py() for x, in others], np.int64)
             for n in lengths:
                 starts = chunk.runs(n)
                 starts = starts[reduce(np.logical_and, [passes[starts + i] for i in range(n - inner + 1)])]
@@ -252,8 +251,9 @@ def _run_counter(known, lengths: list[int], size: int, bits: int):
                 starts = starts[firsts]
                 texts = chunk.text_of[starts]
                 at = starts - chunk.first_of_text[texts]
-                place = hashes[texts] << _HASH_SHIFT | at << _LENGTH_BITS | n
-                yield from _frame(_COUNTS, keys[firsts].view(np.int64), counts, checks[firsts].view(np.int64), docs[texts], place)
+                yield from _frame(
+                    _COUNTS, keys[firsts].view(np.int64), counts, checks[firsts], text_ids[texts], at << _LENGTH_BITS | n
+                )
 
     return count
 
@@ -266,13 +266,13 @@ def _reader(size: int, bits: int):
             lists = [pointers.values for pointers, in others]
             sizes = [len(p) for p in lists]
             place, key, check, f = (np.concatenate([p.field(name).to_numpy() for p in lists]) for name in ("place", "key", "check", "f"))
-            starts = np.repeat(chunk.first_of_text[: len(sizes)], sizes) + ((place & (1 << _HASH_SHIFT) - 1) >> _LENGTH_BITS)
+            starts = np.repeat(chunk.first_of_text[: len(sizes)], sizes) + (place >> _LENGTH_BITS)
             lengths = place & (1 << _LENGTH_BITS) - 1
             starts = np.minimum(starts, len(chunk.ids) - 1)
             for n in np.unique(lengths):
                 mine = np.flatnonzero((lengths == n) & (starts + n < len(chunk.ids)))
                 same = (chunk.keys(starts[mine], n, bits).view(np.int64) == key[mine]) & (
-                    chunk.checks(starts[mine], n).view(np.int64) == check[mine]
+                    chunk.checks(starts[mine], n) == check[mine]
                 )
                 mine = mine[same]
                 langs = [chunk.langs[t] for t in chunk.text_of[starts[mine]]]
@@ -340,10 +340,8 @@ def phrase_counts(
         raise ValueError(f"the longest phrase has 2 to {(1 << _LENGTH_BITS) - 1} words")
     lang = F.coalesce(quoted("lang").cast("string"), F.lit(UNKNOWN_LANGUAGE))
     text = quoted("text").cast("string")
-    doc = F.coalesce(quoted("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
-    marked = docs.where(F.octet_length(text) > 0).select(
-        text.cast("binary").alias("text"), lang.alias("lang"), doc.alias("doc"), F.hash(text, lang).bitwiseAND(F.lit((1 << 31) - 1)).alias("hash")
-    )
+    text_id = F.xxhash64(quoted("doc_id").cast("long"), lang, text)  # should two texts share one, both are read and one agrees
+    marked = docs.where(F.octet_length(text) > 0).select(text.cast("binary").alias("text"), lang.alias("lang"), text_id.alias("text_id"))
     texts = marked.select("text", "lang")
     words = saved(texts.mapInArrow(_word_counter(chunk_words), _ddl(_WORDS)).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
@@ -353,15 +351,15 @@ def phrase_counts(
     for lengths in [[2], *[list(range(n, min(n + 2, longest + 1))) for n in range(3, longest + 1, 2)]]:
         counted = marked.mapInArrow(_run_counter(known, lengths, chunk_words, fingerprint_bits), _ddl(_COUNTS))
         level = counted.groupBy("key").agg(
-            F.sum("f").alias("f"), F.min("check").alias("check"), F.max("check").alias("other"), F.first("doc").alias("doc"), F.first("place").alias("place")
+            F.sum("f").alias("f"), F.min("check").alias("check"), F.max("check").alias("other"), F.first("text_id").alias("text_id"), F.first("place").alias("place")
         )  # the two firsts are of one row
         levels.append(saved(level.where(F.col("f") >= min_count), "runs"))
         known = _filter_of(levels[-1].select("key"), filter_bits)
     runs = reduce(DataFrame.unionAll, levels)
     shared = runs.where("check <> other")
-    pointers = runs.where("check = other").withColumn("hash", F.shiftright("place", _HASH_SHIFT).cast("int"))
-    per_text = pointers.groupBy("doc", "hash").agg(F.collect_list(F.struct("place", "key", "check", "f")).alias("pointers"))
-    found = marked.join(per_text, ["doc", "hash"]).select("text", "lang", "pointers")
+    pointers = F.collect_list(F.struct("place", "key", "check", "f")).alias("pointers")  # no more than a text has runs
+    per_text = runs.where("check = other").groupBy("text_id").agg(pointers)
+    found = marked.join(per_text, "text_id").select("text", "lang", "pointers")
     # A row that is there twice is read twice.
     phrases = found.mapInArrow(_reader(chunk_words, fingerprint_bits), _ddl(_PHRASES)).dropDuplicates(["key"]).drop("key")
     if not shared.isEmpty():

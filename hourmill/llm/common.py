@@ -86,6 +86,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 _SLICE = 1 << 18
+_LONG_WORD = 128
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -121,7 +122,8 @@ def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hashes of the words of a text, white space being the bytes 0x20 and 0x09 to 0x0D.
 
     A word's hash is a polynomial over values of its bytes, taken from running sums
-    of the whole text, so that no word becomes an object of its own.
+    of the whole text, so that no word becomes an object of its own. Long words, whose
+    polynomials can be made to meet, are hashed by themselves.
     """
     found = []
     for part in _slices(text):
@@ -133,7 +135,10 @@ def word_hashes(text: bytes) -> np.ndarray:
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[raw] * up[: len(raw)], out=sums[1:])
         starts, ends = edges[::2], edges[1::2]
-        found.append(mixed((sums[ends] - sums[starts]) * down[starts]))
+        hashes = mixed((sums[ends] - sums[starts]) * down[starts])
+        for i in np.flatnonzero(ends - starts > _LONG_WORD):
+            hashes[i] = xxhash.xxh3_64_intdigest(part[starts[i] : ends[i]])
+        found.append(hashes)
     return found[0] if len(found) == 1 else np.concatenate(found)
 
 

@@ -33,7 +33,9 @@ from .common import chunks, distinct, gram_hashes, identity, mixed, packed, save
 FREQUENT = 8
 MAX_FREQUENT = 1 << 20
 #: Bounds of a task's memory: shingles counted, shingles waiting to be counted, rows sent at once, shingles kept for verification.
-MAX_COUNTED, FOLDED, SENT, KEPT = 1 << 22, 1 << 20, 1 << 16, 1 << 20
+MAX_COUNTED, FOLDED, SENT, KEPT = 1 << 20, 1 << 19, 1 << 16, 1 << 20
+#: Sets that a task remembers, so as not to send equal ones again.
+REMEMBERED = 1 << 17
 #: Shingles of so many sets are known to be shared, so their rows need not meet.
 HOT = 20_000
 #: Sets of one key that a task pairs with each other; keys of more are dealt to several tasks.
@@ -106,7 +108,7 @@ def _nodes(shingle: int):
                 ids.append(_id(found) if len(found) else None)
                 sizes.append(len(found))
                 if len(found) and ids[-1] not in known:
-                    if len(known) < 1 << 20:
+                    if len(known) < REMEMBERED:
                         known.add(ids[-1])
                     pending.append(found)
                     waiting += len(found)
@@ -175,7 +177,7 @@ def _costs(shingle: int, percent: int, order: Order):
                 n = len(found)
                 if not 0 < n <= LARGEST_SMALL or _id(found) in known:
                     continue
-                known.add(_id(found)) if len(known) < 1 << 20 else None
+                known.add(_id(found)) if len(known) < REMEMBERED else None
                 prefix = n - _least(n, percent) + 2
                 subsets, lists = total.get(n, (0, 0))
                 lists += int(np.maximum(order.prefix(found, prefix - 1)[1], 1).sum())
@@ -201,6 +203,8 @@ def _keys(shingle: int, percent: int, order: Order, small: int):
     """Prefix subsets of small sets and prefix shingles of sets that may be similar to a large one."""
     least_linked = _smallest_linked(percent)
     from_lists = _least(small + 1, percent)
+    # A set of so few shingles may have to share one only, so it and what is similar to it meet by lists.
+    by_one = 100 // percent * 100 // percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = set()
@@ -213,7 +217,7 @@ def _keys(shingle: int, percent: int, order: Order, small: int):
                     n = len(found)
                     if n < least_linked or (name := _id(found)) in known:
                         continue
-                    if len(known) < 1 << 20:
+                    if len(known) < REMEMBERED:
                         known.add(name)
                     prefix, df = order.prefix(found, n - _least(n, percent) + 2)
                     before = len(keys)
@@ -223,7 +227,7 @@ def _keys(shingle: int, percent: int, order: Order, small: int):
                             keys.append(int(pair.view(np.int64)[0]))
                             places.append(j - 1)
                         hot += [False] * (len(keys) - before)
-                    if n >= from_lists:
+                    if n >= from_lists or n <= by_one:
                         keys += prefix[:-1].view(np.int64).tolist()
                         places += range(len(prefix) - 1)
                         hot += (df[:-1] >= HOT).tolist()
