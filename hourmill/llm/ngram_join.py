@@ -228,9 +228,10 @@ def _keys(shingle: int, percent: int, order: Order, small: int):
                             places.append(j - 1)
                         hot += [False] * (len(keys) - before)
                     if n >= from_lists or n <= by_one:
-                        keys += prefix[:-1].view(np.int64).tolist()
-                        places += range(len(prefix) - 1)
-                        hot += (df[:-1] >= HOT).tolist()
+                        single = min(n - _least(n, percent) + 1, len(prefix))
+                        keys += prefix[:single].view(np.int64).tolist()
+                        places += range(single)
+                        hot += (df[:single] >= HOT).tolist()
                     ids += [_short(name)] * (len(keys) - before)
                     sizes += [n] * (len(keys) - before)
                 if keys:

@@ -363,3 +363,20 @@ def test_pipeline(spark):
     assert cut.columns == docs.columns
     want = brute.substring_dedup([(r.doc_id, r.text) for r in alone.collect()])
     assert {r.doc_id: " ".join(brute.words(r.text)) for r in cut.collect()} == {d: t for d, (n, gone, t) in want.items() if not gone or t}
+
+
+@pytest.mark.parametrize(("n", "percent"), [(1, 50), (1, 30), (2, 50), (1, 20), (1, 34), (2, 67)])
+def test_ngram_components_of_small_sets_at_low_similarity(spark, n, percent):
+    rng = np.random.default_rng(percent * 10 + n)
+    rows = [(i, " ".join(rng.choice(list("abcdefghijklmnop"), rng.integers(0, 6)))) for i in range(60)]
+    rows += [(100, "a"), (101, "a b"), (102, "q r s t u v w x y z"), (103, "q r s t u"), (104, "z")]
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), n, percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(rows, n, percent)
+
+
+def test_word_hashes_of_long_words():
+    """A word and its complement whose polynomials meet modulo any power of two."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = (bytes(b"ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    a, b = word_hashes(b"x " + one), word_hashes(b"x " + other)
+    assert a[0] == b[0] and a[1] != b[1]
