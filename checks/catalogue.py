@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmill import GERMAN_POWER, Lake, Landing, MonthTable, analytics, bronze_batch, control
+from hourmill import GERMAN_POWER, FailedBatches, Lake, Landing, MonthTable, SnapshotTable, bronze_batch, control, reports
 from hourmill import run_batch, run_pending, silver_batch
 from hourmill.operators import (
     bulk_cast_double,
@@ -120,13 +121,16 @@ def write_partitioned(spark, d):
 
 
 def batch_row_counts(spark, d):
-    """Rows written to a raw and to a clean table, counted by the writes themselves."""
+    """Rows per batch that a merge has written to a raw and to a clean table, counted per folder afterwards."""
     raw = inputs.raw_orders(spark, d).withColumnRenamed("utc_ts", "utc_timestamp")
-    everything = {"rows": F.lit(True)}
-    in_raw = _month_table(spark).overwrite_folders(raw, metrics=everything)["rows"]
-    latest = dedupe_latest(raw, ["utc_timestamp"], ["seq"])
-    in_clean = _month_table(spark).overwrite_folders(latest, metrics=everything)["rows"]
-    return spark.createDataFrame([(in_raw, in_clean)], "rows_bronze int, rows_silver int")
+    counts = []
+    for rows, name in ((raw, "rows_bronze"), (dedupe_latest(raw, ["utc_timestamp"], ["seq"]), "rows_silver")):
+        folders = {"batch_id": "date_format(utc_timestamp, 'yyyy-MM')"}
+        table = MonthTable(spark, inputs.new_folder(spark), ["utc_timestamp"], folders, stamped=True)
+        table.merge(rows, run=name)
+        tags = [r["batch_id"] for r in _months(spark, d).select("batch_id").collect()]
+        counts.append(table.rows_of(name, tags).groupBy("batch_id").agg(F.count(F.lit(1)).cast("int").alias(name)))
+    return counts[0].join(counts[1], "batch_id")
 
 
 def _by_hour(reports: DataFrame, as_text: bool = False) -> DataFrame:
@@ -174,6 +178,18 @@ def rerun_idempotent(spark, d):
     return _upsert(spark, d, _month_table(spark), merges=2)
 
 
+def merge_evolve(spark, d):
+    """Reports of orders, then of items with a column more and wider amounts of items."""
+    folders = {"year": "year(utc_timestamp)", "month": "month(utc_timestamp)"}
+    stored = MonthTable(spark, inputs.new_folder(spark), ["utc_timestamp"], folders, evolve=True)
+    latest = {"on_duplicate": "latest", "latest_by": ["seq"]}
+    stored.merge(_by_hour(inputs.order_reports(spark, d)).withColumn("kind", F.lit(1)), **latest)
+    items = _by_hour(inputs.item_reports(spark, d)).withColumns({"kind": F.lit(2).cast("long"), "note": F.lit("item")})
+    stored.merge(items, **latest)
+    again = MonthTable(spark, stored.path, ["utc_timestamp"], folders, evolve=True)
+    return again.read()
+
+
 # -- daily tables and reports -----------------------------------------------
 
 
@@ -197,13 +213,21 @@ def _share(spark, d):
     return share_summary(_totals(spark, d))
 
 
-def _on(table: Callable, report: Callable) -> Query:
-    return lambda spark, d: report(table(spark, d))
+def _report(name: str) -> Query:
+    """A report by its SQL over the stored tables of a lake."""
+    return lambda spark, d: inputs.lake(spark, d).report(name)
 
 
-def monthly_summary(spark, d):
-    totals = _totals(spark, d)
-    return analytics.monthly_summary(load_summary(totals), generation_summary(totals), share_summary(totals))
+def _catalog_report(name: str) -> Query:
+    """The same over external tables in the catalog."""
+
+    def run(spark, d):
+        lake = inputs.lake(spark, d)
+        database = "checks_" + lake.root.rsplit("/", 1)[1]
+        lake.register_tables(database)
+        return lake.report(name, database)
+
+    return run
 
 
 # -- control ----------------------------------------------------------------
@@ -215,8 +239,7 @@ def _months(spark, d):
 
 def _shown(rows: DataFrame) -> DataFrame:
     """Control rows with counts as doubles, in which every client can hold an unknown count."""
-    counts = {"rows_bronze", "rows_silver"} & set(rows.columns)
-    return rows.withColumns({c: F.col(c).cast("double") for c in counts}) if counts else rows
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("rows_bronze", "rows_silver")})
 
 
 def _finish(spark, d):
@@ -233,7 +256,7 @@ def _finish(spark, d):
         },
         F.col("target.status") == "in_progress",
     )
-    return _shown(changed)
+    return changed
 
 
 def _record(spark, d):
@@ -241,11 +264,27 @@ def _record(spark, d):
     counts = rows.groupBy("batch_id").agg(
         F.sum("n").alias("rows_bronze"), F.count(F.lit(1)).alias("rows_silver")
     )
-    return _shown(control.record_counts(inputs.control_rows(spark, d), counts, RUN_TIME))
+    return control.record_counts(inputs.control_rows(spark, d), counts, RUN_TIME)
 
 
 def _control(change: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, d: _shown(change(inputs.control_rows(spark, d)))
+    return lambda spark, d: change(inputs.control_rows(spark, d))
+
+
+def control_lifecycle(spark, d):
+    """A stored control table, made empty; all months begun, counted, and completed or failed, each in a snapshot of its own."""
+    table = SnapshotTable(spark, inputs.new_folder(spark), control.SCHEMA)
+    table.create()
+    months = [r["batch_id"] for r in _months(spark, d).orderBy("year", "month").collect()]
+    table.write(control.begin(table.read(), months, inputs.SETUP_TIME))
+    raw = inputs.raw_orders(spark, d)
+    counts = raw.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("rows_bronze"), F.count_distinct("utc_ts").alias("rows_silver")
+    )
+    table.write(control.record_counts(table.read(), counts, RUN_TIME))
+    table.write(control.fail_each(table.read(), {FIRST_OPEN_MONTH: failure_text()}, RUN_TIME))
+    table.write(control.complete(table.read(), months, RUN_TIME))
+    return table.read()
 
 
 # -- whole runs -------------------------------------------------------------
@@ -258,7 +297,7 @@ def _daily_tables(lake: Lake) -> DataFrame:
 
 def run_one_batch(spark, d):
     lake = Lake(spark, inputs.new_folder(spark))
-    lake.control.overwrite_folders(inputs.control_rows(spark, d))
+    lake.control.write(inputs.control_rows(spark, d, begun_only=True))
     run_batch(lake, _landing(spark, d), as_of=RUN_TIME)
     return _daily_tables(lake)
 
@@ -269,6 +308,24 @@ def run_all_batches(spark, d):
     return _daily_tables(lake)
 
 
+def run_quarantine(spark, d):
+    """A backlog with two months that hold values of no type: the others are completed by the same pass."""
+    lake = Lake(spark, inputs.new_folder(spark))
+    with contextlib.suppress(FailedBatches):  # what failed is in the control table
+        run_pending(lake, inputs.damaged_landing(spark, d), as_of=RUN_TIME)
+    days = lake.load.read().groupBy(F.date_format("event_date", "yyyy-MM").alias("batch_id")).agg(F.count(F.lit(1)).alias("days"))
+    return lake.control_state().join(days, "batch_id", "left").select("batch_id", "status", F.coalesce("days", F.lit(0)).alias("days"))
+
+
+def inventory_months(spark, d):
+    """Months and their rows from a lake's inventory of the landing area, refreshed twice: the second time reads no file."""
+    landing = _landing(spark, d)
+    inventory = Lake(spark, inputs.new_folder(spark)).inventory(landing)
+    inventory.refresh()
+    inventory.refresh()
+    return inventory.months()
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv_year": scan_csv_year,
     "scan_csv_all_years": scan_csv_all_years,
@@ -296,31 +353,24 @@ QUERIES: dict[str, Query] = {
     "merge_upsert_silver": upsert_silver,
     "merge_upsert_gold": upsert_gold,
     "create_or_merge": create_or_merge,
+    "merge_evolve": merge_evolve,
     "rerun_idempotent": rerun_idempotent,
     "merge_update_conditional": _finish,
     "delete_by_key": _control(lambda c: delete_where(c, F.col("batch_id") == FIRST_OPEN_MONTH)),
     "list_batches": _months,
     "completed_batches": _control(control.completed_batches),
-    "pending_batches": lambda s, d: control.pending_batches(_months(s, d), inputs.control_rows(s, d)),
-    "next_batch": lambda s, d: control.next_batch(_months(s, d), inputs.control_rows(s, d)),
-    "control_begin": _control(lambda c: control.begin(c, [FIRST_OPEN_MONTH, "1997-03"], RUN_TIME)),
+    "pending_batches": lambda s, d: control.pending_batches(_months(s, d), inputs.control_rows(s, d, begun_only=True)),
+    "next_batch": lambda s, d: control.next_batch(_months(s, d), inputs.control_rows(s, d, begun_only=True)),
+    "control_begin": _control(lambda c: _shown(control.begin(c, [FIRST_OPEN_MONTH, "1997-03"], RUN_TIME))),
+    "control_lifecycle": control_lifecycle,
     "control_record_counts": _record,
     "control_fail": _control(lambda c: control.fail(c, [UNFINISHED_MONTH], failure_text(), RUN_TIME)),
     "control_complete": _control(lambda c: control.complete(c, [FIRST_OPEN_MONTH, UNFINISHED_MONTH], RUN_TIME)),
-    "q01_recent_load": _on(_load, analytics.recent_load),
-    "q02_monthly_load": _on(_load, analytics.monthly_load),
-    "q03_forecast_accuracy": _on(_load, analytics.forecast_accuracy),
-    "q04_share_trend": _on(_share, analytics.share_trend),
-    "q05_top_days": _on(_share, analytics.top_days),
-    "q06_monthly_generation": _on(_generation, analytics.monthly_generation),
-    "q07_contribution": _on(_generation, analytics.contribution),
-    "q08_yearly_progress": _on(_share, analytics.yearly_progress),
-    "q09_seasonal_load": _on(_load, analytics.seasonal_load),
-    "q10_monthly_summary": monthly_summary,
-    "v1_control_history": _control(control.history),
-    "v2_bronze_counts": _on(inputs.hourly_batches, analytics.rows_per_batch),
-    "v3_silver_counts": _on(inputs.hourly_batches, analytics.rows_per_month),
-    "v4_share_preview": _on(_share, analytics.share_preview),
+    **{name: _report(name) for name in reports.statements()},
+    "catalog_monthly_summary": _catalog_report("q10_monthly_summary"),
+    "catalog_control_history": _catalog_report("v1_control_history"),
     "run_one_batch": run_one_batch,
     "run_all_batches": run_all_batches,
+    "run_quarantine": run_quarantine,
+    "inventory_months": inventory_months,
 }

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourmill import Lake, Landing, run_pending
 from hourmill.functions import month_tag
 from hourmill.plans import control
 
@@ -37,6 +40,7 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 FIRST_OPEN_MONTH = "1997-01"
 UNFINISHED_MONTH = "1997-02"
+DAMAGED_MONTHS = ("1994-03", "1996-11")
 SETUP_TIME = "2024-01-01 00:00:00"
 RUN_TIME = "2024-02-01 12:30:00"
 
@@ -51,10 +55,18 @@ def new_folder(spark: SparkSession) -> str:
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.gettempdir()
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/hourmill-checks/{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _own_folder() -> str:
+    """A folder of this process, which goes when it ends."""
+    folder = tempfile.TemporaryDirectory(prefix="hourmill-checks-", ignore_cleanup_errors=True)
+    atexit.register(folder.cleanup)
+    return folder.name
+
+
 def _hour(day: str, number: str) -> Column:
     hours = F.make_interval(hours=(F.col(number) % 24).cast("int"))
     return F.col(day).cast("timestamp") + hours
@@ -107,18 +119,41 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _landings: dict[tuple[str, str], str] = {}
+_lakes: dict[tuple[str, str], Lake] = {}
+
+
+def _landed(spark: SparkSession, rows: DataFrame) -> str:
+    folder = new_folder(spark)
+    rows.hint("rebalance", "year").write.option("header", True).partitionBy("year").csv(folder)
+    return folder
 
 
 def landing_folder(spark: SparkSession, sf_dir: str) -> str:
     """B3 as CSV files in year folders, written once per application and input."""
     known = (spark.sparkContext.applicationId, sf_dir)
     if known not in _landings:
-        folder = new_folder(spark)
-        raw_text(spark, sf_dir).hint("rebalance", "year").write.option("header", True).partitionBy("year").csv(folder)
-        _landings[known] = folder
+        _landings[known] = _landed(spark, raw_text(spark, sf_dir))
     return _landings[known]
 
 
+def lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """B7: a lake that holds all months of B3, filled once per application and input."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _lakes:
+        filled = Lake(spark, new_folder(spark))
+        run_pending(filled, Landing(spark, landing_folder(spark, sf_dir)), as_of=RUN_TIME)
+        _lakes[known] = filled
+    return _lakes[known]
+
+
+def damaged_landing(spark: SparkSession, sf_dir: str) -> Landing:
+    """B8: B3 with one measure that is no number in two months."""
+    rows = raw_text(spark, sf_dir)
+    solar = SOURCE_NAMES["de_solar_generation_actual"]
+    hit = F.substring("utc_timestamp", 1, 7).isin(list(DAMAGED_MONTHS))
+    return Landing(spark, _landed(spark, rows.withColumn(solar, F.when(hit, F.lit("n/a")).otherwise(F.col(solar)))))
+
+
 def events_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B4: a row per hour of the event stream with a summed value per event type."""
     value = [
@@ -128,24 +163,26 @@ def events_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy(hour).agg(*value)
 
 
-def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B5: months up to 1997-02 with their counts; the last two failed and unfinished."""
+def control_rows(spark: SparkSession, sf_dir: str, begun_only: bool = False) -> DataFrame:
+    """B5: all months with their counts, completed before 1997-01, which has failed; later ones are unfinished.
+
+    With ``begun_only`` the history ends with 1997-02, so that later months are still to come.
+    """
     months = (
         raw_orders(spark, sf_dir)
         .groupBy("batch_id", "utc_ts")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("batch_id")
         .agg(F.sum("n").alias("rows_bronze"), F.count(F.lit(1)).alias("rows_silver"))
-        .where(F.col("batch_id") <= UNFINISHED_MONTH)
     )
+    if begun_only:
+        months = months.where(F.col("batch_id") <= UNFINISHED_MONTH)
     done = F.col("batch_id") < FIRST_OPEN_MONTH
     failed = F.col("batch_id") == FIRST_OPEN_MONTH
     values = {
         "year": F.split("batch_id", "-")[0],
         "month": F.split("batch_id", "-")[1],
         "status": F.when(done, "completed").when(failed, "failed").otherwise("in_progress"),
-        "rows_bronze": F.when(done, F.col("rows_bronze")),
-        "rows_silver": F.when(done, F.col("rows_silver")),
         "created_at": F.lit(SETUP_TIME),
         "updated_at": F.lit(SETUP_TIME),
         "error_message": F.when(failed, F.lit("unreadable file")),

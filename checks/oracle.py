@@ -7,6 +7,7 @@ of exactly half a cent rounds up here as it does in Spark.
 from __future__ import annotations
 
 from .inputs import (
+    DAMAGED_MONTHS,
     EVENT_TYPES,
     FIRST_OPEN_MONTH,
     MEASURES,
@@ -108,14 +109,16 @@ months AS (SELECT strftime(utc_ts, '%Y-%m') AS batch_id, count(*) AS n, count(DI
 control AS (SELECT batch_id, CAST(batch_id[1:4] AS INTEGER) AS year, CAST(batch_id[6:7] AS INTEGER) AS month,
   CASE WHEN batch_id < '{FIRST_OPEN_MONTH}' THEN 'completed'
        WHEN batch_id = '{FIRST_OPEN_MONTH}' THEN 'failed' ELSE 'in_progress' END AS status,
-  CASE WHEN batch_id < '{FIRST_OPEN_MONTH}' THEN CAST(n AS DOUBLE) END AS rows_bronze,
-  CASE WHEN batch_id < '{FIRST_OPEN_MONTH}' THEN CAST(hours AS DOUBLE) END AS rows_silver,
+  CAST(n AS INTEGER) AS rows_bronze, CAST(hours AS INTEGER) AS rows_silver,
   TIMESTAMP '{SETUP_TIME}' AS created_at, TIMESTAMP '{SETUP_TIME}' AS updated_at,
   CASE WHEN batch_id = '{FIRST_OPEN_MONTH}' THEN 'unreadable file' END AS error_message
-  FROM months WHERE batch_id <= '{UNFINISHED_MONTH}')"""
+  FROM months)"""
+_DONE = f"""SELECT batch_id, CAST(batch_id[1:4] AS INTEGER) AS year, CAST(batch_id[6:7] AS INTEGER) AS month, 'completed' AS status,
+  CAST(hours AS INTEGER) AS rows_bronze, CAST(hours AS INTEGER) AS rows_silver, TIMESTAMP '{RUN_TIME}' AS created_at,
+  TIMESTAMP '{RUN_TIME}' AS updated_at, CAST(NULL AS VARCHAR) AS error_message FROM months"""
 _LISTED = """SELECT batch_id, CAST(batch_id[1:4] AS INTEGER) AS year, CAST(batch_id[6:7] AS INTEGER) AS month
   FROM months"""
-_OPEN = "batch_id NOT IN (SELECT batch_id FROM control WHERE status = 'completed')"
+_OPEN = f"batch_id NOT IN (SELECT batch_id FROM control WHERE status = 'completed' AND batch_id <= '{UNFINISHED_MONTH}')"
 
 
 def _changed(hit: str, **values: str) -> str:
@@ -151,7 +154,7 @@ def statements() -> dict[str, str]:
       FROM load JOIN generation USING (event_date) JOIN share USING (event_date)"""
     kept_text = failure_text().replace("'", "")[:500]
     upserted = f"WITH {REPORTS} {_UPSERTED}"
-    return {
+    told = {
         "scan_csv_year": f"WITH {TEXT} SELECT * EXCLUDE (year, batch_id) FROM texts",
         "scan_csv_all_years": f"WITH {TEXT} SELECT * EXCLUDE (batch_id) FROM texts",
         "scan_file_lineage": f"""WITH {TEXT} SELECT year AS folder_year, 'csv' AS file_kind, count(*) AS row_count
@@ -175,8 +178,8 @@ def statements() -> dict[str, str]:
         "null_profile_events": f"""WITH per_hour AS (SELECT date_trunc('hour', ts) AS h,
           {", ".join(f"sum(CASE WHEN event_type = '{t}' THEN value END) AS ev_{t}" for t in EVENT_TYPES)}
           FROM events GROUP BY 1) {_nulls("per_hour", [f"ev_{t}" for t in EVENT_TYPES])}""",
-        "batch_row_counts": f"""WITH {ORDERS} SELECT CAST(count(*) AS INTEGER) AS rows_bronze,
-          CAST(count(DISTINCT utc_ts) AS INTEGER) AS rows_silver FROM stamped""",
+        "batch_row_counts": f"""WITH {ORDERS} SELECT strftime(utc_ts, '%Y-%m') AS batch_id, CAST(count(*) AS INTEGER) AS rows_bronze,
+          CAST(count(DISTINCT utc_ts) AS INTEGER) AS rows_silver FROM stamped GROUP BY 1""",
         "write_partitioned": f"WITH {HOURLY} SELECT *, {_YM} FROM hourly",
         "bronze_batch": f"""WITH {TEXT} SELECT utc_timestamp, cet_cest_timestamp, {_SOURCE}, batch_id,
           TIMESTAMP '{RUN_TIME}' AS ingestion_timestamp FROM texts""",
@@ -212,11 +215,16 @@ def statements() -> dict[str, str]:
         "completed_batches": f"WITH {CONTROL} SELECT batch_id FROM control WHERE status = 'completed'",
         "pending_batches": f"WITH {CONTROL} {_LISTED} WHERE {_OPEN}",
         "next_batch": f"WITH {CONTROL} {_LISTED} WHERE {_OPEN} ORDER BY batch_id LIMIT 1",
-        "control_begin": f"""WITH {CONTROL} SELECT * FROM control WHERE batch_id <> '{FIRST_OPEN_MONTH}'
+        "control_begin": f"""WITH {CONTROL} SELECT * REPLACE (CAST(rows_bronze AS DOUBLE) AS rows_bronze,
+          CAST(rows_silver AS DOUBLE) AS rows_silver) FROM control WHERE batch_id NOT IN ('{FIRST_OPEN_MONTH}', '1997-03')
           UNION ALL {_started(FIRST_OPEN_MONTH)} UNION ALL {_started("1997-03")}""",
         "control_record_counts": f"""WITH {CONTROL} SELECT control.* REPLACE (
-          CAST(n AS DOUBLE) AS rows_bronze, CAST(hours AS DOUBLE) AS rows_silver,
+          CAST(n AS INTEGER) AS rows_bronze, CAST(hours AS INTEGER) AS rows_silver,
           TIMESTAMP '{RUN_TIME}' AS updated_at) FROM control JOIN months USING (batch_id)""",
+        "control_lifecycle": f"""WITH {CONTROL} SELECT batch_id, year, month,
+          CASE WHEN batch_id = '{FIRST_OPEN_MONTH}' THEN 'failed' ELSE 'completed' END AS status, rows_bronze, rows_silver,
+          created_at, TIMESTAMP '{RUN_TIME}' AS updated_at,
+          CASE WHEN batch_id = '{FIRST_OPEN_MONTH}' THEN '{kept_text}' END AS error_message FROM control""",
         "control_fail": _changed(
             f"batch_id = '{UNFINISHED_MONTH}'",
             status="'failed'",
@@ -265,11 +273,25 @@ def statements() -> dict[str, str]:
           c AS (SELECT {MONTH}, {_mean("wind_solar_share_percent")} AS wind_solar_share_percent
             FROM share GROUP BY 1)
           SELECT * FROM a JOIN b USING (month) JOIN c USING (month)""",
-        "v1_control_history": f"WITH {CONTROL} SELECT * FROM control ORDER BY year, month",
+        "v1_control_history": f"WITH {CONTROL} {_DONE}",
         "v2_bronze_counts": f"""WITH {HOURLY} SELECT strftime(utc_timestamp, '%Y-%m') AS batch_id,
           count(*) AS row_count FROM hourly GROUP BY 1""",
         "v3_silver_counts": f"WITH {HOURLY} SELECT {_YM}, count(*) AS row_count FROM hourly GROUP BY 1, 2",
         "v4_share_preview": f"WITH {DAILY} SELECT * FROM share ORDER BY event_date LIMIT 20",
         "run_one_batch": f"{daily_all} WHERE strftime(event_date, '%Y-%m') = '{FIRST_OPEN_MONTH}'",
         "run_all_batches": daily_all,
+        "catalog_control_history": f"WITH {CONTROL} {_DONE}",
+        "run_quarantine": f"""WITH {CONTROL}, {DAILY.removeprefix(ORDERS).lstrip(",")},
+          days AS (SELECT strftime(event_date, '%Y-%m') AS batch_id, count(*) AS days FROM load GROUP BY 1)
+          SELECT batch_id, CASE WHEN batch_id IN {DAMAGED_MONTHS} THEN 'failed' ELSE 'completed' END AS status,
+            CASE WHEN batch_id IN {DAMAGED_MONTHS} THEN 0 ELSE days END AS days FROM months JOIN days USING (batch_id)""",
+        "inventory_months": f"""WITH {CONTROL} SELECT batch_id, CAST(batch_id[1:4] AS INTEGER) AS year,
+          CAST(batch_id[6:7] AS INTEGER) AS month, CAST(batch_id[1:4] AS INTEGER) AS first_folder,
+          CAST(batch_id[1:4] AS INTEGER) AS last_folder, hours AS rows FROM months""",
+        "merge_evolve": f"""WITH {REPORTS}, both_kinds AS (
+          SELECT *, CAST(2 AS BIGINT) AS kind, 'item' AS note FROM new UNION ALL
+          SELECT *, CAST(1 AS BIGINT) AS kind, NULL AS note FROM old WHERE utc_ts NOT IN (SELECT utc_ts FROM new))
+          SELECT utc_ts AS utc_timestamp, seq, value, CAST(year(utc_ts) AS INTEGER) AS year,
+          CAST(month(utc_ts) AS INTEGER) AS month, kind, note FROM both_kinds""",
     }
+    return told | {"catalog_monthly_summary": told["q10_monthly_summary"]}

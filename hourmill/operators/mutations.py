@@ -8,6 +8,7 @@ from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .cleaning import dedupe_latest, named
 
@@ -40,12 +41,38 @@ def unique_source(
     raise ValueError(f"on_duplicate must be 'keep', 'latest' or 'error', not {on_duplicate!r}")
 
 
-def conform(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source rows in the target's columns and types; extra columns go, missing ones are an error."""
+def conform(source: DataFrame, target: DataFrame, fill: bool = False) -> DataFrame:
+    """Source rows in the target's columns and types; extra columns go, missing ones are an error or, with ``fill``, null."""
     missing = [c for c in target.columns if c not in source.columns]
-    if missing:
+    if missing and not fill:
         raise ValueError(f"the source lacks columns of the table: {', '.join(missing)}")
-    return source.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    return source.select(
+        *[(F.lit(None) if f.name in missing else named(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields]
+    )
+
+
+# Types that a column can go to without losing a value.
+_WIDER = {"tinyint": 0, "smallint": 1, "int": 2, "bigint": 3}
+_WIDER_FLOAT = {"float": 0, "double": 1}
+
+
+def _wider(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
+    x, y = a.simpleString(), b.simpleString()
+    if x == y:
+        return a
+    for order in (_WIDER, _WIDER_FLOAT):
+        if x in order and y in order:
+            return a if order[x] > order[y] else b
+    if {x, y} <= {"tinyint", "smallint", "int", "double"}:
+        return T.DoubleType()
+    raise ValueError(f"column {name} is {x} in the table and {y} in the source")
+
+
+def reconciled(table: T.StructType, source: T.StructType) -> T.StructType:
+    """Columns of both, the table's first, in the wider type of each; types that do not fit are an error."""
+    theirs = {f.name: f.dataType for f in source.fields}
+    ours = [T.StructField(f.name, _wider(f.name, f.dataType, theirs.get(f.name, f.dataType))) for f in table.fields]
+    return T.StructType(ours + [T.StructField(f.name, f.dataType) for f in source.fields if f.name not in table.names])
 
 
 def key_bytes(keys: Sequence[str]) -> Column:

@@ -2,8 +2,8 @@
 
 Status goes from ``in_progress`` to ``completed`` or ``failed``. Each transition
 takes the whole state and returns the whole new state, for any number of months
-at once; the table has one row per month, so it stays small. It is meant for one
-writer at a time.
+at once; the table has one row per month, so it stays small, and each state is stored as
+a snapshot of its own. It is meant for one writer at a time.
 """
 
 from __future__ import annotations
@@ -93,6 +93,15 @@ def fail(control: DataFrame, batches: Sequence[str], message: str, as_of: When =
     )
 
 
+def fail_each(control: DataFrame, messages: dict[str, str], as_of: When = None) -> DataFrame:
+    """Mark months failed, each with its own error text, cut as in :func:`fail`."""
+    told = control.sparkSession.createDataFrame(list(messages.items()), "batch_id string, message string")
+    text = F.substring(F.regexp_replace(F.col("source.message"), "'", ""), 1, ERROR_LENGTH)
+    return merge_update(
+        control, told, ["batch_id"], {"status": F.lit(FAILED), "updated_at": at_time(as_of), "error_message": text}
+    )
+
+
 def _in_progress() -> Column:
     return F.col("target.status") == IN_PROGRESS
 

@@ -8,14 +8,16 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import at_time, month_span, month_tag
+from ..functions import at_time, month_span, month_tag, parse_instant
 from ..operators.cleaning import (
     bulk_cast_double,
     dedupe_latest,
     derive_year_month,
+    named,
     normalize_names,
     parse_timestamps,
     project_prefix,
+    scoped_columns,
 )
 from ..operators.months import instant_of
 from ..session import require_utc
@@ -41,6 +43,15 @@ def bronze_batch(
     return scoped.select("*", batch.alias("batch_id"), at_time(as_of).alias("ingestion_timestamp"))
 
 
+def problem_of(rows: DataFrame, spec: SeriesSpec = GERMAN_POWER) -> Column:
+    """The first value of a raw row that the clean layer cannot type, as text with its column; null if there is none."""
+    typed = [(c, named(c).try_cast("double")) for c in scoped_columns(rows, spec.prefix)]
+    formats = ((spec.key, spec.key_format), (spec.local_time, spec.local_format))
+    typed += [(c, parse_instant(named(c), pattern, "null")) for c, pattern in formats]
+    bad = [F.when(named(c).isNotNull() & value.isNull(), F.concat(F.lit(f"{c} cannot be read: "), named(c))) for c, value in typed]
+    return F.coalesce(*bad)
+
+
 def typed_rows(bronze: DataFrame, spec: SeriesSpec = GERMAN_POWER, on_error: str = "raise") -> DataFrame:
     """Bronze rows with lower-case names, parsed times, double measures, year and month."""
     parsed = normalize_names(parse_timestamps(bronze, spec, on_error))

@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import normalize_names, parse_timestamps, scoped_columns
 from ..operators.daily import daily_totals, generation_summary, load_summary, share_summary
-from ..operators.months import list_batches, scan_batch
+from ..operators.months import scan_batch
+from ..sources.inventory import Inventory
 from ..sources.landing import Landing
+from ..sources.tables import PROBLEM
 from . import control
 from .lake import Lake
-from .layers import bronze_batch, silver_batch
+from .layers import bronze_batch, problem_of, silver_batch
+
+
+class FailedBatches(ValueError):
+    """Months that could not be done, with the reason of each; the others of the same run are complete."""
+
+    def __init__(self, reasons: dict[str, str]):
+        super().__init__("; ".join(f"{batch}: {why}" for batch, why in sorted(reasons.items())))
+        self.reasons = reasons
 
 
 @dataclass(frozen=True)
@@ -30,26 +41,24 @@ class BatchReport:
     completed: int = 0
 
 
-def _per_batch(batches: Sequence[str]) -> dict[str, Column]:
-    return {f"rows {b}": F.col("batch_id") == b for b in batches}
-
-
-def _split(counts: dict[str, int], batches: Sequence[str]) -> dict[str, int]:
-    return {b: counts.get(f"rows {b}", 0) for b in batches}
-
-
 def _month_folders(batches: Sequence[str]) -> list[str]:
     return [f"{int(b[:4])}/{int(b[5:])}" for b in batches]
 
 
-def ingest_bronze(lake: Lake, raw: DataFrame, batches: Sequence[str], as_of=None, on_error: str = "raise"):
-    """Upsert some months into Bronze; returns source rows per batch.
+def ingest_bronze(
+    lake: Lake, raw: DataFrame, batches: Sequence[str], as_of=None, on_error: str = "raise"
+) -> tuple[dict[str, int], dict[str, str]]:
+    """Upsert some months into Bronze; returns source rows per batch, and what is wrong in batches with values that have no type.
 
-    A repeated raw key is kept: Bronze is a replayable copy, Silver settles it.
+    A repeated raw key is kept: Bronze is a replayable copy, Silver settles it. Rows are tried
+    by the same pass that writes them; they are counted per folder afterwards from two narrow columns.
     """
     rows = bronze_batch(raw, lake.spec, batches, as_of, on_error)
-    counts = lake.bronze.merge(rows, touched=batches, metrics=_per_batch(batches))
-    return _split(counts, batches)
+    run = uuid.uuid4().hex
+    lake.bronze.merge(rows.withColumn(PROBLEM, problem_of(rows, lake.spec)), touched=batches, run=run)
+    counts = lake.bronze.counts_of(run, batches)
+    wrong = {b: f"{bad} rows with values that cannot be read, such as {example}" for b, (_, bad, example) in counts.items() if bad}
+    return {b: counts.get(b, (0, 0, None))[0] for b in batches}, wrong
 
 
 def transform_silver(lake: Lake, batches: Sequence[str], on_error: str = "raise"):
@@ -64,13 +73,17 @@ def transform_silver(lake: Lake, batches: Sequence[str], on_error: str = "raise"
     source = scan_batch(bronze, batches)
     rows = silver_batch(source, lake.spec, on_error=on_error)
     measures = scoped_columns(rows, lake.spec.typed_prefix)
-    counts = lake.silver.merge(
+    run, folders = uuid.uuid4().hex, _month_folders(batches)
+    nulls = lake.silver.merge(
         rows,
         match_on=normalize_names(parse_timestamps(source.select(*lake.spec.time_columns), lake.spec, on_error)),
-        touched=_month_folders(batches),
-        metrics=_per_batch(batches) | {f"null {m}": F.col(m).isNull() for m in measures},
+        touched=folders,
+        metrics={f"null {m}": F.col(m).isNull() for m in measures},
+        run=run,
     )
-    return _split(counts, batches), {m: counts.get(f"null {m}", 0) for m in measures}
+    counts = lake.silver.counts_of(run, folders)
+    per_batch = {b: counts.get(f, (0, 0, None))[0] for b, f in zip(batches, folders, strict=True)}
+    return per_batch, {m: nulls.get(f"null {m}", 0) for m in measures}
 
 
 def aggregate_gold(lake: Lake, batches: Sequence[str]) -> None:
@@ -100,23 +113,44 @@ def aggregate_gold(lake: Lake, batches: Sequence[str]) -> None:
         totals.unpersist()
 
 
-def _process(lake: Lake, landing: Landing, batches: list[str], folders, as_of, on_error: str) -> BatchReport:
+def _process(lake: Lake, inventory: Inventory, batches: list[str], as_of, on_error: str) -> BatchReport:
+    """Months through all layers. Those with values that cannot be read are marked failed and left there; the others go on."""
     at = as_of or datetime.now(timezone.utc)
+    lake.create()
     lake.save_control(control.begin(lake.control_state(), batches, at), batches)
     try:
-        raw = landing.scan(*folders, lineage=True)
-        bronze = ingest_bronze(lake, raw, batches, at, on_error)
-        silver, nulls = transform_silver(lake, batches, on_error)
-        counts = lake.spark.createDataFrame(
-            [(b, bronze[b], silver[b]) for b in batches], "batch_id string, rows_bronze int, rows_silver int"
-        )
-        lake.save_control(control.record_counts(lake.control_state(), counts, as_of), batches)
+        bronze, wrong = ingest_bronze(lake, inventory.scan(batches, lineage=True), batches, at, on_error)
+        wrong = wrong if on_error == "raise" else {}
+        good = [b for b in batches if b not in wrong]
+        silver, nulls = transform_silver(lake, good, on_error) if good else ({}, {})
+        state = lake.control_state()
+        if good:
+            counts = lake.spark.createDataFrame(
+                [(b, bronze[b], silver[b]) for b in good], "batch_id string, rows_bronze int, rows_silver int"
+            )
+            state = control.record_counts(state, counts, as_of)
+        lake.save_control(control.fail_each(state, wrong, as_of) if wrong else state, batches)
     except Exception as error:
         lake.save_control(control.fail(lake.control_state(), batches, str(error), as_of), batches)
         raise
-    aggregate_gold(lake, batches)
-    counted = lake.save_control(control.complete(lake.control_state(), batches, as_of), batches)
-    return BatchReport(tuple(batches), bronze, silver, nulls, counted["completed"])
+    completed = 0
+    if good:
+        aggregate_gold(lake, good)
+        completed = lake.save_control(control.complete(lake.control_state(), good, as_of), good)["completed"]
+    if wrong:
+        raise FailedBatches(wrong)
+    return BatchReport(tuple(batches), bronze, silver, nulls, completed)
+
+
+def _known(lake: Lake, landing: Landing, on_error: str) -> Inventory:
+    """The landing area's inventory as of now; rows whose key is no time belong to no month, which is an error unless lenient."""
+    inventory = lake.inventory(landing)
+    inventory.refresh()
+    if on_error == "raise":
+        bad = inventory.malformed().orderBy("path").limit(1).collect()
+        if bad:
+            raise ValueError(f"{bad[0]['malformed']} rows of {bad[0]['path']} have a {lake.spec.key} that is no time")
+    return inventory
 
 
 def run_batch(
@@ -124,60 +158,28 @@ def run_batch(
 ) -> BatchReport | None:
     """Run one month, by default the earliest pending one; None when none is pending.
 
-    Rows of the month are looked for in every folder known to hold some. For a
-    month given by name these are the folders of its year and both neighbours,
-    since a year's file may reach over midnight of another zone.
+    Months, and the files that hold rows of each, come from the lake's inventory of the landing
+    area: only files that are new or changed since the last run are looked at to choose, and only
+    those with rows of the month are read to load it.
     """
-    if batch is not None:
-        year = int(batch[:4])
-        return _process(lake, landing, [batch], (year - 1, year + 1), as_of, on_error)
-    listed = list_batches(landing.scan(), lake.spec.key, folder="year", on_error=on_error)
-    found = control.next_batch(listed, lake.control_state()).collect()
-    if not found:
-        return None
-    row = found[0]
-    return _process(lake, landing, [row["batch_id"]], (row["first_folder"], row["last_folder"]), as_of, on_error)
+    inventory = _known(lake, landing, on_error)
+    if batch is None:
+        found = control.next_batch(inventory.months(), lake.control_state()).collect()
+        if not found:
+            return None
+        batch = found[0]["batch_id"]
+    return _process(lake, inventory, [batch], as_of, on_error)
 
 
 def run_pending(lake: Lake, landing: Landing, as_of=None, on_error: str = "raise") -> BatchReport | None:
     """Run all pending months in one pass, with the same tables as one run per month.
 
-    The landing area is read once to list months and once to load them, instead
-    of twice per month. Should the pass fail, its months run one by one, so that
-    only those that fail by themselves stay undone; the first such error is raised
-    once the others are complete.
+    The landing area is read once to load the months, after a look at files the inventory does not know.
+    Months with values that cannot be read are found by that pass and marked failed, each with
+    its reason; all others are completed by it, and `FailedBatches` tells of the failed ones at the end.
     """
-    listed = list_batches(landing.scan(), lake.spec.key, folder="year", on_error=on_error)
-    found = control.pending_batches(listed, lake.control_state()).orderBy("year", "month").collect()
+    inventory = _known(lake, landing, on_error)
+    found = control.pending_batches(inventory.months(), lake.control_state()).orderBy("year", "month").collect()
     if not found:
         return None
-    folders = (min(r["first_folder"] for r in found), max(r["last_folder"] for r in found))
-    try:
-        return _process(lake, landing, [r["batch_id"] for r in found], folders, as_of, on_error)
-    except Exception:
-        if len(found) == 1:
-            raise
-    reports, errors = [], []
-    for r in found:
-        try:
-            own = (r["first_folder"], r["last_folder"])
-            reports.append(_process(lake, landing, [r["batch_id"]], own, as_of, on_error))
-        except Exception as error:
-            errors.append(error)
-    if errors:
-        raise errors[0]
-    return _together(reports)
-
-
-def _together(reports: list[BatchReport]) -> BatchReport:
-    nulls: dict[str, int] = {}
-    for report in reports:
-        for name, n in report.nulls.items():
-            nulls[name] = nulls.get(name, 0) + n
-    return BatchReport(
-        tuple(b for r in reports for b in r.batches),
-        {b: n for r in reports for b, n in r.rows_bronze.items()},
-        {b: n for r in reports for b, n in r.rows_silver.items()},
-        nulls,
-        sum(r.completed for r in reports),
-    )
+    return _process(lake, inventory, [r["batch_id"] for r in found], as_of, on_error)

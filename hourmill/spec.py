@@ -6,7 +6,7 @@ source only needs another spec, not other code.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 # Names and formats of the German hourly power series.
 UTC_COLUMN = "utc_timestamp"
@@ -58,6 +58,21 @@ def _zone(name: str) -> GenerationArea:
     )
 
 
+@dataclass(frozen=True)
+class TableNames:
+    """What the tables of a lake are called."""
+
+    bronze: str = BRONZE_TABLE
+    silver: str = SILVER_TABLE
+    load: str = LOAD_TABLE
+    generation: str = GENERATION_TABLE
+    share: str = SHARE_TABLE
+    control: str = CONTROL_TABLE
+
+    def parts(self) -> dict[str, str]:
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
+
 @dataclass(frozen=True)
 class SeriesSpec:
     key: str = UTC_COLUMN
@@ -90,6 +105,7 @@ class SeriesSpec:
     zones: tuple[GenerationArea, ...] = tuple(_zone(z) for z in ZONES)
     daily_renewable: str = "de_wind_solar_generation_mwh"
     daily_share: str = "wind_solar_share_percent"
+    tables: TableNames = TableNames()
 
     @property
     def time_columns(self) -> tuple[str, str]:

@@ -1,15 +1,10 @@
 """CSV year folders: headers that differ, missing folders, lineage."""
 
-import subprocess
-import sys
-
 import pytest
 from py4j.protocol import Py4JJavaError
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from hourmill import Landing
-from hourmill.sources.landing import first_row_of_task
 
 
 @pytest.fixture
@@ -104,12 +99,6 @@ def test_the_session_settings_stay(spark, put):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
-def test_workers_do_not_need_the_package(tmp_path):
-    sent = cloudpickle.dumps(first_row_of_task())
-    load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'hourmill' not in sys.modules"
-    subprocess.run([sys.executable, "-c", load], input=sent, cwd=tmp_path, check=True, timeout=60)
-
-
 def test_files_that_come_later_are_read_by_name(spark, tmp_path):
     def put(year, name, text):
         folder = tmp_path / f"year={year}"

@@ -202,3 +202,70 @@ def test_folders_of_two_levels_and_of_unknown_days(spark, tmp_path):
     table.merge(days(spark, ("2018-02-01", 5), (None, 6)))
     assert sorted(r.v for r in table.read().collect()) == [2, 3, 4, 5, 6]
     assert [r.v for r in table.read().where("day IS NULL").orderBy("v").collect()] == [4, 6]
+
+
+def years(spark, path, **options):
+    return MonthTable(spark, str(path), ["day"], {"y": "year(day)"}, **options)
+
+
+def test_a_row_outside_the_touched_folders_stops_the_merge_and_loses_nothing(spark, tmp_path):
+    table = years(spark, tmp_path / "t")
+    table.merge(days(spark, ("2019-01-01", 1), ("2020-01-01", 2)))
+    with pytest.raises(Exception, match="not among those named as touched"):
+        table.merge(days(spark, ("2019-05-01", 3), ("2020-06-01", 4)), touched=["2019"])
+    assert sorted(r.v for r in table.read().collect()) == [1, 2]
+    table.merge(days(spark, ("2019-05-01", 3), ("2020-06-01", 4)), touched=["2019", "2020"])
+    assert sorted(r.v for r in table.read().collect()) == [1, 2, 3, 4]
+    fresh = years(spark, tmp_path / "u")
+    with pytest.raises(Exception, match="not among those named as touched"):
+        fresh.merge(days(spark, ("2019-05-01", 3), ("2020-06-01", 4)), touched=["2019"])
+
+
+def test_a_folder_that_is_not_what_the_key_says_stops_the_merge(spark, tmp_path):
+    table = years(spark, tmp_path / "t")
+    table.merge(days(spark, ("2019-01-01", 1)).withColumn("y", F.lit(2019)))
+    with pytest.raises(Exception, match="y of a row is not what its key says"):
+        table.merge(days(spark, ("2019-01-01", 9)).withColumn("y", F.lit(2020)))
+    assert [(r.v, r.y) for r in table.read().collect()] == [(1, 2019)]
+
+
+def test_rows_of_a_merge_are_counted_per_folder(spark, tmp_path):
+    table = years(spark, tmp_path / "t", stamped=True)
+    first = days(spark, ("2018-01-01", 0), ("2019-01-01", 1), ("2019-01-02", 2))
+    table.merge(first, run="one")
+    marked = days(spark, ("2019-01-02", 5), ("2019-01-03", 6)).withColumn("_problem", F.when(F.col("v") == 6, "six"))
+    table.merge(marked, run="two")
+    assert table.counts_of("one", ["2018", "2019"]) == {"2018": (1, 0, None), "2019": (1, 0, None)}
+    assert table.counts_of("two", ["2018", "2019"]) == {"2019": (2, 1, "six")}
+    assert table.counts_of("three", ["2019"]) == {}
+    assert table.read().columns == [*first.columns, "y"]
+    assert years(spark, tmp_path / "none", stamped=True).counts_of("one", ["2019"]) == {}
+
+
+def test_columns_that_come_later(spark, tmp_path):
+    table = years(spark, tmp_path / "t", evolve=True)
+    table.merge(days(spark, ("2018-01-01", 1), ("2019-01-01", 2)))
+    wider = days(spark, ("2019-01-01", 3)).withColumns({"v": F.col("v").cast("long") + (1 << 40), "w": F.lit("new")})
+    table.merge(wider)
+    table.merge(days(spark, ("2020-01-01", 4)))
+    for stored in (table, years(spark, tmp_path / "t", evolve=True)):
+        got = {str(r.day): (r.v, r.w) for r in stored.read().collect()}
+        assert got == {"2018-01-01": (1, None), "2019-01-01": ((1 << 40) + 3, "new"), "2020-01-01": (4, None)}
+    with pytest.raises(ValueError, match="column w is string"):
+        table.merge(days(spark, ("2021-01-01", 4)).withColumn("w", F.lit(1)))
+    strict = years(spark, tmp_path / "s")
+    strict.merge(days(spark, ("2018-01-01", 1)))
+    strict.merge(days(spark, ("2019-01-01", 3)).withColumn("w", F.lit("ignored")))
+    assert strict.read().columns == ["day", "v", "y"]
+
+
+def test_finer_folders_let_a_small_merge_read_and_rewrite_less(spark, tmp_path):
+    folders = {"y": "year(day)", "slot": "pmod(xxhash64(day), 16)"}
+    table = MonthTable(spark, str(tmp_path / "t"), ["day"], folders)
+    table.merge(spark.sql("SELECT date_add(DATE'2019-01-01', CAST(id AS int)) AS day, CAST(id AS int) AS v FROM range(360)"))
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    table.merge(days(spark, ("2019-01-01", -1), ("2019-03-01", -2)))
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    replaced = {p.parent.name for p in before if before[p] != after.get(p)}
+    assert 1 <= len(replaced) <= 2 and len({p.parent.name for p in before}) == 16
+    assert sum(r.v for r in table.read().collect()) == sum(range(360)) - 0 - 59 - 3
