@@ -78,18 +78,19 @@ def _pieces_of(name: str, tokenizer, dtype: np.dtype) -> Pieces:
 
 
 class Encoder:
-    """Ids of texts with ``add_special_tokens=False``; strings of special tokens count as ordinary text.
+    """Ids of texts as the library gives them with ``add_special_tokens=False``.
 
     For byte-level BPE, words that a single space joins are encoded apart and
     remembered, since such a space always begins a token and nothing merges across
-    it. Texts in which a space may touch other white space are encoded as they are.
+    it. Texts in which a space may touch other white space, and those that hold the string
+    of an added token, are encoded as they are.
     """
 
     def __init__(self, name: str = TOKENIZER):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
-        self.tokenizer.encode_special_tokens = True
+        self._added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._splits = "ByteLevel" in str(type(self.tokenizer.pre_tokenizer).__name__) and self.tokenizer.normalizer is None
         self._pieces = _pieces_of(name, self.tokenizer, self.dtype)
@@ -98,7 +99,7 @@ class Encoder:
         """Little-endian ids of ``dtype``."""
         if not text:
             return b""
-        if self._splits:
+        if self._splits and not any(added in text for added in self._added):
             first, *rest = text.split(" ")
             get = self._pieces.__getitem__
             parts = [get(first) if first else b"", *[get(" " + w) for w in rest]]

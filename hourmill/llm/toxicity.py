@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table_of
+from .common import saved, table_of
 
 MAX_LABELLED = 200_000
 MAX_TERMS = 5_000
@@ -87,8 +87,7 @@ class Matcher:
             after = _WORD.search(folded, start + len(word), start + len(word) + 60)
             yield term, weight, f"{before[0]} {word}", f"{word} {after[0] if after else ''}"
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        folded = fold(text)
+    def features(self, folded: str) -> tuple[float, float, float]:
         total, terms = 0.0, set()
         for term, weight, before, after in self.matches(folded):
             if before not in self.model.exceptions and after not in self.model.exceptions:
@@ -99,55 +98,47 @@ class Matcher:
 
     def score(self, text: str | None) -> float:
         constant, *slopes = self.model.calibration
-        z = constant + sum(s * x for s, x in zip(slopes, self.features(text)))
+        z = constant + sum(s * x for s, x in zip(slopes, self.features(fold(text))))
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
-def _term_counts(ids: np.ndarray, toxic: np.ndarray):
-    """Documents with each word beginning, by label."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        folded = pa.array([fold(t.as_py()) for t in batch.column("text")], pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("toxic"), folded], names=["toxic", "folded"])
 
-        def rows():
-            terms = list(counts[0].keys() | counts[1].keys())
-            return table_of(
-                {"term": terms, "toxic": [counts[1][t] for t in terms], "clean": [counts[0][t] for t in terms]}, _COUNTS_ARROW
-            )
 
-        for batch in batches:
-            for doc_id, text in _labelled(batch, ids):
-                words = set(_WORD.findall(fold(text)))
-                counts[int(toxic[doc_id])].update({w[:n] for w in words for n in PREFIXES if len(w) >= n})
-                if len(counts[0]) + len(counts[1]) > 1_000_000:
-                    yield rows()
-                    counts = (Counter(), Counter())
-        yield rows()
-
-    return run
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with each word beginning, by label."""
+    counts = (Counter(), Counter())
 
+    def rows():
+        terms = list(counts[0].keys() | counts[1].keys())
+        return table_of(
+            {"term": terms, "toxic": [counts[1][t] for t in terms], "clean": [counts[0][t] for t in terms]}, _COUNTS_ARROW
+        )
 
-def _labelled(batch: pa.RecordBatch, ids: np.ndarray) -> Iterator[tuple[int, str]]:
-    """Place among the labelled ids, and text, of the labelled documents of a batch."""
-    numbers = batch.column(0).fill_null(0).to_numpy()
-    known = ~np.array(batch.column(0).is_null())
-    at = np.searchsorted(ids, numbers)
-    at[at == len(ids)] = 0
-    for i in np.flatnonzero(known & (ids[at] == numbers)).tolist():
-        yield int(at[i]), batch.column(1)[i].as_py()
+    for batch in batches:
+        for toxic, folded in zip(batch.column("toxic").to_pylist(), batch.column("folded")):
+            words = set(_WORD.findall(folded.as_py()))
+            counts[toxic].update({w[:n] for w in words for n in PREFIXES if len(w) >= n})
+            if len(counts[0]) + len(counts[1]) > 1_000_000:
+                yield rows()
+                counts = (Counter(), Counter())
+    yield rows()
 
 
-def _training(model: Model, ids: np.ndarray, toxic: np.ndarray):
+def _training(model: Model):
     """Features of labelled documents, and their word pairs with a match."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
         for batch in batches:
             rows: dict[str, list] = {"pair": [], "toxic": [], "x": []}
-            for place, text in _labelled(batch, ids):
-                y = int(toxic[place])
-                rows["pair"].append(None), rows["toxic"].append(y), rows["x"].append(matcher.features(text))
-                pairs = {p for _, _, *both in matcher.matches(fold(text)) for p in both}
+            for y, text in zip(batch.column("toxic").to_pylist(), batch.column("folded")):
+                folded = text.as_py()
+                rows["pair"].append(None), rows["toxic"].append(y), rows["x"].append(matcher.features(folded))
+                pairs = {p for _, _, *both in matcher.matches(folded) for p in both}
                 for p in pairs:
                     rows["pair"].append(p), rows["toxic"].append(y), rows["x"].append(None)
             types = {"pair": pa.string(), "toxic": pa.int32(), "x": pa.list_(pa.float64())}
@@ -202,26 +193,27 @@ def fit(
     practically 0.
     """
     usable = labels.where(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-    known = (
-        usable.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).collect()
+    known = saved(
+        usable.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled),
+        "labels",
     )
-    known.sort(key=lambda r: r["doc_id"])
-    ids, toxic = np.array([r["doc_id"] for r in known], np.int64), np.array([r["toxic"] for r in known], np.int8)
-    if not len(ids) or toxic.min() == toxic.max():
+    n_toxic, n_clean = known.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
+    if not n_toxic or not n_clean:
         return Model(exceptions=frozenset(exceptions))
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    counts = texts.mapInArrow(_term_counts(ids, toxic), "term string, toxic long, clean long").groupBy("term").agg(
+    # The labelled texts, folded, once; known has max_labelled pairs of numbers at most.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
+    labelled = saved(texts.select("toxic", "text").mapInArrow(_folded, "toxic int, folded string"), "labelled")
+    counts = labelled.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     )
-    n_toxic, n_clean = int(toxic.sum()), int((1 - toxic).sum())
     chosen = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") * n_clean > F.col("clean") * n_toxic * 4))
     chosen = chosen.orderBy(F.desc(F.col("toxic") / (F.col("clean") + 1)), "term").limit(20 * MAX_TERMS)
     model = Model(_lexicon(chosen.collect(), n_toxic, n_clean), frozenset(exceptions))
     kind = "pair string, toxic int, x array<double>"
 
     def examples(m: Model):
-        rows = texts.mapInArrow(_training(m, ids, toxic), kind)
+        rows = saved(labelled.mapInArrow(_training(m), kind), "examples")
         return rows.where("pair is null").select("toxic", "x").collect(), rows.where("pair is not null")
 
     found, pairs = examples(model)

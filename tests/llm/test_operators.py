@@ -380,3 +380,15 @@ def test_word_hashes_of_long_words():
     one, other = (bytes(b"ab"[b ^ flip] for b in bits) for flip in (0, 1))
     a, b = word_hashes(b"x " + one), word_hashes(b"x " + other)
     assert a[0] == b[0] and a[1] != b[1]
+
+
+def test_special_strings_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    from hourmill.llm.tokens import TOKENIZER, tokenizer_path
+
+    library, own = Tokenizer.from_file(tokenizer_path(TOKENIZER)), Encoder()
+    names = [t.content for t in library.get_added_tokens_decoder().values()]
+    texts = [f"a {n} b" for n in names] + [f"a{n}b{n}" for n in names] + ["a <|endoftext|> b", "<|endoftext", "plain text, twice. plain"]
+    for text in texts:
+        assert np.frombuffer(own.encode(text), own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
