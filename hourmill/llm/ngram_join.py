@@ -336,10 +336,10 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _all_pairs(placed: DataFrame, percent: int, paired: int) -> DataFrame:
+def _all_pairs(placed: DataFrame, percent: int, paired: int, apart: bool = False) -> DataFrame:
     """Distinct pairs ``x`` < ``y`` of sets that share a key of ``placed`` (``key``, ``id``, ``n``, ``pos``) and may be similar.
 
-    A key of many sets is split: each set's row goes to one part as first member and to all parts as second.
+    With ``apart`` only pairs whose ``root`` differs. A key of many sets is split: each set's row goes to one part as first member and to all parts as second.
     """
     sizes = placed.groupBy("key").agg(F.ceil(F.count("*") / paired).cast("int").alias("parts"))
     placed = placed.join(sizes.where("parts > 1"), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -347,9 +347,11 @@ def _all_pairs(placed: DataFrame, percent: int, paired: int) -> DataFrame:
     y = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
     need = (F.col("x.n") + F.col("y.n")) * percent
     room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent)
+    wanted = F.col("x.root") != F.col("y.root") if apart else F.lit(True)
     met = x.join(
         y,
-        (F.col("x.key") == F.col("y.key"))
+        wanted
+        & (F.col("x.key") == F.col("y.key"))
         & (F.col("x.part") == F.col("y.part"))
         & (F.col("x.id") < F.col("y.id"))
         & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
@@ -413,21 +415,7 @@ def similar_links(
     placed = placed.withColumn("r", F.xxhash64("root"))
     mixed_keys = placed.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo != hi").select("key")
     rest = saved(placed.join(mixed_keys, "key").drop("r"), "ngram-rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    need = (F.col("x.n") + F.col("y.n")) * percent
-    room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent)
-    further = (
-        x.join(
-            y,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.id") < F.col("y.id"))
-            & (F.col("x.root") != F.col("y.root"))
-            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-            & (room >= need),
-        )
-        .select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
-        .distinct()
-    )
+    further = _all_pairs(rest, percent, paired, apart=True)
     later = further.join(one_each.select(F.col("lo").alias("x"), F.col("hi").alias("y")), ["x", "y"], "left_anti")
     return first_links.unionByName(verified(later))
 
@@ -469,14 +457,18 @@ def _with_places(docs: DataFrame, placed: DataFrame) -> DataFrame:
     return marked.join(placed.select(*[F.col(o).alias(n) for o, n in _PLACE_NAMES.items()]), same)
 
 
-def ngram_components(docs: DataFrame, shingle: int = 4, percent: int = 85, paired: int = PAIRED) -> DataFrame:
+def ngram_components(
+    docs: DataFrame, shingle: int = 4, percent: int = 85, paired: int = PAIRED, links: bool = True
+) -> DataFrame:
     """Every document with its set size, its group of near duplicates and the number of its links.
 
     Two documents link when the Jaccard similarity of their sets of distinct
     ``shingle``-word shingles (A-Z lower-cased) is at least ``percent`` hundredths; a
     shorter text is one shingle. Added columns, which replace extra ones of these
     names: ``n_shingles``, ``component_id``, the smallest ``doc_id`` reachable by links, and
-    ``n_links``, how many other documents (rows) it links with, equal ones among them.
+    ``n_links``, how many other documents (rows) it links with, equal ones among them. To count links
+    every pair of similar texts is verified, whose number grows with the square of a group of near
+    copies; with ``links=False`` there is no ``n_links``, and only pairs that may join two components are.
 
     Null, empty and blank texts have no shingles and link with nothing: their
     component is their own number. Rows with one ``doc_id`` are separate documents of
@@ -484,11 +476,11 @@ def ngram_components(docs: DataFrame, shingle: int = 4, percent: int = 85, paire
     has a null component. An empty table gives an empty result.
     """
     kept = docs.drop("n_shingles", "component_id", "n_links")
-    return _with_places(kept, _placed(docs, shingle, percent, True, paired)).select(
+    return _with_places(kept, _placed(docs, shingle, percent, links, paired)).select(
         *[F.col(f"`{c}`") for c in kept.columns],
         F.col("_llm_n").alias("n_shingles"),
         F.col("_llm_c").alias("component_id"),
-        F.col("_llm_k").alias("n_links"),
+        *([F.col("_llm_k").alias("n_links")] if links else []),
     )
 
 

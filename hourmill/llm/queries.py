@@ -21,7 +21,8 @@ def op1_substring_dedup(spark, d):
 
 
 def op2_ngram_join(spark, d):
-    return ngram_join.ngram_components(_table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
+    docs = _table(spark, d, "documents")
+    return ngram_join.ngram_components(docs, links=False).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_best_fit_packing(spark, d):

@@ -392,3 +392,14 @@ def test_special_strings_are_encoded_as_the_library_does():
     texts = [f"a {n} b" for n in names] + [f"a{n}b{n}" for n in names] + ["a <|endoftext|> b", "<|endoftext", "plain text, twice. plain"]
     for text in texts:
         assert np.frombuffer(own.encode(text), own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("paired", [1000, 2])
+def test_ngram_components_without_links(spark, docs, paired):
+    got = ngram_join.ngram_components(docs, paired=paired, links=False)
+    assert "n_links" not in got.columns
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(TEXTS)
+    rng = np.random.default_rng(8)
+    rows = [(i, passage(*[(int(p), f"x{rng.integers(3)}") for p in rng.integers(0, 60, rng.integers(0, 6))])) for i in range(50)]
+    near = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80, paired, False).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near} == brute.components(rows, 2, 80)
