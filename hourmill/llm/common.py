@@ -171,6 +171,12 @@ def chunks(texts: list, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def utf8(column: pa.Array) -> Iterator[bytes | None]:
+    """Texts of a column as UTF-8, one after another, so that a batch is not held a second time."""
+    for text in column:
+        yield text.as_buffer().to_pybytes() if text.is_valid else None
+
+
 def table_of(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

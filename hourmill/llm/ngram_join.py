@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, distinct, gram_hashes, identity, mixed, packed, saved, table_of, word_hashes
+from .common import distinct, gram_hashes, identity, mixed, packed, saved, table_of, utf8, word_hashes
 
 FREQUENT = 8
 MAX_FREQUENT = 1 << 20
@@ -101,9 +101,9 @@ def _nodes(shingle: int):
                 tokens, counts = tokens[counts > 1], counts[counts > 1]
 
         for batch in batches:
-            d, h, texts = (c.to_pylist() for c in batch.columns)
+            d, h = (c.to_pylist() for c in batch.columns[:2])
             ids, sizes = [], []
-            for text in texts:
+            for text in utf8(batch.column(2)):
                 found = shingle_set(text, shingle)
                 ids.append(_id(found) if len(found) else None)
                 sizes.append(len(found))
@@ -172,7 +172,7 @@ def _costs(shingle: int, percent: int, order: Order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = set(), {}
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in utf8(batch.column(0)):
                 found = shingle_set(text, shingle)
                 n = len(found)
                 if not 0 < n <= LARGEST_SMALL or _id(found) in known:
@@ -208,34 +208,40 @@ def _keys(shingle: int, percent: int, order: Order, small: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = set()
+        keys, ids, sizes, places, hot = [], [], [], [], []
+
+        def rows() -> pa.RecordBatch:
+            nonlocal keys, ids, sizes, places, hot
+            made = table_of({"key": keys, "a": ids, "n": sizes, "pos": places, "hot": hot}, _KEYS_ARROW)
+            keys, ids, sizes, places, hot = [], [], [], [], []
+            return made
+
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for lo, hi in chunks(texts):
-                keys, ids, sizes, places, hot = [], [], [], [], []
-                for text in texts[lo:hi]:
-                    found = shingle_set(text, shingle)
-                    n = len(found)
-                    if n < least_linked or (name := _id(found)) in known:
-                        continue
-                    if len(known) < REMEMBERED:
-                        known.add(name)
-                    prefix, df = order.prefix(found, n - _least(n, percent) + 2)
-                    before = len(keys)
-                    if n <= small:
-                        for i, j in combinations(range(len(prefix)), 2):
-                            pair = gram_hashes(prefix[[i, j]], 2) + np.uint64(1)
-                            keys.append(int(pair.view(np.int64)[0]))
-                            places.append(j - 1)
-                        hot += [False] * (len(keys) - before)
-                    if n >= from_lists or n <= by_one:
-                        single = min(n - _least(n, percent) + 1, len(prefix))
-                        keys += prefix[:single].view(np.int64).tolist()
-                        places += range(single)
-                        hot += (df[:single] >= HOT).tolist()
-                    ids += [_short(name)] * (len(keys) - before)
-                    sizes += [n] * (len(keys) - before)
-                if keys:
-                    yield table_of({"key": keys, "a": ids, "n": sizes, "pos": places, "hot": hot}, _KEYS_ARROW)
+            for text in utf8(batch.column(0)):
+                found = shingle_set(text, shingle)
+                n = len(found)
+                if n < least_linked or (name := _id(found)) in known:
+                    continue
+                if len(known) < REMEMBERED:
+                    known.add(name)
+                prefix, df = order.prefix(found, n - _least(n, percent) + 2)
+                before = len(keys)
+                if n <= small:
+                    for i, j in combinations(range(len(prefix)), 2):
+                        pair = gram_hashes(prefix[[i, j]], 2) + np.uint64(1)
+                        keys.append(int(pair.view(np.int64)[0]))
+                        places.append(j - 1)
+                    hot += [False] * (len(keys) - before)
+                if n >= from_lists or n <= by_one:
+                    single = min(n - _least(n, percent) + 1, len(prefix))
+                    keys += prefix[:single].view(np.int64).tolist()
+                    places += range(single)
+                    hot += (df[:single] >= HOT).tolist()
+                ids += [_short(name)] * (len(keys) - before)
+                sizes += [n] * (len(keys) - before)
+                if len(keys) >= SENT:
+                    yield rows()
+        yield rows()
 
     return run
 
