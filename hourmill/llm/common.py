@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
+import gc
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -162,6 +165,26 @@ def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return mixed(total)
 
 
+def give_back() -> None:
+    """Free memory of this worker returns to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same function over batches, after which a reused worker keeps no memory of its task."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def chunks(texts: list, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have about ``size`` characters together, so that word lists stay small."""
     start = total = 0

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct, gram_hashes, identity, mixed, packed, saved, table_of, utf8, word_hashes
+from .common import distinct, gram_hashes, identity, mixed, packed, released, saved, table_of, utf8, word_hashes
 
 FREQUENT = 8
 MAX_FREQUENT = 1 << 20
@@ -379,14 +379,14 @@ def similar_links(
         np.array([r["token"] for r in frequent], np.int64).view(np.uint64), np.array([r["df"] for r in frequent], np.int64)
     )
     short = docs.where(F.length("text") <= 40 * LARGEST_SMALL).select("text")
-    sizes = short.mapInArrow(_costs(shingle, percent, order), _COST).groupBy("n").agg(
+    sizes = short.mapInArrow(released(_costs(shingle, percent, order)), _COST).groupBy("n").agg(
         F.sum("subsets").alias("subsets"), F.sum("lists").alias("lists")
     )
     small = boundary({r["n"]: (r["subsets"], r["lists"]) for r in sizes.collect()}, percent)
 
-    keys = docs.select("text").mapInArrow(_keys(shingle, percent, order, small), _KEYS)
+    keys = docs.select("text").mapInArrow(released(_keys(shingle, percent, order, small)), _KEYS)
     slot = F.when(F.col("hot"), F.xxhash64("key", "a")).otherwise(F.xxhash64("key"))
-    met = keys.repartition(slot).sortWithinPartitions("key", "a").mapInArrow(_shared, _KEYS)
+    met = keys.repartition(slot).sortWithinPartitions("key", "a").mapInArrow(released(_shared), _KEYS)
     shared = saved(met.drop("hot"), "ngram-keys")
 
     reps = nodes.where("id is not null").groupBy("id", "a").agg(F.min(F.struct("d", "h")).alias("rep"))
@@ -400,7 +400,7 @@ def similar_links(
         left = texts.select(F.col("id").alias("x"), F.col("text").alias("left"))
         right = texts.select(F.col("id").alias("y"), F.col("text").alias("right"))
         whole = pairs.join(left, "x").join(right, "y").select("x", "y", "left", "right")
-        return whole.mapInArrow(_verify(shingle, percent), "x binary, y binary")
+        return whole.mapInArrow(released(_verify(shingle, percent)), "x binary, y binary")
 
     if every:
         pairs = saved(_all_pairs(shared.join(chosen.select("id", "a"), "a"), percent, paired), "ngram-pairs")
@@ -428,7 +428,7 @@ def similar_links(
 
 def _placed(docs: DataFrame, shingle: int, percent: int, every: bool, paired: int = PAIRED) -> DataFrame:
     """Per document (``d``, ``h``): set size, component, whether it is the first of its component and, given all links, their number."""
-    nodes = saved(docs.select(*identity(), "text").mapInArrow(_nodes(shingle), _NODES), "ngram-nodes")
+    nodes = saved(docs.select(*identity(), "text").mapInArrow(released(_nodes(shingle)), _NODES), "ngram-nodes")
     per_doc = nodes.where("kind = 0").select("d", "h", "id", "n").distinct()
     links = saved(similar_links(docs, nodes, shingle, percent, every, paired), "ngram-all-links")
     roots = components(links)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, chunks, gram_hashes, identity, packed, saved, table_of
+from .common import WordHashes, chunks, gram_hashes, identity, packed, released, saved, table_of
 
 GRAM = 3
 #: Words with one-, two- and three-byte codes.
@@ -238,7 +238,7 @@ def repeated_spans(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) ->
     """Word ranges ``[lo, hi)`` of documents (``d``, ``h``) covered by windows that also start earlier."""
     texts = docs.select("text")
     stats = saved(
-        texts.mapInArrow(_survey(window), _STATS).groupBy("kind", "key", "word").agg(F.sum("n").alias("n"))
+        texts.mapInArrow(released(_survey(window)), _STATS).groupBy("kind", "key", "word").agg(F.sum("n").alias("n"))
         .where((F.col("kind") == 1) | (F.col("n") > hot_rows)),
         "grams",
     )
@@ -249,9 +249,9 @@ def repeated_spans(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) ->
         return [r[column] for r in top.select(column).collect()]
 
     hot, words = most(0, "key", MAX_HOT_KEYS), [bytes(w) for w in most(1, "word", CODES)]
-    supers = docs.select(*identity(), "text").mapInArrow(_split(window, words, np.sort(np.array(hot, np.int64))), _SUPER)
+    supers = docs.select(*identity(), "text").mapInArrow(released(_split(window, words, np.sort(np.array(hot, np.int64)))), _SUPER)
     sorted_rows = supers.repartition("key").sortWithinPartitions("key", "d", "h", "start")
-    return sorted_rows.mapInArrow(_count(window), _SPANS)
+    return sorted_rows.mapInArrow(released(_count(window)), _SPANS)
 
 
 def substring_dedup(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) -> DataFrame:
@@ -308,4 +308,4 @@ def substring_dedup(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) -
     plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns if c != "text"], F.col("text")).alias("row"))
     types = [T.StructField("row", plain.schema["row"].dataType)]
     types += [T.StructField(n, T.LongType() if t == "long" else T.StringType()) for n, t in added.items()]
-    return joined.mapInArrow(cut, T.StructType(types)).select(*[F.col(f"row.`{c}`") for c in kept_columns], *added)
+    return joined.mapInArrow(released(cut), T.StructType(types)).select(*[F.col(f"row.`{c}`") for c in kept_columns], *added)

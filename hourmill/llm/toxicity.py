@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, table_of
+from .common import give_back, released, saved, table_of
 
 MAX_LABELLED = 200_000
 MAX_TERMS = 5_000
@@ -203,8 +203,8 @@ def fit(
         return Model(exceptions=frozenset(exceptions))
     # The labelled texts, folded, once; known has max_labelled pairs of numbers at most.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
-    labelled = saved(texts.select("toxic", "text").mapInArrow(_folded, "toxic int, folded string"), "labelled")
-    counts = labelled.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(
+    labelled = saved(texts.select("toxic", "text").mapInArrow(released(_folded), "toxic int, folded string"), "labelled")
+    counts = labelled.mapInArrow(released(_term_counts), "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     )
     chosen = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") * n_clean > F.col("clean") * n_toxic * 4))
@@ -213,7 +213,7 @@ def fit(
     kind = "pair string, toxic int, x array<double>"
 
     def examples(m: Model):
-        rows = saved(labelled.mapInArrow(_training(m), kind), "examples")
+        rows = saved(labelled.mapInArrow(released(_training(m)), kind), "examples")
         return rows.where("pair is null").select("toxic", "x").collect(), rows.where("pair is not null")
 
     found, pairs = examples(model)
@@ -238,6 +238,8 @@ def toxicity(text: Column, model: Model) -> Column:
         matcher = Matcher(model)
         for texts in parts:
             yield pd.Series([matcher.score(t) for t in texts], dtype="float64")
+        del matcher
+        give_back()
 
     return scores.asNondeterministic()(text)  # else the optimiser may run it once per use
 
