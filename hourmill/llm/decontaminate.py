@@ -4,7 +4,7 @@ Texts are compared lower-cased, with every run of other characters than letters
 digits as one space. An item may differ in ``share`` of its characters; it is split
 into one piece more than that, so one piece at least stands unchanged wherever it
 occurs. Pieces are found by Aho-Corasick and each place is verified with Myers'
-bit-parallel distance.
+bit-parallel distance. Short items are found unchanged, between word boundaries.
 """
 
 from __future__ import annotations
@@ -16,8 +16,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back, identity, saved
+
 SHARE = 0.08
 SHORTEST = 32
+LEAST_WORDS = 3
 SLICE_BYTES = 4 << 20
 _OTHER = re.compile(r"[\W_]+")
 
@@ -64,27 +67,28 @@ class Pattern:
 
 
 class Items:
-    """An automaton over the pieces of some items."""
+    """An automaton over the pieces of some items, and over whole short ones between word boundaries."""
 
-    def __init__(self, items: list[tuple[int, str]], share: float = SHARE, shortest: int = SHORTEST):
+    def __init__(self, items: list[tuple[int, str]], share: float = SHARE, shortest: int = SHORTEST, least_words: int = LEAST_WORDS):
         import ahocorasick
 
         self.whole: dict[str, list[int]] = {}
         self.patterns: list[tuple[int, Pattern, int]] = []
-        at: dict[str, list[tuple[int, int]]] = {}
+        at: dict[str, tuple[list[tuple[int, int]], list[int]]] = {}
         for item_id, text in items:
             item = normalised(text)
-            if len(item) < shortest:
-                if item:
-                    self.whole.setdefault(item, []).append(item_id)
-                continue
-            budget = int(len(item) * share)
-            for place, piece in pieces(item, budget):
-                at.setdefault(piece, []).append((len(self.patterns), place))
-            self.patterns.append((item_id, Pattern(item), budget))
+            if len(item) >= shortest:
+                budget = int(len(item) * share)
+                for place, piece in pieces(item, budget):
+                    at.setdefault(piece, ([], []))[0].append((len(self.patterns), place))
+                self.patterns.append((item_id, Pattern(item), budget))
+            elif item.count(" ") + 1 >= least_words:
+                at.setdefault(f" {item} ", ([], []))[1].append(item_id)
+            elif item:
+                self.whole.setdefault(item, []).append(item_id)
         self.automaton = ahocorasick.Automaton() if at else None
-        for piece, places in at.items():
-            self.automaton.add_word(piece, (len(piece), places))
+        for piece, (places, short) in at.items():
+            self.automaton.add_word(piece, (len(piece), places, short))
         if at:
             self.automaton.make_automaton()
 
@@ -95,7 +99,10 @@ class Items:
         if self.automaton is None or not said:
             return [(i, *v) for i, v in best.items()]
         areas: dict[int, list[list[int]]] = {}
-        for end, (length, places) in self.automaton.iter(said):
+        for behind, (length, places, short) in self.automaton.iter(f" {said} "):
+            end = behind - 1  # in the text without the space before it
+            for item_id in short:
+                best[item_id] = min(best.get(item_id, (0, end)), (0, end))
             for number, place in places:
                 _, pattern, budget = self.patterns[number]
                 lo = max(0, end + 1 - length - place - budget)
@@ -117,45 +124,79 @@ class Items:
         return [(i, *v) for i, v in sorted(best.items())]
 
 
-def _slices(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items in parts of bounded size, each small enough to travel with the tasks."""
+def _slices(benchmark: DataFrame, slice_bytes: int) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """The items in parts of bounded size, each small enough to travel with the tasks, and their number."""
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)).alias("n")).collect()[0]["n"]
-    n = int(size // SLICE_BYTES) + 1
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
+    n = int(size // slice_bytes) + 1
+
+    def part(k: int) -> list[tuple[int, str]]:
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
+        return [(r["item_id"], r["text"]) for r in rows]
+
+    return n, map(part, range(n))
+
+
+_KIND = "array<struct<item_id:long,distance:int,end:int>>"
+
+
+def _finder(part: list[tuple[int, str]], options: dict):
+    @F.pandas_udf(_KIND)
+    def find(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        items = Items(part, **options)
+        for texts in parts:
+            rows = [[{"item_id": i, "distance": d, "end": e} for i, d, e in items.found(t)] for t in texts]
+            yield pd.Series(rows, dtype="object")
+        del items
+        give_back()
 
+    return find.asNondeterministic()  # else the optimiser may run it once per use
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, shortest: int = SHORTEST) -> DataFrame:
+
+def _marked(docs: DataFrame, benchmark: DataFrame, name: str, slice_bytes: int = SLICE_BYTES, **options) -> DataFrame:
+    """Documents with the items found in them, as a column of that name.
+
+    A benchmark of one slice goes with the tasks of one scan. Of several, only one is
+    held at a time: each is searched in a job of its own whose matches are written
+    before the next is read, and the matches of all are joined to the documents.
+    """
+    n, parts = _slices(benchmark, slice_bytes)
+    if n == 1:
+        return docs.select("*", _finder(next(parts), options)(F.col("text")).alias(name))
+    d, h = identity()
+    found = None
+    for part in parts:
+        hits = docs.select(d, h, _finder(part, options)(F.col("text")).alias("items")).where(F.size("items") > 0)
+        hits = saved(hits, "benchmark-hits")
+        found = hits if found is None else found.unionByName(hits)
+    per_item = found.select("d", "h", F.explode("items").alias("item")).groupBy("d", "h", F.col("item.item_id").alias("item_id"))
+    best = per_item.agg(F.min(F.struct("item.distance", "item.end")).alias("at"))
+    listed = best.groupBy(F.col("d").alias("_llm_e"), F.col("h").alias("_llm_g")).agg(
+        F.sort_array(F.collect_list(F.struct("item_id", "at.distance", "at.end"))).cast(_KIND).alias("_llm_items")
+    )
+    same = (F.col("_llm_d") == F.col("_llm_e")) & (F.col("_llm_h") == F.col("_llm_g"))
+    joined = docs.select("*", d.alias("_llm_d"), h.alias("_llm_h")).join(listed, same, "left")
+    items = F.coalesce("_llm_items", F.array().cast(_KIND)).alias(name)
+    return joined.select(*[F.col(quoted) for quoted in (f"`{c}`" for c in docs.columns)], items)
+
+
+def contaminations(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Documents with an added column ``items``: structs ``item_id``, ``distance``, ``end`` of benchmark items in them.
 
     An item counts if some part of the text is within ``share`` of its length in
-    edits (both normalised); one shorter than ``shortest`` only if it is the whole
-    text. ``end`` is where the part ends in the normalised text.
+    edits (both normalised). One shorter than ``shortest`` characters has no room for
+    edits: it counts where it stands unchanged between word boundaries, and one of
+    fewer than ``least_words`` words, which any text may hold, only if it is the whole
+    text. ``end`` is where the part ends in the normalised text. The benchmark is
+    held in slices of ``slice_bytes``, one at a time.
 
     Items without number or text match nothing, null and empty documents hold
     nothing; repeated rows are treated alike; an extra column ``items`` is replaced;
     empty tables on either side give no matches.
     """
-    kind = "array<struct<item_id:long,distance:int,end:int>>"
-
-    def finder(part: list[tuple[int, str]]):
-        @F.pandas_udf(kind)
-        def find(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            items = Items(part, share, shortest)
-            for texts in parts:
-                rows = [[{"item_id": i, "distance": d, "end": e} for i, d, e in items.found(t)] for t in texts]
-                yield pd.Series(rows, dtype="object")
-
-        return find.asNondeterministic()  # else the optimiser may run it once per use
-
-    found = [finder(part)(F.col("text")) for part in _slices(benchmark) if part]
-    items = F.concat(*found) if len(found) > 1 else found[0] if found else F.array().cast(kind)
-    return docs.drop("items").select("*", items.alias("items"))
+    return _marked(docs.drop("items"), benchmark, "items", **options)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Documents that hold no benchmark item, in the columns they came with."""
-    marked = contaminations(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "items"]), benchmark, **options)
-    return marked.where(F.size("items") == 0).drop("items")
+    return _marked(docs, benchmark, "_llm_found", **options).where(F.size("_llm_found") == 0).drop("_llm_found")
