@@ -1,29 +1,33 @@
 """URL filter: rules first, then a ratio of character language models.
 
-Two variable-order Markov models (orders 0 to 3, each order backed by the next
-lower one with Witten-Bell weights) are counted over all URLs that a rule allows and
-all that a rule blocks. A URL without a rule is judged by the difference of its
-log-likelihoods per symbol, against a threshold calibrated on rule-judged URLs kept
-out of the counts. Characters fall into ``SYMBOLS`` classes, so a model has at most
-``SYMBOLS ** 4`` counts whatever the table.
+Two variable-order Markov models (a character after up to ``ORDER`` others, each order
+backed by the next lower one with Witten-Bell weights) are counted over all distinct
+URLs that a rule allows and all that a rule blocks. A URL without a rule is judged by
+the difference of its log-likelihoods per character, against a threshold calibrated
+on rule-judged URLs kept out of the counts.
+
+The counts are a table: every run of characters of the URLs with its number in each
+model. It grows with the URLs and never comes to the driver. Probabilities go up the
+orders by one join each, where a row meets at most as many as there are characters.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table_of
+from .common import released, saved, table_of
 
-ORDER = 3
-_PUNCTUATION = "./-_~%=+,:;@!&"
-START, DIGIT, OTHER, WIDE, END = 0, 27, 28 + len(_PUNCTUATION), 29 + len(_PUNCTUATION), 30 + len(_PUNCTUATION)
-SYMBOLS = END + 1
+ORDER = 6
+START, END = "\x02", "\x03"
+#: A gram or URL of at least this part of all rows is looked up apart from the others: at most so many are.
+SHARE = 4096
+#: Log ratios are whole multiples of its reciprocal, so that sums do not move with the order of adding.
+UNIT = 1_000_000
+SENT = 1 << 16
 Rule = tuple[str, str, str]
 RULES: tuple[Rule, ...] = (
     ("allow", "com", "/"),
@@ -32,43 +36,85 @@ RULES: tuple[Rule, ...] = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-_COUNTS_ARROW = pa.schema([("kind", pa.int32()), ("gram", pa.int32()), ("n", pa.int64())])
+_GRAMS_ARROW = pa.schema([("id", pa.binary()), ("kind", pa.int32()), ("gram", pa.string())])
 
 
-def _symbol_table() -> np.ndarray:
-    table = np.full(256, OTHER, np.int64)
-    table[128:] = WIDE
-    for i in range(26):
-        table[ord("a") + i] = table[ord("A") + i] = 1 + i
-    table[ord("0") : ord("9") + 1] = DIGIT
-    for i, c in enumerate(_PUNCTUATION):
-        table[ord(c)] = DIGIT + 1 + i
-    return table
+def grams(url: str) -> Iterator[str]:
+    """Every character of a URL, and its end, with the ``ORDER`` before it."""
+    padded = START * ORDER + url + END
+    return (padded[i : i + ORDER + 1] for i in range(len(url) + 1))
 
 
-def grams(url: str, table: np.ndarray) -> np.ndarray:
-    """Every symbol of a URL (and its end) with the three before it, as one number."""
-    symbols = np.concatenate([np.full(ORDER, START), table[np.frombuffer(url.encode(), np.uint8)], [END]])
-    n = len(symbols) - ORDER
-    total = np.zeros(n, np.int64)
-    for i in range(ORDER + 1):
-        total = total * SYMBOLS + symbols[i : i + n]
-    return total
-
-
-def log_ratio(allowed: np.ndarray, blocked: np.ndarray) -> np.ndarray:
-    """Log of the two models' probabilities of a symbol after three others, their difference for all combinations."""
-
-    def log_model(counts: np.ndarray) -> np.ndarray:
-        shape = counts.reshape((SYMBOLS,) * (ORDER + 1)).astype(np.float64)
-        below = np.full(SYMBOLS, 1 / SYMBOLS)
-        for order in range(ORDER + 1):
-            own = shape.sum(axis=tuple(range(ORDER - order)))
-            seen, kinds = own.sum(axis=-1, keepdims=True), (own > 0).sum(axis=-1, keepdims=True)
-            below = np.where(seen > 0, (own + kinds * below) / np.maximum(seen + kinds, 1), below)
-        return np.log(below).reshape(-1)
-
-    return (log_model(allowed) - log_model(blocked)).astype(np.float32)
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ids, kinds, found = [], [], []
+    for batch in batches:
+        for name, kind, url in zip(*batch.columns):
+            name, kind = name.as_py(), kind.as_py()
+            for gram in grams(url.as_py()):
+                ids.append(name)
+                kinds.append(kind)
+                found.append(gram)
+                if len(found) == SENT:
+                    yield table_of({"id": ids, "kind": kinds, "gram": found}, _GRAMS_ARROW)
+                    ids, kinds, found = [], [], []
+    yield table_of({"id": ids, "kind": kinds, "gram": found}, _GRAMS_ARROW)
+
+
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """``gram`` and ``ratio``, the log of both models' probabilities of its last character, from ``counts`` (``gram``, ``a``, ``b``).
+
+    ``a`` and ``b`` are its places in allowed and blocked URLs; grams of neither are scored too.
+    """
+    level = F.explode(F.sequence(F.lit(0), F.lit(ORDER)))
+    ends = counts.select("a", "b", "gram", level.alias("k"))
+    ends = ends.groupBy("k", F.expr("right(gram, k + 1)").alias("said")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    # Rows of one context differ in their last character, so a context has at most as many rows as there are characters.
+    ends = ends.withColumn("context", F.expr("left(said, k)"))
+    contexts = ends.groupBy("k", "context").agg(
+        F.sum("a").alias("all_a"), F.count_if(F.col("a") > 0).alias("kinds_a"),
+        F.sum("b").alias("all_b"), F.count_if(F.col("b") > 0).alias("kinds_b"),
+    )
+    ends = saved(ends.join(contexts, ["k", "context"]).drop("context"), "url-grams")
+    total = ends.where("k = 0").agg(F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")).first()
+    if not total["a"] or not total["b"]:
+        return counts.select("gram", F.lit(0).cast("long").alias("ratio"))
+
+    def smoothed(model: str, below: Column) -> Column:
+        own, seen, kinds = F.col(model), F.col(f"all_{model}"), F.col(f"kinds_{model}")
+        return F.when(seen > 0, (own + kinds * below) / (seen + kinds)).otherwise(below).alias(f"p_{model}")
+
+    alike = F.lit(1 / total["n"])
+    lower = ends.where("k = 0").select("said", smoothed("a", alike), smoothed("b", alike))
+    for k in range(1, ORDER + 1):
+        below = lower.select(F.col("said").alias("rest"), F.col("p_a").alias("below_a"), F.col("p_b").alias("below_b"))
+        own = ends.where(F.col("k") == k).withColumn("rest", F.expr(f"right(said, {k})"))
+        lower = own.join(below, "rest").select("said", smoothed("a", F.col("below_a")), smoothed("b", F.col("below_b")))
+    ratio = F.round((F.log("p_a") - F.log("p_b")) * UNIT).cast("long")
+    return lower.select(F.col("said").alias("gram"), ratio.alias("ratio"))
+
+
+def _looked_up(rows: DataFrame, values: DataFrame, key: str, value: str) -> DataFrame:
+    """Rows with the value of their key; ``values`` marks as ``hot`` keys of many rows, at most ``SHARE``, which need no shuffle."""
+    hot = F.broadcast(values.where("hot").select(key, value))
+    first = rows.join(hot, key, "left")
+    rest = first.where(F.col(value).isNull()).drop(value).join(values.where(~F.col("hot")).select(key, value), key)
+    return first.where(F.col(value).isNotNull()).unionByName(rest)
+
+
+def margins(urls: DataFrame) -> DataFrame:
+    """``id`` and ``margin``, the log-likelihood difference per character, of distinct ``urls`` (``id``, ``kind``, ``said``).
+
+    The models learn from URLs of ``kind`` 0 (allowed) and 1 (blocked).
+    """
+    places = saved(urls.select("id", "kind", "said").mapInArrow(released(_grams), "id binary, kind int, gram string"), "url-places")
+    counts = places.groupBy("gram").agg(
+        F.count_if(F.col("kind") == 0).alias("a"), F.count_if(F.col("kind") == 1).alias("b"), F.count("*").alias("n")
+    )
+    counts = saved(counts, "url-counts")
+    everywhere = counts.agg(F.sum("n")).first()[0] or 0
+    ratios = log_ratios(counts).join(counts.select("gram", (F.col("n") * SHARE >= everywhere).alias("hot")), "gram")
+    scored = _looked_up(places.select("id", "gram"), saved(ratios, "url-ratios"), "gram", "ratio")
+    return scored.groupBy("id").agg((F.sum("ratio") / F.count("*") / UNIT).alias("margin"))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -89,63 +135,45 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> tuple[
     return name, verdict
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = _symbol_table()
-    counts = np.zeros((2, SYMBOLS ** (ORDER + 1)), np.int64)
-    for batch in batches:
-        kinds, urls = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for kind in (0, 1):
-            found = [grams(u, table) for k, u in zip(kinds, urls) if k == kind]
-            if found:
-                which, n = np.unique(np.concatenate(found), return_counts=True)
-                counts[kind][which] += n
-    for kind in (0, 1):
-        used = np.flatnonzero(counts[kind])
-        yield table_of({"kind": [kind] * len(used), "gram": used, "n": counts[kind][used]}, _COUNTS_ARROW)
-
-
-def _margin(ratio: np.ndarray):
-    @F.pandas_udf("double")
-    def margin(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = _symbol_table()
-        for urls in parts:
-            yield pd.Series([float(ratio[grams(u, table)].mean()) for u in urls], dtype="float64")
-
-    return margin.asNondeterministic()  # else the optimiser may run it once per use
-
-
 def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, calibration_share: int = 4) -> DataFrame:
     """Pages with ``host``, ``path``, ``rule``, ``verdict`` (allow or block) and ``score``.
 
-    ``score`` is the log-likelihood difference per symbol less the threshold, from
+    ``score`` is the log-likelihood difference per character less the threshold, from
     0 on it allows. One in ``calibration_share`` rule-judged URLs, chosen by hash,
     sets the threshold, where both kinds are told apart best. Without allowed or
     blocked URLs the models say nothing and everything without a rule is allowed.
 
-    The models count and score the whole url, query and fragment too. A null url, or
-    one without ``://``, has an empty host and path; null is scored as an empty string. The added columns replace extra ones of these names; repeated
-    rows are judged alike; an empty table gives an empty result.
+    The models count and score the whole url as it is, query and fragment too; a url of
+    many rows counts once. A null url, or one without ``://``, has an empty host and
+    path; null is scored as an empty string. The added columns replace extra ones of
+    these names; repeated rows are judged alike; an empty table gives an empty result.
     """
     added = ("host", "path", "rule", "verdict", "score")
     host, path = host_and_path(F.col("url"))
     split = pages.drop(*added).select("*", host.alias("host"), path.alias("path"))
     name, kind = rule_of(F.col("host"), F.col("path"), rules)
-    ruled = split.select("*", name.alias("rule"), kind.alias("_kind"), F.coalesce("url", F.lit("")).alias("_said"))
-    known = ruled.where(F.col("_kind").isNotNull()).select((F.col("_kind") == "block").cast("int").alias("kind"), "_said")
-    apart = F.pmod(F.xxhash64("_said"), F.lit(calibration_share)) == 0
-    summed = known.where(~apart).mapInArrow(_count, "kind int, gram int, n long").groupBy("kind", "gram").agg(F.sum("n").alias("n"))
-    counts = np.zeros((2, SYMBOLS ** (ORDER + 1)), np.int64)
-    for r in summed.toLocalIterator():
-        counts[r["kind"], r["gram"]] = r["n"]
-    ratio = log_ratio(*counts) if counts.any(axis=1).all() else np.zeros(counts.shape[1], np.float32)
-    margin = _margin(ratio)
-    bins = known.where(apart).select("kind", F.floor(margin("_said") * 100).alias("bin")).groupBy("bin").agg(
+    said = F.coalesce("url", F.lit(""))
+    ruled = split.select("*", name.alias("rule"), kind.alias("_llm_kind"), F.unhex(F.md5(said)).alias("_llm_id"))
+
+    distinct_urls = ruled.groupBy(F.col("_llm_id").alias("id")).agg(
+        F.first(said).alias("said"), F.first(F.when(F.col("_llm_kind") == "block", 1).when(F.col("_llm_kind") == "allow", 0)).alias("kind"),
+        F.count("*").alias("n"),
+    )
+    apart = F.pmod(F.xxhash64("said"), F.lit(calibration_share)) == 0
+    urls = saved(distinct_urls.select("*", apart.alias("apart")), "urls")
+    learned = urls.select("id", F.when(~F.col("apart"), F.col("kind")).alias("kind"), "said")
+    rows = urls.agg(F.sum("n")).first()[0] or 0
+    marked = urls.select("id", F.when(F.col("apart"), F.col("kind")).alias("kind"), (F.col("n") * SHARE >= rows).alias("hot"))
+    known = saved(margins(learned).join(marked, "id"), "url-margins")
+
+    bins = known.where("kind is not null").select("kind", F.floor(F.col("margin") * 100).alias("bin")).groupBy("bin").agg(
         F.count_if(F.col("kind") == 0).alias("allowed"), F.count_if(F.col("kind") == 1).alias("blocked")
-    )
+    )  # a bin per hundredth between the least and the greatest log ratio of a character
     threshold = _threshold(sorted((r["bin"], r["allowed"], r["blocked"]) for r in bins.collect()))
-    scored = ruled.withColumn("score", margin("_said") - threshold)
+    values = known.select(F.col("id").alias("_llm_id"), F.col("margin").alias("_llm_margin"), "hot")
+    scored = _looked_up(ruled, values, "_llm_id", "_llm_margin").withColumn("score", F.col("_llm_margin") - threshold)
     own = F.when(F.col("score") >= 0, "allow").otherwise("block")
-    return scored.withColumn("verdict", F.coalesce("_kind", own)).select(*split.columns, "rule", "verdict", "score")
+    return scored.withColumn("verdict", F.coalesce("_llm_kind", own)).select(*split.columns, "rule", "verdict", "score")
 
 
 def _threshold(bins: list[tuple[int, int, int]]) -> float:

@@ -1,7 +1,9 @@
 """Each operator against plain Python on hand-made rows: nulls, empty and long texts, ties, repeats, clashing columns, no rows."""
 
+import math
 import sys
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -205,6 +207,36 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(empty).collect() == []
 
 
+def test_url_log_ratios_by_brute_force(spark):
+    urls = {"http://a.com/x1": 0, "http://a.com/x2": 0, "http://é.com/": 0, "http://b.net/y?1": 1, "": 1, "zz": None, "http://a.com/y": None}
+    rows = [(str(i).encode(), kind, said) for i, (said, kind) in enumerate(urls.items())]
+    got = {int(r.id): r.margin for r in url_filter.margins(spark.createDataFrame(rows, "id binary, kind int, said string")).collect()}
+    every = {g[-k - 1 :] for said in urls for g in url_filter.grams(said) for k in range(url_filter.ORDER + 1)}
+    symbols = len({g for g in every if len(g) == 1})
+
+    def chance(model, gram):
+        if not gram:
+            return 1 / symbols
+        seen = Counter(g[-len(gram) :] for said, kind in urls.items() if kind == model for g in url_filter.grams(said))
+        after = [n for g, n in seen.items() if g[:-1] == gram[:-1]]
+        below = chance(model, gram[1:])
+        return (seen[gram] + len(after) * below) / (sum(after) + len(after)) if after else below
+
+    for i, said in enumerate(urls):
+        ratios = [math.log(chance(0, g)) - math.log(chance(1, g)) for g in url_filter.grams(said)]
+        assert got[i] == pytest.approx(sum(ratios) / len(ratios), abs=2e-6)
+
+
+def test_url_filter_long_urls_and_a_hot_url(spark):
+    rows = [(i, f"https://good{i}.com/a{i}", "x") for i in range(30)] + [(100 + i, f"https://bad{i}.net/es/b{i}", "x") for i in range(30)]
+    rows += [(200 + i, "q://h.org/a", "x") for i in range(30)] + [(None, "q://h.org/" + "long " * 40_000, "x"), (300, None, "x"), (301, "q://日本.org/é", "x")]
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, verdict string"))
+    assert got.columns == ["page_id", "url", "host", "path", "rule", "verdict", "score"]
+    got = got.collect()
+    assert len(got) == len(rows) and len({r.score for r in got if r.url == "q://h.org/a"}) == 1
+    assert all(math.isfinite(r.score) for r in got) and {r.host for r in got if r.page_id == 301} == {"日本.org"}
+
+
 def test_url_filter_scores_the_whole_url(spark):
     rows = [(i, f"https://good{i}.com/a?{'abc' * (i % 5)}=fine") for i in range(60)]
     rows += [(100 + i, f"https://bad{i}.net/es/a?{'xyz' * (i % 5)}=pills") for i in range(60)]
