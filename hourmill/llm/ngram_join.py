@@ -13,6 +13,9 @@ Candidates are verified on the whole sets: all pairs where links are asked for.
 only groups are, large groups of copies are spared their pairs: each node is first
 checked against one other node, the one it shares most keys with; only keys that then
 still hold nodes of different components give further pairs, of those nodes only.
+Each node carries a bit per residue class of its shingles, set if their number is odd.
+Two sets differ in at least as many shingles as these bits differ, so that most pairs that
+share a key but little else are seen to be too different where they meet, without a text.
 Links and components stay distributed.
 """
 
@@ -25,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import distinct, gram_hashes, identity, mixed, packed, released, saved, table_of, utf8, word_hashes
@@ -44,11 +47,13 @@ LOWEST = -(1 << 63)
 _PLACE_NAMES = {"d": "_llm_e", "h": "_llm_g", "n_shingles": "_llm_n", "component_id": "_llm_c", "leads": "_llm_l", "n_links": "_llm_k"}
 LARGEST_SMALL = 64
 
-_NODES = "kind int, d long, h long, id binary, a long, n int, token long, df long"
+#: Parities of the shingles' residue classes, 64 to a column.
+_MARKS = [f"m{i}" for i in range(8)]
+_NODES = "kind int, d long, h long, id binary, a long, n int, token long, df long, " + ", ".join(f"{m} long" for m in _MARKS)
 _NODES_ARROW = pa.schema(
     [
         ("kind", pa.int32()), ("d", pa.int64()), ("h", pa.int64()), ("id", pa.binary()), ("a", pa.int64()),
-        ("n", pa.int32()), ("token", pa.int64()), ("df", pa.int64()),
+        ("n", pa.int32()), ("token", pa.int64()), ("df", pa.int64()), *((m, pa.int64()) for m in _MARKS),
     ]
 )
 _KEYS = "key long, a long, n int, pos int, hot boolean"
@@ -75,6 +80,22 @@ def _short(name: bytes | None) -> int | None:
     return None if name is None else int.from_bytes(name[:8], "little", signed=True)
 
 
+def _marks(shingles: np.ndarray) -> np.ndarray:
+    """One bit per residue class of the shingles, set where their number is odd."""
+    classes = 64 * len(_MARKS)
+    odd = np.bincount((shingles % np.uint64(classes)).view(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _near(x: str, y: str, percent: int) -> Column:
+    """Whether the marks of two sets of sizes ``n`` leave them a chance to be similar.
+
+    Similar sets differ in at most ``(100 - percent) / (100 + percent)`` of both sizes together.
+    """
+    differ = sum(F.bit_count(F.col(f"{x}.{m}").bitwiseXOR(F.col(f"{y}.{m}"))) for m in _MARKS)
+    return differ * (100 + percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - percent)
+
+
 def _least(n: int, percent: int) -> int:
     """Common shingles that a set of ``n`` must have with any similar set."""
     return -(-n * percent // 100)
@@ -102,9 +123,10 @@ def _nodes(shingle: int):
 
         for batch in batches:
             d, h = (c.to_pylist() for c in batch.columns[:2])
-            ids, sizes = [], []
+            ids, sizes, marks = [], [], np.zeros((len(d), len(_MARKS)), np.int64)
             for text in utf8(batch.column(2)):
                 found = shingle_set(text, shingle)
+                marks[len(ids)] = _marks(found)
                 ids.append(_id(found) if len(found) else None)
                 sizes.append(len(found))
                 if len(found) and ids[-1] not in known:
@@ -115,17 +137,15 @@ def _nodes(shingle: int):
                     if waiting >= FOLDED:
                         fold()
             none = [None] * len(d)
-            yield table_of(
-                {"kind": [0] * len(d), "d": d, "h": h, "id": ids, "a": [_short(i) for i in ids], "n": sizes, "token": none, "df": none},
-                _NODES_ARROW,
-            )
+            rows = {"kind": [0] * len(d), "d": d, "h": h, "id": ids, "a": [_short(i) for i in ids], "n": sizes}
+            yield table_of(rows | {"token": none, "df": none} | dict(zip(_MARKS, marks.T)), _NODES_ARROW)
         if pending:
             fold()
         tokens, counts = tokens[counts > 1].view(np.int64), counts[counts > 1]
         for lo in range(0, len(tokens), SENT):
             part = tokens[lo : lo + SENT]
             none = [None] * len(part)
-            rows = {"kind": [1] * len(part), "d": none, "h": none, "id": none, "a": none, "n": none}
+            rows = {"kind": [1] * len(part)} | dict.fromkeys(["d", "h", "id", "a", "n", *_MARKS], none)
             yield table_of(rows | {"token": part, "df": counts[lo : lo + SENT]}, _NODES_ARROW)
 
     return run
@@ -343,7 +363,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _all_pairs(placed: DataFrame, percent: int, paired: int, apart: bool = False) -> DataFrame:
-    """Distinct pairs ``x`` < ``y`` of sets that share a key of ``placed`` (``key``, ``id``, ``n``, ``pos``) and may be similar.
+    """Distinct pairs ``x`` < ``y`` of sets that share a key of ``placed`` (``key``, ``id``, ``n``, ``pos``, marks) and may be similar.
 
     With ``apart`` only pairs whose ``root`` differs. A key of many sets is split: each set's row goes to one part as first member and to all parts as second.
     """
@@ -361,7 +381,8 @@ def _all_pairs(placed: DataFrame, percent: int, paired: int, apart: bool = False
         & (F.col("x.part") == F.col("y.part"))
         & (F.col("x.id") < F.col("y.id"))
         & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-        & (room >= need),
+        & (room >= need)
+        & _near("x", "y", percent),
     )
     return met.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct()
 
@@ -389,11 +410,12 @@ def similar_links(
     met = keys.repartition(slot).sortWithinPartitions("key", "a").mapInArrow(released(_shared), _KEYS)
     shared = saved(met.drop("hot"), "ngram-keys")
 
-    reps = nodes.where("id is not null").groupBy("id", "a").agg(F.min(F.struct("d", "h")).alias("rep"))
+    traits = [F.min(c).alias(c) for c in ["n", *_MARKS]]  # equal for all documents of a set
+    reps = nodes.where("id is not null").groupBy("id", "a").agg(F.min(F.struct("d", "h")).alias("rep"), *traits)
     involved = shared.select("a").distinct()
-    chosen = saved(reps.join(involved, "a", "left_semi").select("id", "a", "rep.d", "rep.h"), "ngram-chosen")
+    chosen = saved(reps.join(involved, "a", "left_semi").select("id", "a", "rep.d", "rep.h", "n", *_MARKS), "ngram-chosen")
     d, h = identity()
-    texts = docs.select(d, h, packed(F.col("text")).alias("text")).join(chosen, ["d", "h"]).dropDuplicates(["id"])
+    texts = docs.select(d, h, packed(F.col("text")).alias("text")).join(chosen.select("id", "d", "h"), ["d", "h"]).dropDuplicates(["id"])
     texts = saved(texts.select("id", "text"), "ngram-texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -403,21 +425,23 @@ def similar_links(
         return whole.mapInArrow(released(_verify(shingle, percent)), "x binary, y binary")
 
     if every:
-        pairs = saved(_all_pairs(shared.join(chosen.select("id", "a"), "a"), percent, paired), "ngram-pairs")
+        placed = shared.drop("n").join(chosen.drop("d", "h"), "a")
+        pairs = saved(_all_pairs(placed, percent, paired), "ngram-pairs")
         return verified(pairs)
 
     firsts = shared.groupBy("key").agg(F.min("a").alias("first"))
     votes = shared.join(firsts, "key").where("a != first").groupBy("a", "first").count()
     best = votes.groupBy("a").agg(F.max(F.struct("count", "first")).alias("best")).select("a", "best.first")
-    x, y = chosen.select(F.col("id").alias("x"), "a"), chosen.select(F.col("id").alias("y"), F.col("a").alias("first"))
-    one_each = best.join(x, "a").join(y, "first")
+    x, y = chosen.alias("x"), chosen.alias("y")
+    met = best.join(x, F.col("x.a") == best["a"]).join(y, F.col("y.a") == best["first"]).where(_near("x", "y", percent))
+    one_each = met.select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
     pair = [F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")]
     one_each = one_each.groupBy(*pair).agg(F.min(F.struct("x", "y")).alias("pair"))  # the partner of many comes second
     one_each = saved(one_each.select("lo", "hi", "pair.*"), "ngram-pairs")
     first_links = saved(verified(one_each.select("x", "y")), "ngram-links")
     roots = components(first_links)
-    rooted = chosen.select("id", "a").join(roots, "id", "left").select("id", "a", F.coalesce("root", "id").alias("root"))
-    placed = shared.join(rooted, "a").select("key", "id", "n", "pos", "root")
+    rooted = chosen.drop("d", "h").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    placed = shared.drop("n").join(rooted, "a").select("key", "id", "n", "pos", "root", *_MARKS)
     placed = placed.withColumn("r", F.xxhash64("root"))
     mixed_keys = placed.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo != hi").select("key")
     rest = saved(placed.join(mixed_keys, "key").drop("r"), "ngram-rest")
