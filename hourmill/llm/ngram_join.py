@@ -387,6 +387,21 @@ def _all_pairs(placed: DataFrame, percent: int, paired: int, apart: bool = False
     return met.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct()
 
 
+def _merged_keys(placed: DataFrame) -> DataFrame:
+    """Keys that hold sets of several components ``r``, each with one number for all keys of the same sets.
+
+    The number comes from sums over hashes of the sets. Should different sets give one number, their keys
+    become one, which adds candidates and loses none; a key whose sums leave 64 bits stays by itself.
+    """
+    sums = [
+        F.try_sum(F.xxhash64(F.lit(seed), "id").bitwiseAND(F.lit((1 << 44) - 1))).alias(name)
+        for seed, name in enumerate(["s", "t"])
+    ]
+    several = placed.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.count("*").alias("rows"), *sums)
+    whole = F.col("s").isNotNull() & F.col("t").isNotNull()
+    return several.where("lo != hi").select("key", F.when(whole, F.xxhash64("rows", "s", "t")).otherwise(F.col("key")).alias("merged"))
+
+
 def similar_links(
     docs: DataFrame, nodes: DataFrame, shingle: int, percent: int, every: bool = True, paired: int = PAIRED
 ) -> DataFrame:
@@ -442,9 +457,10 @@ def similar_links(
     roots = components(first_links)
     rooted = chosen.drop("d", "h").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     placed = shared.drop("n").join(rooted, "a").select("key", "id", "n", "pos", "root", *_MARKS)
-    placed = placed.withColumn("r", F.xxhash64("root"))
-    mixed_keys = placed.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo != hi").select("key")
-    rest = saved(placed.join(mixed_keys, "key").drop("r"), "ngram-rest")
+    mixed_keys = _merged_keys(placed.select("key", "id", F.xxhash64("root").alias("r")))
+    # Sets that meet under many keys meet once; the first place of all is the loosest bound, so no pair is lost.
+    traits = [F.col("merged").alias("key"), "id", "n", "root", *_MARKS]
+    rest = saved(placed.join(mixed_keys, "key").groupBy(*traits).agg(F.min("pos").alias("pos")), "ngram-rest")
     further = _all_pairs(rest, percent, paired, apart=True)
     later = further.join(one_each.select(F.col("lo").alias("x"), F.col("hi").alias("y")), ["x", "y"], "left_anti")
     return first_links.unionByName(verified(later))
