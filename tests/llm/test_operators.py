@@ -103,6 +103,34 @@ def test_ngram_links_are_all_found(spark, repeated, paired):
     ]
 
 
+def test_marks_never_rule_out_a_link():
+    rng = np.random.default_rng(5)
+    for size in (1, 40, 700, 5000):
+        left = rng.integers(0, 1 << 63, size, np.uint64)
+        for kept in (0, size // 2, size - 1, size):
+            right = np.r_[left[:kept], rng.integers(0, 1 << 63, size - kept + 3, np.uint64)]
+            bits = sum(int(x).bit_count() for x in (ngram_join._marks(left) ^ ngram_join._marks(right)).view(np.uint64))
+            assert bits <= len(np.setxor1d(left, right))
+    assert not ngram_join._marks(np.empty(0, np.uint64)).any()
+
+
+@pytest.mark.parametrize("paired", [2])
+def test_components_alone_equal_those_of_all_links(spark, paired):
+    cut = [(100 + 10 * k + i, passage(*[(j, f"w{k}") for j in range(5 * i, 5 * i + k)])) for k in range(1, 5) for i in range(10)]
+    far = [(200 + i, passage(*[(j, f"v{i}") for j in range(i, 59, 3)])) for i in range(6)]
+    rows = [*TEXTS, *cut, *far, (300, cut[3][1]), (301, cut[25][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.ngram_components(docs, 4, 85, paired, links=False).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(rows, 4, 85)
+
+
+def test_keys_of_the_same_sets_become_one(spark):
+    rows = [(k, i, i % 2) for k in (1, 2) for i in range(4)] + [(3, 0, 0), (3, 1, 1), (4, 0, 0), (4, 2, 0)]
+    met = spark.createDataFrame(rows, "key long, id long, r long")
+    merged = {r.key: r.merged for r in ngram_join._merged_keys(met).collect()}
+    assert merged.keys() == {1, 2, 3} and merged[1] == merged[2] != merged[3]
+
+
 def test_near_duplicates_keep_one(docs, repeated, none):
     want = brute.components(TEXTS, 5, 80)
     assert sorted(r.doc_id for r in ngram_join.without_near_duplicates(docs).collect()) == sorted(
