@@ -25,13 +25,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mixed, quoted, saved
+from .common import mixed, quoted, released, saved
 
 UNKNOWN_LANGUAGE = "und"
 LONGEST = 4
 FILTER_BITS = 27
-#: Words that are counted together before they go to the shuffle.
-CHUNK_WORDS = 1 << 20
+#: Words that are counted together before they go to the shuffle; a task holds some 600 bytes for each.
+CHUNK_WORDS = 1 << 18
 _PART_BYTES = 4 << 20
 #: Parts of a language that are ranked by themselves first, so that no task sorts a whole language.
 _SPREAD = (1024, 32)
@@ -343,17 +343,18 @@ def phrase_counts(
     text_id = F.xxhash64(quoted("doc_id").cast("long"), lang, text)  # should two texts share one, both are read and one agrees
     marked = docs.where(F.octet_length(text) > 0).select(text.cast("binary").alias("text"), lang.alias("lang"), text_id.alias("text_id"))
     texts = marked.select("text", "lang")
-    words = saved(texts.mapInArrow(_word_counter(chunk_words), _ddl(_WORDS)).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
+    words = saved(texts.mapInArrow(released(_word_counter(chunk_words)), _ddl(_WORDS)).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "words")
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= min_count)
-    known = _filter_of(frequent.mapInArrow(_word_keys(fingerprint_bits), "key long"), filter_bits)
+    known = _filter_of(frequent.mapInArrow(released(_word_keys(fingerprint_bits)), "key long"), filter_bits)
     levels = []
     for lengths in [[2], *[list(range(n, min(n + 2, longest + 1))) for n in range(3, longest + 1, 2)]]:
-        counted = marked.mapInArrow(_run_counter(known, lengths, chunk_words, fingerprint_bits), _ddl(_COUNTS))
+        counted = marked.mapInArrow(released(_run_counter(known, lengths, chunk_words, fingerprint_bits)), _ddl(_COUNTS))
         level = counted.groupBy("key").agg(
             F.sum("f").alias("f"), F.min("check").alias("check"), F.max("check").alias("other"), F.first("text_id").alias("text_id"), F.first("place").alias("place")
         )  # the two firsts are of one row
         levels.append(saved(level.where(F.col("f") >= min_count), "runs"))
+        known.unpersist()  # of the lengths before: not read again
         known = _filter_of(levels[-1].select("key"), filter_bits)
     runs = reduce(DataFrame.unionAll, levels)
     shared = runs.where("check <> other")
@@ -361,10 +362,10 @@ def phrase_counts(
     per_text = runs.where("check = other").groupBy("text_id").agg(pointers)
     found = marked.join(per_text, "text_id").select("text", "lang", "pointers")
     # A row that is there twice is read twice.
-    phrases = found.mapInArrow(_reader(chunk_words, fingerprint_bits), _ddl(_PHRASES)).dropDuplicates(["key"]).drop("key")
+    phrases = found.mapInArrow(released(_reader(chunk_words, fingerprint_bits)), _ddl(_PHRASES)).dropDuplicates(["key"]).drop("key")
     if not shared.isEmpty():
         known = _filter_of(shared.select("key"), filter_bits)
-        spelled = texts.mapInArrow(_speller(known, longest, chunk_words, fingerprint_bits), _ddl(_PHRASES))
+        spelled = texts.mapInArrow(released(_speller(known, longest, chunk_words, fingerprint_bits)), _ddl(_PHRASES))
         own = spelled.join(shared.select("key"), "key", "left_semi").groupBy("lang", "n_parts", "phrase").agg(F.sum("f").alias("f"))
         phrases = phrases.unionAll(own.where(F.col("f") >= min_count))
     single = frequent.select("lang", F.lit(1).alias("n_parts"), "phrase", "f")

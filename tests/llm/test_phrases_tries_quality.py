@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hourmill.llm import collocations, prefix_trie, quality_rules
@@ -101,6 +103,24 @@ def test_collocations_parts_of_long_texts(spark, monkeypatch):
     assert a.words == b.words and (a.ids == b.ids).all()
 
 
+def test_run_counter_holds_a_bounded_number_of_words():
+    class Known:
+        value = b"\xff" * 64
+
+    text = " ".join(f"w{i * i % 4999}" for i in range(3_000)).encode()
+    names = ["text", "lang", "text_id"]
+    batches = (pa.RecordBatch.from_arrays([pa.array([text]), pa.array(["de"]), pa.array([i])], names=names) for i in range(400))
+    count = collocations._run_counter(Known, [2], collocations.CHUNK_WORDS, 64)
+    tracemalloc.start()
+    try:
+        rows = sum(sum(made.column("f").to_pylist()) for made in count(batches))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 400 * 2_999
+    assert peak < 100 << 20
+
+
 def test_collocations_without_rows(spark):
     assert collocations.collocations(spark.createDataFrame([], PHRASE_SCHEMA)).collect() == []
     none = spark.createDataFrame([(1, None, "en", "x", 1), (2, "", None, "x", 1)], PHRASE_SCHEMA)
