@@ -16,18 +16,18 @@ each part for one- and two-byte codes (at most ``CODES``), which halves the stri
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, chunks, gram_hashes, identity, packed, released, saved, table_of
+from .common import chunks, gram_hashes, identity, packed, released, saved, table_of, word_hashes
 
 GRAM = 3
 #: Words with one-, two- and three-byte codes.
@@ -36,6 +36,10 @@ CODES, LONGEST_CODED = sum(BY_LENGTH), 40
 MAX_HOT_KEYS = 1 << 20
 ALONE = -(1 << 63)
 SEEN_LIMIT = 200_000
+#: Texts whose words a task holds at a time, in bytes; words it counts before it drops rare ones; rows it sends at once.
+HELD_BYTES, MAX_WORDS, SENT = 1 << 20, CODES + CODES // 2, 1 << 16
+#: Grams compare by their bits above these, which hold a place while the smallest is looked for.
+PLACE_BITS = 20
 
 _STATS = "kind int, key long, word binary, n long"
 _SUPER = "key long, d long, h long, start int, n int, words binary"
@@ -64,30 +68,83 @@ class Codes(dict):
         return b"\xfe" + word + b"\xff"
 
 
-def _runs(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and gram of each super-k-mer."""
+def _places(grams: np.ndarray, width: int) -> np.ndarray:
+    """Place of the leftmost smallest gram among every ``width`` consecutive ones."""
+    found = np.empty(max(len(grams) - width + 1, 0), np.int64)
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    step = (1 << PLACE_BITS) - width + 1
+    for lo in range(0, len(found), step):
+        part = grams[lo : lo + step + width - 1]
+        least = part & ~low | np.arange(len(part), dtype=np.uint64)
+        size = 1
+        while size < width:  # smallest of ``size`` ones, from two ranges that may overlap
+            by = min(size, width - size)
+            least = np.minimum(least[:-by], least[by:])
+            size += by
+        found[lo : lo + len(least)] = (least & low).astype(np.int64) + lo
+    return found
+
+
+def _runs(hashes: np.ndarray, lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Super-k-mers of documents of ``lengths`` words, hashed one after another: document, first window, number of windows, gram."""
+    windows = np.maximum(lengths - window + 1, 0)
+    before = np.cumsum(lengths) - lengths
+    at = np.arange(windows.sum()) + np.repeat(before - (np.cumsum(windows) - windows), windows)
+    if not len(at):
+        none = np.empty(0, np.int64)
+        return none, none, none, none
     grams = gram_hashes(hashes, GRAM)
-    width = window - GRAM + 1
-    views = np.lib.stride_tricks.sliding_window_view(grams, width)
-    place = views.argmin(axis=1) + np.arange(len(views))
-    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    counts = np.diff(np.r_[starts, len(views)])
-    return starts, counts, grams[place[starts]].view(np.int64)
+    place = _places(grams, window - GRAM + 1)[at]
+    firsts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])  # documents share no places
+    counts = np.diff(np.r_[firsts, len(at)])
+    return np.repeat(np.arange(len(lengths)), windows)[firsts], at[firsts], counts, grams[place[firsts]].view(np.int64)
 
 
 def _apart(starts: np.ndarray, counts: np.ndarray, keys: np.ndarray, hot: np.ndarray):
-    """Super-k-mers with those of hot grams taken apart into single windows, whose bucket is still open."""
+    """Super-k-mers with those of hot grams taken apart into single windows, whose bucket is still open, and where each was."""
     times = np.where(hot, counts, 1)
-    first = np.repeat(np.cumsum(times) - times, times)
-    begins = np.repeat(starts, times) + np.arange(times.sum()) - first
-    return begins, np.repeat(np.where(hot, 1, counts), times), np.repeat(np.where(hot, ALONE, keys), times)
+    which = np.repeat(np.arange(len(times)), times)
+    begins = starts[which] + np.arange(len(which)) - (np.cumsum(times) - times)[which]
+    return which, begins, np.where(hot, 1, counts)[which], np.where(hot, ALONE, keys)[which]
+
+
+def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether keys are among known ones, which are sorted."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    at = np.searchsorted(known, keys)
+    at[at == len(known)] = 0
+    return known[at] == keys
+
+
+def _words(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words of texts one after another, their hashes, and how many each text has."""
+    words: list[bytes] = []
+    raw = [(t or "").encode() for t in texts]
+    lengths = np.zeros(len(raw), np.int64)
+    for i, text in enumerate(raw):
+        before = len(words)
+        words += text.split()
+        lengths[i] = len(words) - before
+    return words, word_hashes(b" ".join(raw)), lengths
+
+
+def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have about ``HELD_BYTES`` bytes together."""
+    part = np.cumsum(sizes) // HELD_BYTES
+    edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(sizes)]
+    yield from ((a, b) for a, b in zip(edges, edges[1:]) if a < b)
+
+
+def _sizes(texts: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _survey(window: int):
     """Per task: how often super-k-mers of a gram occur (from twice on), and its commonest words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, keys, words = WordHashes(), np.empty(0, np.int64), Counter()
+        keys, words = np.empty(0, np.int64), {}
         counts = np.empty(0, np.int64)
         pending: list[np.ndarray] = []
         size = 0
@@ -101,81 +158,81 @@ def _survey(window: int):
                 pending, size = [], 0
 
         for batch in batches:
-            for text in batch.column(0):
-                parts = (text.as_py() or "").encode().split()
-                words.update(parts)
-                if len(words) > 3 * CODES:
-                    words = Counter({w: n for w, n in words.items() if n > 1})
-                    if len(words) > 2 * CODES:
-                        words = Counter(dict(words.most_common(CODES)))
-                if len(parts) >= window:
-                    pending.append(_runs(hashes.of(parts), window)[2])
-                    size += len(pending[-1])
-                    if size > 1 << 20:
-                        fold()
+            texts = batch.column(0)
+            for lo, hi in _groups(_sizes(texts)):
+                parts, hashes, lengths = _words(texts.slice(lo, hi - lo).to_pylist())
+                by = np.argsort(hashes)
+                firsts = np.flatnonzero(np.r_[True, np.diff(hashes[by]) != 0])[: len(by)]
+                times = np.diff(np.r_[firsts, len(by)])
+                for i, n in zip(by[firsts].tolist(), times.tolist()):
+                    words[parts[i]] = words.get(parts[i], 0) + n
+                least = 1
+                while len(words) > (CODES if least > 1 else MAX_WORDS):
+                    words = {w: n for w, n in words.items() if n > least}
+                    least += 1
+                pending.append(_runs(hashes, lengths, window)[3])
+                size += len(pending[-1])
+                if size > 1 << 18:
+                    fold()
         fold()
         often = counts > 1
-        top = [(w, n) for w, n in words.most_common(CODES) if n > 2 and len(w) <= LONGEST_CODED]
-        yield table_of(
-            {
-                "kind": [0] * int(often.sum()) + [1] * len(top),
-                "key": [*keys[often].tolist(), *[None] * len(top)],
-                "word": [*[None] * int(often.sum()), *[w for w, _ in top]],
-                "n": [*counts[often].tolist(), *[n for _, n in top]],
-            },
-            _STATS_ARROW,
-        )
+        keys, counts = keys[often], counts[often]
+        top = [(w, n) for w, n in words.items() if n > 2 and len(w) <= LONGEST_CODED]
+        for lo in range(0, len(keys), SENT):
+            part = keys[lo : lo + SENT]
+            yield table_of({"kind": [0] * len(part), "key": part, "word": [None] * len(part), "n": counts[lo : lo + SENT]}, _STATS_ARROW)
+        for lo in range(0, len(top), SENT):
+            part = top[lo : lo + SENT]
+            columns = {"kind": [1] * len(part), "key": [None] * len(part), "word": [w for w, _ in part], "n": [n for _, n in part]}
+            yield table_of(columns, _STATS_ARROW)
 
     return run
 
 
 def _split(window: int, coded: list[bytes], hot: np.ndarray):
-    """Super-k-mers of documents, less those an earlier equal one of the same chunks makes repeats."""
+    """Super-k-mers of documents, less those an earlier equal one of the same task makes repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, codes = WordHashes(), Codes(coded)
+        codes = Codes(coded)
         seen: dict[bytes, tuple[int, int, int]] = {}
         seen_before = seen.get
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            d_all, h_all = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            order = sorted(range(len(texts)), key=list(zip(d_all, h_all)).__getitem__)
-            for lo, hi in chunks([texts[i] for i in order]):
-                out: dict[str, list] = {f.name: [] for f in _SUPER_ARROW}
-                for i in order[lo:hi]:
-                    words = (texts[i] or "").encode().split()
-                    if len(words) < window:
+            d_all, h_all = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            order = np.lexsort((h_all, d_all))
+            texts = batch.column(2)
+            for lo, hi in _groups(_sizes(texts)[order]):
+                rows = order[lo:hi]
+                words, hashes, lengths = _words(texts.take(pa.array(rows)).to_pylist())
+                docs, starts, counts, keys = _runs(hashes, lengths, window)
+                if not len(docs):
+                    continue
+                common = _among(keys, hot)
+                if common.any():
+                    which, starts, counts, keys = _apart(starts, counts, keys, common)
+                    docs = docs[which]
+                packed = list(map(codes.__getitem__, words))
+                at = np.zeros(len(words) + 1, np.int64)
+                np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)), out=at[1:])
+                blob = b"".join(packed)
+                d, h = d_all[rows][docs], h_all[rows][docs]
+                begins = starts - (np.cumsum(lengths) - lengths)[docs]
+                buckets = keys.tolist()
+                pieces = [blob[a:b] for a, b in zip(at[starts].tolist(), at[starts + counts - 1 + window].tolist())]
+                for k, place in enumerate(zip(d.tolist(), h.tolist(), begins.tolist())):
+                    piece = pieces[k]
+                    first = seen_before(piece)
+                    if first is not None and first < place:
+                        pieces[k] = None
+                        buckets[k] ^= place[0]
                         continue
-                    d, h = d_all[i], h_all[i]
-                    starts, counts, keys = _runs(hashes.of(words), window)
-                    packed = list(map(codes.__getitem__, words))
-                    at = np.zeros(len(words) + 1, np.int64)
-                    np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)), out=at[1:])
-                    offsets, blob = at.tolist(), b"".join(packed)
-                    common = np.isin(keys, hot).tolist() if len(hot) else None
-                    if common is not None and any(common):
-                        starts, counts, keys = _apart(starts, counts, keys, np.array(common))
-                    begins, sizes, buckets = starts.tolist(), counts.tolist(), keys.tolist()
-                    pieces = [blob[offsets[a] : offsets[a + m - 1 + window]] for a, m in zip(begins, sizes)]
-                    for k, piece in enumerate(pieces):
-                        place, first = (d, h, begins[k]), seen_before(piece)
-                        if first is not None and first < place:
-                            pieces[k] = None
-                            buckets[k] ^= d
-                            continue
-                        if buckets[k] == ALONE:
-                            buckets[k] = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
-                        if len(seen) >= SEEN_LIMIT:
-                            seen.clear()
-                        seen[piece] = place
-                    out["key"] += buckets
-                    out["d"] += [d] * len(pieces)
-                    out["h"] += [h] * len(pieces)
-                    out["start"] += begins
-                    out["n"] += sizes
-                    out["words"] += pieces
-                if out["d"]:
-                    yield table_of(out, _SUPER_ARROW)
+                    if buckets[k] == ALONE:
+                        buckets[k] = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
+                    if len(seen) >= SEEN_LIMIT:
+                        seen.clear()
+                    seen[piece] = place
+                columns = {"key": buckets, "d": d, "h": h, "start": begins, "n": counts, "words": pieces}
+                for first in range(0, len(d), SENT):
+                    yield table_of({name: c[first : first + SENT] for name, c in columns.items()}, _SUPER_ARROW)
 
     return run
 
@@ -204,24 +261,36 @@ def _count(window: int):
         return [words[begins[j] : ends[j + window - 1]] for j in range(len(ends) - window + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, only, seen = None, None, {}
+        now, only, seen, wholes = None, None, {}, {}
         for batch in batches:
+            if not batch.num_rows:
+                continue
             out: dict[str, list] = {f.name: [] for f in _SPANS_ARROW}
 
             def emit(d, h, spans):
                 for lo, hi in spans:
                     out["d"].append(d), out["h"].append(h), out["lo"].append(lo), out["hi"].append(hi)
 
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            changes = keys[1:] != keys[:-1]
+            # The only string of a bucket repeats nothing; the first and the last row may go on in other batches.
+            alone = np.r_[False, changes] & np.r_[changes, False] & batch.column(5).is_valid().to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(~alone))
             for key, d, h, start, n, words in zip(*[c.to_pylist() for c in batch.columns]):
                 if words is None:
                     emit(d, h, [(start, start + n - 1 + window)])
                     continue
+                place = d, h, start
                 if key != now:
-                    now, only, seen = key, (d, h, start, words), {}
+                    now, only, seen, wholes = key, words, {}, {words: place}
+                    continue
+                if wholes.setdefault(words, place) < place:  # and so is each of its windows
+                    emit(d, h, [(start, start + n - 1 + window)])
                     continue
                 if only is not None:
-                    for j, w in enumerate(windows(only[3])):
-                        seen.setdefault(w, (*only[:2], only[2] + j))
+                    first = wholes[only]
+                    for j, w in enumerate(windows(only)):
+                        seen.setdefault(w, (*first[:2], first[2] + j))
                     only = None
                 flags = []
                 for j, w in enumerate(windows(words)):
@@ -236,6 +305,8 @@ def _count(window: int):
 
 def repeated_spans(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) -> DataFrame:
     """Word ranges ``[lo, hi)`` of documents (``d``, ``h``) covered by windows that also start earlier."""
+    if window < GRAM:
+        raise ValueError(f"a window has {GRAM} words at least")
     texts = docs.select("text")
     stats = saved(
         texts.mapInArrow(released(_survey(window)), _STATS).groupBy("kind", "key", "word").agg(F.sum("n").alias("n"))

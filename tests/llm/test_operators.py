@@ -2,11 +2,13 @@
 
 import math
 import sys
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -482,3 +484,33 @@ def test_ngram_components_without_links(spark, docs, paired):
     rows = [(i, passage(*[(int(p), f"x{rng.integers(3)}") for p in rng.integers(0, 60, rng.integers(0, 6))])) for i in range(50)]
     near = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80, paired, False).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in near} == brute.components(rows, 2, 80)
+
+
+def test_survey_and_split_hold_a_bounded_memory_of_words():
+    def batches(columns):
+        for i in range(50):
+            text = " ".join(f"word{i}number{j}" for j in range(10_000))
+            row = {"d": pa.array([i]), "h": pa.array([0]), "text": pa.array([text])}
+            yield pa.RecordBatch.from_arrays([row[c] for c in columns], names=columns)
+
+    def peak(run, columns):
+        tracemalloc.start()
+        try:
+            rows = sum(b.num_rows for b in run(batches(columns)))
+            return tracemalloc.get_traced_memory()[1] >> 20, rows
+        finally:
+            tracemalloc.stop()
+
+    survey, _ = peak(substring_dedup._survey(20), ["text"])
+    split, rows = peak(substring_dedup._split(20, [], np.empty(0, np.int64)), ["d", "h", "text"])
+    assert rows > 50 * 100
+    assert survey < 110 and split < 60
+
+
+def test_places_of_smallest_grams(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "PLACE_BITS", 7)
+    grams = np.random.default_rng(1).integers(0, 40, 1000, np.uint64) << np.uint64(9)
+    for width in (1, 2, 3, 18, 31):
+        want = np.lib.stride_tricks.sliding_window_view(grams, width).argmin(axis=1) + np.arange(1001 - width)
+        assert (substring_dedup._places(grams, width) == want).all()
+    assert not len(substring_dedup._places(grams[:5], 18))
