@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import identity, saved, table_of
-from .tokens import TOKENIZER, Encoder
+from .tokens import END, TOKENIZER, Encoder
 
 STEP = 64
 BLOCK_IDS = 1 << 16
@@ -142,21 +142,29 @@ def _tokenise(tokenizer: str):
             fixed = {"kind": [0] * n, "part": [part] * n, "token": [None] * n}
             return table_of(fixed | {"doc_id": doc_ids, "turn": turns, "start": starts, "n": sizes, "ids": bodies}, _IDS_ARROW)
 
+        end = np.array([END], encoder.dtype).tobytes()
+
+        def count(bodies):
+            nonlocal counts
+            seen = np.bincount(np.frombuffer(b"".join(bodies), encoder.dtype))
+            if len(seen) > len(counts):
+                counts = np.pad(counts, (0, len(seen) - len(counts)))
+            counts[: len(seen)] += seen
+
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             held = 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.ids(text.as_py())
-                seen = np.bincount(ids)
-                if len(seen) > len(counts):
-                    counts = np.pad(counts, (0, len(seen) - len(counts)))
-                counts[: len(seen)] += seen
-                for values, value in zip(out, (doc_id, turn, start, len(ids), ids.astype(encoder.dtype).tobytes())):
+                body = encoder.encode(text.as_py()) + end
+                n = len(body) // encoder.dtype.itemsize
+                for values, value in zip(out, (doc_id, turn, start, n, body)):
                     values.append(value)
-                start, turn, held = start + len(ids), turn + 1, held + len(ids)
+                start, turn, held = start + n, turn + 1, held + n
                 if held > 1 << 20:
+                    count(out[-1])
                     yield rows(*out)
                     out, held = ([], [], [], [], []), 0
+            count(out[-1])
             yield rows(*out)
         used = np.flatnonzero(counts)
         none = [None] * len(used)

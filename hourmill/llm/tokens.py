@@ -41,6 +41,7 @@ class Pieces(dict):
     def __init__(self, tokenizer, dtype: np.dtype):
         self.encode, self.kind, self.older = tokenizer.encode, {2: "H", 4: "I"}[dtype.itemsize], {}
         self.tokenize, self.shown = tokenizer.model.tokenize, byte_characters()
+        self.space = chr(self.shown[0x20])
 
     def __missing__(self, piece: str) -> bytes | None:
         ids = self.older.get(piece)
@@ -54,6 +55,12 @@ class Pieces(dict):
         return ids
 
     def _ids(self, piece: str) -> bytes | None:
+        if piece[0] == " " and piece[1:].isalpha() and (piece.isascii() or max(piece) < WORD_END):
+            if piece.isascii():  # its letters are shown as they are
+                shown = self.space + piece[1:]
+            else:
+                shown = piece.encode().decode("latin-1").translate(self.shown)
+            return array(self.kind, [t.id for t in self.tokenize(shown)]).tobytes()
         if piece != "\n" and (piece == " " or piece[piece[0] == " "].isspace() or piece[-1].isspace()):
             return None
         at = piece.find("\n")
@@ -63,9 +70,6 @@ class Pieces(dict):
         body = piece.rstrip(self.CLOSING)
         if body and body != piece and body[-1].isalpha():
             return self[body] + self[piece[len(body) :]]
-        if piece[0] == " " and piece[1:].isalpha() and max(piece) < WORD_END:
-            shown = piece.encode().decode("latin-1").translate(self.shown)
-            return array(self.kind, [t.id for t in self.tokenize(shown)]).tobytes()
         return array(self.kind, self.encode(piece, add_special_tokens=False).ids).tobytes()
 
 

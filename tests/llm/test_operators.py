@@ -507,6 +507,27 @@ def test_survey_and_split_hold_a_bounded_memory_of_words():
     assert survey < 110 and split < 60
 
 
+def test_tokenise_counts_tokens_once_for_many_documents(monkeypatch):
+    class Context:
+        get = staticmethod(lambda: Context)
+        partitionId = staticmethod(lambda: 3)
+
+    calls = []
+    bincount = np.bincount
+    monkeypatch.setattr(token_files, "TaskContext", Context)
+    monkeypatch.setattr(token_files.np, "bincount", lambda x: calls.append(len(x)) or bincount(x))
+    texts = ["Übung macht den Meister, w\u0105ski", None, "", "two\nlines  and\u00a0more"] * 25
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(texts)], names=["doc_id", "text"])
+    made = [r for b in token_files._tokenise(token_files.TOKENIZER)(iter([batch])) for r in b.to_pylist()]
+    encoder = Encoder()
+    plain = [[*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    bodies = [r for r in made if r["kind"] == 0]
+    assert [np.frombuffer(r["ids"], encoder.dtype).tolist() for r in bodies] == plain
+    assert [r["start"] for r in bodies] == [0, *np.cumsum([len(p) for p in plain])[:-1].tolist()]
+    assert {r["token"]: r["n"] for r in made if r["kind"] == 1} == Counter(t for p in plain for t in p)
+    assert len(calls) == 1
+
+
 def test_places_of_smallest_grams(monkeypatch):
     monkeypatch.setattr(substring_dedup, "PLACE_BITS", 7)
     grams = np.random.default_rng(1).integers(0, 40, 1000, np.uint64) << np.uint64(9)
