@@ -116,8 +116,8 @@ def _cut(size: int, tokenizer: str, with_ids: bool):
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in _PIECES_ARROW}
             held = 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.ids(text.as_py())
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
+                ids = encoder.with_end(encoded)
                 start = 0
                 for piece, length in enumerate(cut_lengths(len(ids), size)):
                     body = ids[start : start + length].tobytes()

@@ -154,8 +154,8 @@ def _tokenise(tokenizer: str):
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             held = 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                body = encoder.encode(text.as_py()) + end
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
+                body = encoded + end
                 n = len(body) // encoder.dtype.itemsize
                 for values, value in zip(out, (doc_id, turn, start, n, body)):
                     values.append(value)

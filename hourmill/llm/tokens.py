@@ -4,13 +4,23 @@ from __future__ import annotations
 
 import sys
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
-#: A space and Latin letters below this are one pre-token, which goes straight to the tokenizer's model.
+#: Latin letters below this, after a space or not, are one pre-token, which goes straight to the tokenizer's model.
 WORD_END = "\u0250"
+CLOSING = ".,;:!?*#$%&"
+#: Bytes of texts that are split at once.
+SPLIT_BYTES = 4 << 20
+_LETTER, _CLOSES, _VISIBLE = np.zeros((3, 256), bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_CLOSES[list(CLOSING.encode())] = True
+_VISIBLE[33:127] = True
 
 
 def tokenizer_path(name: str) -> str:
@@ -36,7 +46,7 @@ class Pieces(dict):
     it becomes the older half, from which pieces still in use are taken over.
     """
 
-    LIMIT, LONGEST, CLOSING = 500_000, 48, ".,;:!?*#$%&"
+    LIMIT, LONGEST = 250_000, 48
 
     def __init__(self, tokenizer, dtype: np.dtype):
         self.encode, self.kind, self.older = tokenizer.encode, {2: "H", 4: "I"}[dtype.itemsize], {}
@@ -55,9 +65,9 @@ class Pieces(dict):
         return ids
 
     def _ids(self, piece: str) -> bytes | None:
-        if piece[0] == " " and piece[1:].isalpha() and (piece.isascii() or max(piece) < WORD_END):
+        if piece[piece[0] == " " :].isalpha() and (piece.isascii() or max(piece) < WORD_END):
             if piece.isascii():  # its letters are shown as they are
-                shown = self.space + piece[1:]
+                shown = self.space + piece[1:] if piece[0] == " " else piece
             else:
                 shown = piece.encode().decode("latin-1").translate(self.shown)
             return array(self.kind, [t.id for t in self.tokenize(shown)]).tobytes()
@@ -67,12 +77,29 @@ class Pieces(dict):
         if 0 < at < len(piece) - 1 and not piece[at - 1].isspace() and not piece[at + 1].isspace():
             before, after = self[piece[:at]], self[piece[at + 1 :]]
             return None if before is None or after is None else before + self["\n"] + after
-        body = piece.rstrip(self.CLOSING)
+        body = piece.rstrip(CLOSING)
         if body and body != piece and body[-1].isalpha():
             return self[body] + self[piece[len(body) :]]
         return array(self.kind, self.encode(piece, add_special_tokens=False).ids).tobytes()
 
 
+def _starts(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places in the bytes of some texts, none empty, where a token always begins.
+
+    These are the texts' beginnings, every space, a closing mark after a letter, and both
+    sides of a line break between visible characters of one text.
+    """
+    cut = raw == 0x20
+    cut[1:] |= _LETTER[raw[:-1]] & _CLOSES[raw[1:]]
+    cut[begins] = True
+    edge = np.zeros(len(raw), bool)
+    edge[begins] = edge[ends - 1] = True
+    breaks = np.flatnonzero((raw == 0x0A) & ~edge)
+    breaks = breaks[_VISIBLE[raw[breaks - 1]] & _VISIBLE[raw[breaks + 1]]]
+    cut[breaks] = cut[breaks + 1] = True
+    return np.flatnonzero(cut)
+
+
 def _pieces_of(name: str, tokenizer, dtype: np.dtype) -> Pieces:
     """One memory per worker process and tokenizer, so that a task goes on with what earlier ones have learned."""
     known = vars(sys).setdefault("_llm_token_pieces", {})
@@ -109,9 +136,52 @@ class Encoder:
             parts = [get(first) if first else b"", *[get(" " + w) for w in rest]]
             if None not in parts:
                 return b"".join(parts)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         return array(self._pieces.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """What ``encode`` gives for every text, some megabytes at a time, in which each different piece is looked up once."""
+        texts = pc.fill_null(texts, "").cast(pa.string())
+        sums = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        bounds = [0, *(np.flatnonzero(np.diff(sums // SPLIT_BYTES)) + 1).tolist(), len(texts)]
+        for lo, hi in zip(bounds, bounds[1:]):
+            part = texts.slice(lo, hi - lo)
+            yield from self._encoded(part) if self._splits else (self.encode(t.as_py()) for t in part)
+
+    def _encoded(self, texts: pa.Array) -> Iterator[bytes]:
+        _, offsets, data = texts.buffers()
+        places = np.frombuffer(offsets, np.int32)[texts.offset :][: len(texts) + 1]
+        if not len(texts) or places[0] == places[-1]:
+            yield from [b""] * len(texts)
+            return
+        data = data.slice(places[0], places[-1] - places[0])
+        begins, ends = places[:-1] - places[0], places[1:] - places[0]
+        filled = ends > begins
+        starts = _starts(np.frombuffer(data, np.uint8), begins[filled], ends[filled])
+        bounds = pa.py_buffer(np.append(starts, ends[-1]).astype(np.int32))
+        pieces = pa.StringArray.from_buffers(len(starts), bounds, data).dictionary_encode()
+        which = pieces.indices.to_numpy()
+        found = list(map(self._pieces.__getitem__, pieces.dictionary.to_pylist()))
+        unsure = np.array([ids is None for ids in found])
+        known = [ids or b"" for ids in found]
+        sizes = np.array([len(ids) for ids in known]) // self.dtype.itemsize
+        ids, firsts = np.frombuffer(b"".join(known), self.dtype), np.cumsum(sizes) - sizes
+        sums = np.r_[0, np.cumsum(sizes[which])]
+        whole = ids[np.repeat(firsts[which] - sums[:-1], sizes[which]) + np.arange(sums[-1])].tobytes()
+        at = (sums[np.searchsorted(starts, np.append(begins, ends[-1]))] * self.dtype.itemsize).tolist()
+        alone = np.zeros(len(texts), bool)
+        alone[np.searchsorted(begins, starts[unsure[which]], "right") - 1] = True
+        for added in self._added:
+            alone |= pc.match_substring(texts, added).to_numpy(zero_copy_only=False)
+        for i, plain in enumerate(alone.tolist()):
+            yield self._plain(texts[i].as_py()) if plain else whole[at[i] : at[i + 1]]
+
     def ids(self, text: str | None) -> np.ndarray:
         """Ids with the end id, as 32-bit numbers."""
-        body = np.frombuffer(self.encode(text), self.dtype)
-        return np.append(body, np.array([END], self.dtype)).astype("<u4")
+        return self.with_end(self.encode(text))
+
+    def with_end(self, encoded: bytes) -> np.ndarray:
+        """Encoded ids with the end id, as 32-bit numbers."""
+        return np.append(np.frombuffer(encoded, self.dtype), np.array([END], self.dtype)).astype("<u4")

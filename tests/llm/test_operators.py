@@ -17,7 +17,7 @@ import brute  # noqa: E402
 
 from hourmill.llm.common import word_hashes  # noqa: E402
 from hourmill.llm import chat_format, decontaminate, licenses, nearest, ngram_join, packing, substring_dedup  # noqa: E402
-from hourmill.llm import token_files, toxicity, url_filter  # noqa: E402
+from hourmill.llm import token_files, tokens, toxicity, url_filter  # noqa: E402
 from hourmill.llm.common import new_path  # noqa: E402
 from hourmill.llm.tokens import Encoder  # noqa: E402
 
@@ -535,3 +535,20 @@ def test_places_of_smallest_grams(monkeypatch):
         want = np.lib.stride_tricks.sliding_window_view(grams, width).argmin(axis=1) + np.arange(1001 - width)
         assert (substring_dedup._places(grams, width) == want).all()
     assert not len(substring_dedup._places(grams[:5], 18))
+
+
+def test_encode_all_looks_each_piece_up_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    bits = ["a", "é", " ", "  ", "\n", ".", ",", "'s", "1", "Ω", "\x85", "\x1c", "word", "\t", "don't", "<|endoftext|>", "!?", "ɐ", "中", "\n\n", ". ", "-", " b"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 9))) for _ in range(3000)] + [None, "", "Plain words, said twice.\nPlain words, said", ""]
+    own = Encoder()
+    monkeypatch.setattr(tokens, "SPLIT_BYTES", 5000)
+    got = own.encode_all(pa.array(["left out", *texts])[1:])
+    want = [own.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, own.dtype).tolist() for ids in got] == want
+    assert list(own.encode_all(pa.array([], pa.string()))) == [] and list(own.encode_all(pa.array([None, ""], pa.string()))) == [b"", b""]
+
+    asked = []
+    monkeypatch.setattr(tokens.Pieces, "__getitem__", lambda self, piece: asked.append(piece) or dict.__getitem__(self, piece), raising=False)
+    list(own.encode_all(pa.array(["three words.\nthree", " words three."] * 50)))
+    assert len(asked) == len(set(asked)) == 5
