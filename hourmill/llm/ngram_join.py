@@ -11,8 +11,11 @@ last. Two similar sets then share their first common shingles within a prefix:
 
 Candidates are verified on the whole sets: all pairs where links are asked for. Where
 only groups are, large groups of copies are spared their pairs: each node is first
-checked against one other node, the one it shares most keys with; only keys that then
-still hold nodes of different components give further pairs, of those nodes only.
+checked against one other node, the one it shares most keys with. Keys that then still
+hold nodes of different components deal these into a row by chance, in which neighbours
+are checked: a number of pairs that grows with the rows, and that joins a group of near
+copies which differ among each other. This is done again while many such pairs are similar;
+only keys that still hold nodes of different components give all further pairs, of those nodes only.
 Each node carries a bit per residue class of its shingles, set if their number is odd.
 Two sets differ in at least as many shingles as these bits differ, so that most pairs that
 share a key but little else are seen to be too different where they meet, without a text.
@@ -28,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import distinct, gram_hashes, identity, mixed, packed, released, saved, table_of, utf8, word_hashes
@@ -43,6 +46,8 @@ REMEMBERED = 1 << 17
 HOT = 20_000
 #: Sets of one key that a task pairs with each other; keys of more are dealt to several tasks.
 PAIRED = 1_000
+#: Times that neighbours are checked at most, and the share of similar ones among them from which it is done again.
+TURNS, SIMILAR = 4, 0.1
 LOWEST = -(1 << 63)
 _PLACE_NAMES = {"d": "_llm_e", "h": "_llm_g", "n_shingles": "_llm_n", "component_id": "_llm_c", "leads": "_llm_l", "n_links": "_llm_k"}
 LARGEST_SMALL = 64
@@ -362,17 +367,31 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _parted(placed: DataFrame, paired: int) -> DataFrame:
+    """The rows with ``parts``, the number of parts that a key of many sets is split into."""
+    sizes = placed.groupBy("key").agg(F.ceil(F.count("*") / paired).cast("int").alias("parts"))
+    return placed.join(sizes.where("parts > 1"), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+
+
+def _may_be_similar(percent: int) -> Column:
+    """Whether sets ``x`` and ``y`` of one key may be, by sizes, places in the key and marks."""
+    need = (F.col("x.n") + F.col("y.n")) * percent
+    room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent)
+    return (
+        (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        & (room >= need)
+        & _near("x", "y", percent)
+    )
+
+
 def _all_pairs(placed: DataFrame, percent: int, paired: int, apart: bool = False) -> DataFrame:
     """Distinct pairs ``x`` < ``y`` of sets that share a key of ``placed`` (``key``, ``id``, ``n``, ``pos``, marks) and may be similar.
 
     With ``apart`` only pairs whose ``root`` differs. A key of many sets is split: each set's row goes to one part as first member and to all parts as second.
     """
-    sizes = placed.groupBy("key").agg(F.ceil(F.count("*") / paired).cast("int").alias("parts"))
-    placed = placed.join(sizes.where("parts > 1"), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    placed = _parted(placed, paired)
     x = placed.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).alias("x")
     y = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
-    need = (F.col("x.n") + F.col("y.n")) * percent
-    room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent)
     wanted = F.col("x.root") != F.col("y.root") if apart else F.lit(True)
     met = x.join(
         y,
@@ -380,13 +399,32 @@ def _all_pairs(placed: DataFrame, percent: int, paired: int, apart: bool = False
         & (F.col("x.key") == F.col("y.key"))
         & (F.col("x.part") == F.col("y.part"))
         & (F.col("x.id") < F.col("y.id"))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-        & (room >= need)
-        & _near("x", "y", percent),
+        & _may_be_similar(percent),
     )
     return met.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct()
 
 
+def _neighbours(placed: DataFrame, percent: int, paired: int, turn: int) -> DataFrame:
+    """Distinct pairs ``x`` < ``y`` of different ``root`` that may be similar and follow each other in a key.
+
+    The sets of a key, or of a part of a long one, follow in an order dealt by chance, another one for each key and turn.
+    """
+    dealt = _parted(placed, paired).withColumn("place", F.xxhash64(F.lit(turn), "key", "id"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("place"), F.col("parts")))
+    one = F.struct("id", "n", "pos", "root", *_MARKS)
+    after = F.lead(one).over(Window.partitionBy("key", "part").orderBy("place", "id"))
+    met = dealt.select(one.alias("x"), after.alias("y")).where((F.col("x.root") != F.col("y.root")) & _may_be_similar(percent))
+    return met.select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y")).distinct()
+
+
+def _apart(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of keys that, given these links, still hold sets of several components, with the ``root`` of each set."""
+    rooted = placed.drop("root").join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    r = F.xxhash64("root")
+    several = rooted.groupBy("key").agg(F.min(r).alias("lo"), F.max(r).alias("hi")).where("lo != hi")
+    return saved(rooted.join(several.select("key"), "key", "left_semi"), "ngram-rest")
+
+
 def _merged_keys(placed: DataFrame) -> DataFrame:
     """Keys that hold sets of several components ``r``, each with one number for all keys of the same sets.
 
@@ -461,9 +499,18 @@ def similar_links(
     # Sets that meet under many keys meet once; the first place of all is the loosest bound, so no pair is lost.
     traits = [F.col("merged").alias("key"), "id", "n", "root", *_MARKS]
     rest = saved(placed.join(mixed_keys, "key").groupBy(*traits).agg(F.min("pos").alias("pos")), "ngram-rest")
+    links, checked = first_links, one_each.select(F.col("lo").alias("x"), F.col("hi").alias("y"))
+    for turn in range(TURNS):
+        beside = saved(_neighbours(rest, percent, paired, turn).join(checked, ["x", "y"], "left_anti"), "ngram-pairs")
+        similar = saved(verified(beside), "ngram-links")
+        n_beside, n_similar = beside.count(), similar.count()
+        links, checked = links.unionByName(similar), checked.unionByName(beside)
+        if n_similar:
+            rest = _apart(rest, links)
+        if n_similar <= SIMILAR * n_beside:
+            break
     further = _all_pairs(rest, percent, paired, apart=True)
-    later = further.join(one_each.select(F.col("lo").alias("x"), F.col("hi").alias("y")), ["x", "y"], "left_anti")
-    return first_links.unionByName(verified(later))
+    return links.unionByName(verified(further.join(checked, ["x", "y"], "left_anti")))
 
 
 def _placed(docs: DataFrame, shingle: int, percent: int, every: bool, paired: int = PAIRED) -> DataFrame:

@@ -552,3 +552,26 @@ def test_encode_all_looks_each_piece_up_once(monkeypatch):
     monkeypatch.setattr(tokens.Pieces, "__getitem__", lambda self, piece: asked.append(piece) or dict.__getitem__(self, piece), raising=False)
     list(own.encode_all(pa.array(["three words.\nthree", " words three."] * 50)))
     assert len(asked) == len(set(asked)) == 5
+
+
+def test_pairs_of_a_group_of_near_copies_grow_with_its_size(spark, monkeypatch):
+    """Copies of which only some pairs are similar, so one check of each leaves many apart."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for place in rng.choice(200, 2 if i % 4 else 1, replace=False):
+            words[place] = f"x{i}y{place}"
+        rows.append((i, " ".join(words)))
+    made, all_pairs = [], ngram_join._all_pairs
+
+    def counted(*args, **kwargs):
+        pairs = all_pairs(*args, **kwargs)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_all_pairs", counted)
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), links=False).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(rows)
+    assert made[0] <= 2 * len(rows)
