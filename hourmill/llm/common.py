@@ -7,6 +7,7 @@ import ctypes
 import functools
 import gc
 import shutil
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -174,11 +175,18 @@ def give_back() -> None:
         trim(0)
 
 
+def let_go() -> None:
+    """What tokenising tasks remember for each other goes, in a worker that turns to other work."""
+    if vars(sys).pop("_llm_token_pieces", None):
+        give_back()
+
+
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """The same function over batches, after which a reused worker keeps no memory of its task."""
+    """The same function over batches, before which a reused worker lets go of tokens and after which it keeps no memory of its task."""
 
     @functools.wraps(run)
     def whole(batches: Iterator) -> Iterator:
+        let_go()
         yield from run(batches)
         give_back()
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, released, saved, table_of
+from .common import give_back, let_go, released, saved, table_of
 
 MAX_LABELLED = 200_000
 MAX_TERMS = 5_000
@@ -235,6 +235,7 @@ def toxicity(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         matcher = Matcher(model)
         for texts in parts:
             yield pd.Series([matcher.score(t) for t in texts], dtype="float64")

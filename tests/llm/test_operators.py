@@ -18,7 +18,7 @@ import brute  # noqa: E402
 from hourmill.llm.common import word_hashes  # noqa: E402
 from hourmill.llm import chat_format, decontaminate, licenses, nearest, ngram_join, packing, substring_dedup  # noqa: E402
 from hourmill.llm import token_files, tokens, toxicity, url_filter  # noqa: E402
-from hourmill.llm.common import new_path  # noqa: E402
+from hourmill.llm.common import new_path, released  # noqa: E402
 from hourmill.llm.tokens import Encoder  # noqa: E402
 
 SCHEMA = "doc_id long, text string, n_words string, score string, items string, d string, h string"
@@ -575,3 +575,11 @@ def test_pairs_of_a_group_of_near_copies_grow_with_its_size(spark, monkeypatch):
     got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), links=False).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(rows)
     assert made[0] <= 2 * len(rows)
+
+
+def test_workers_forget_tokens_before_other_work():
+    held = []
+    Encoder().encode("some words")
+    list(released(lambda batches: held.append("_llm_token_pieces" in vars(sys)) or batches)(iter([])))
+    assert held == [False]
+    assert Encoder().encode("some words") == Encoder().encode("some words") != b""
