@@ -13,7 +13,6 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -49,11 +48,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def packed(text: Column) -> Column:
     """The text compressed, for a shuffle of whole texts."""
 
-    @F.pandas_udf("binary")
-    def pack(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def pack(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         compress = zstandard.ZstdCompressor(3).compress
         for texts in parts:
-            yield pd.Series([None if t is None else compress(t.encode()) for t in texts], dtype="object")
+            yield pa.array([None if t is None else compress(t) for t in utf8(texts)], pa.binary())
 
     return pack(text)
 

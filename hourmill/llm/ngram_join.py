@@ -115,14 +115,19 @@ def _nodes(shingle: int):
 
         def fold():
             nonlocal pending, tokens, counts, waiting
-            new = np.sort(np.concatenate(pending))
+            new, pending, waiting = np.concatenate(pending), [], 0
+            new.sort()
             firsts = np.flatnonzero(np.r_[True, new[1:] != new[:-1]])
             more = np.diff(np.r_[firsts, len(new)])
-            both = np.concatenate([tokens, new[firsts]])
-            by = np.argsort(both, kind="stable")
-            both, weight = both[by], np.concatenate([counts, more])[by]
-            firsts = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
-            tokens, counts, pending, waiting = both[firsts], np.add.reduceat(weight, firsts), [], 0
+            new = new[firsts]
+            at = np.searchsorted(tokens, new)
+            old = np.flatnonzero(at < len(tokens))
+            old = old[tokens[at[old]] == new[old]]
+            counts[at[old]] += more[old]
+            fresh = np.ones(len(new), bool)
+            fresh[old] = False
+            at = at[fresh]
+            tokens, counts = np.insert(tokens, at, new[fresh]), np.insert(counts, at, more[fresh])
             if len(tokens) > MAX_COUNTED:  # counts serve the order of shingles only, where any order is right
                 tokens, counts = tokens[counts > 1], counts[counts > 1]
 

@@ -35,9 +35,9 @@ BY_LENGTH = (128, 112 << 8, 4 << 16)
 CODES, LONGEST_CODED = sum(BY_LENGTH), 40
 MAX_HOT_KEYS = 1 << 20
 ALONE = -(1 << 63)
-SEEN_LIMIT = 200_000
+SEEN_LIMIT = 50_000
 #: Texts whose words a task holds at a time, in bytes; words it counts before it drops rare ones; rows it sends at once.
-HELD_BYTES, MAX_WORDS, SENT = 1 << 20, CODES + CODES // 2, 1 << 16
+HELD_BYTES, MAX_WORDS, SENT = 1 << 19, CODES + CODES // 2, 1 << 14
 #: Grams compare by their bits above these, which hold a place while the smallest is looked for.
 PLACE_BITS = 20
 
@@ -52,11 +52,11 @@ _STATS_ARROW = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("word", pa
 
 
 class Codes(dict):
-    """Self-delimiting codes of words: one to three bytes, or the word between 0xFE and 0xFF."""
+    """Self-delimiting codes of words, joined by spaces: one to three bytes, or the word between 0xFE and 0xFF."""
 
-    def __init__(self, words: list[bytes]):
+    def __init__(self, words: bytes):
         one, two, _ = BY_LENGTH
-        for i, w in enumerate(words[:CODES]):
+        for i, w in enumerate(words.split(b" ")[:CODES] if words else ()):
             if i < one:
                 self[w] = bytes([i])
             elif i < one + two:
@@ -189,13 +189,32 @@ def _survey(window: int):
     return run
 
 
-def _split(window: int, coded: list[bytes], hot: np.ndarray):
+class Seen:
+    """Packed strings and the first place each had, remembered up to a bound; places are numbers of an array, not objects."""
+
+    def __init__(self):
+        self.at: dict[bytes, int] = {}
+        self.places = np.empty((SEEN_LIMIT, 3), np.int64)
+
+    def earlier(self, piece: bytes, place: tuple[int, int, int]) -> bool:
+        """Whether the string was seen at an earlier place; if not, it is now seen at this one."""
+        known = self.at.get(piece)
+        if known is not None and tuple(self.places[known].tolist()) < place:
+            return True
+        if known is None:
+            if len(self.at) >= SEEN_LIMIT:
+                self.at.clear()
+            known = self.at[piece] = len(self.at)
+        self.places[known] = place
+        return False
+
+
+def _split(window: int, coded: bytes, hot: np.ndarray):
     """Super-k-mers of documents, less those an earlier equal one of the same task makes repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes(coded)
-        seen: dict[bytes, tuple[int, int, int]] = {}
-        seen_before = seen.get
+        seen = Seen()
         for batch in batches:
             d_all, h_all = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             order = np.lexsort((h_all, d_all))
@@ -220,16 +239,11 @@ def _split(window: int, coded: list[bytes], hot: np.ndarray):
                 pieces = [blob[a:b] for a, b in zip(at[starts].tolist(), at[starts + counts - 1 + window].tolist())]
                 for k, place in enumerate(zip(d.tolist(), h.tolist(), begins.tolist())):
                     piece = pieces[k]
-                    first = seen_before(piece)
-                    if first is not None and first < place:
+                    if seen.earlier(piece, place):
                         pieces[k] = None
                         buckets[k] ^= place[0]
-                        continue
-                    if buckets[k] == ALONE:
+                    elif buckets[k] == ALONE:
                         buckets[k] = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
-                    if len(seen) >= SEEN_LIMIT:
-                        seen.clear()
-                    seen[piece] = place
                 columns = {"key": buckets, "d": d, "h": h, "start": begins, "n": counts, "words": pieces}
                 for first in range(0, len(d), SENT):
                     yield table_of({name: c[first : first + SENT] for name, c in columns.items()}, _SUPER_ARROW)
@@ -320,7 +334,7 @@ def repeated_spans(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) ->
         return [r[column] for r in top.select(column).collect()]
 
     hot, words = most(0, "key", MAX_HOT_KEYS), [bytes(w) for w in most(1, "word", CODES)]
-    supers = docs.select(*identity(), "text").mapInArrow(released(_split(window, words, np.sort(np.array(hot, np.int64)))), _SUPER)
+    supers = docs.select(*identity(), "text").mapInArrow(released(_split(window, b" ".join(words), np.sort(np.array(hot, np.int64)))), _SUPER)
     sorted_rows = supers.repartition("key").sortWithinPartitions("key", "d", "h", "start")
     return sorted_rows.mapInArrow(released(_count(window)), _SPANS)
 

@@ -16,7 +16,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -233,12 +232,12 @@ def fit(
 def toxicity(text: Column, model: Model) -> Column:
     """Probability that the text is toxic; null and empty texts get that of a text without matches."""
 
-    @F.pandas_udf("double")
-    def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         let_go()
         matcher = Matcher(model)
         for texts in parts:
-            yield pd.Series([matcher.score(t) for t in texts], dtype="float64")
+            yield pa.array([matcher.score(t.as_py()) for t in texts], pa.float64())
         del matcher
         give_back()
 

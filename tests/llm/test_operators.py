@@ -583,3 +583,44 @@ def test_workers_forget_tokens_before_other_work():
     list(released(lambda batches: held.append("_llm_token_pieces" in vars(sys)) or batches)(iter([])))
     assert held == [False]
     assert Encoder().encode("some words") == Encoder().encode("some words") != b""
+
+
+def random_texts(n, columns, words=4_000):
+    rng = np.random.default_rng(3)
+    for i in range(n):
+        text = " ".join(map(str, rng.integers(0, 1 << 30, words).tolist()))
+        row = {"d": pa.array([i]), "h": pa.array([0]), "text": pa.array([text])}
+        yield pa.RecordBatch.from_arrays([row[c] for c in columns], names=columns)
+
+
+def traced(run, batches):
+    tracemalloc.start()
+    try:
+        return sum(b.num_rows for b in run(batches)), tracemalloc.get_traced_memory()[1] >> 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_split_remembers_strings_with_a_bounded_memory():
+    rows, peak = traced(substring_dedup._split(20, [], np.empty(0, np.int64)), random_texts(320, ["d", "h", "text"]))
+    assert rows > 100_000
+    assert peak < 50
+
+
+def test_seen_keeps_the_earliest_place(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SEEN_LIMIT", 2)
+    seen = substring_dedup.Seen()
+    assert not seen.earlier(b"a", (5, 0, 1)) and not seen.earlier(b"a", (5, 0, 1)) and not seen.earlier(b"a", (4, 9, 9))
+    assert seen.earlier(b"a", (4, 9, 10)) and seen.earlier(b"a", (5, -1, 0)) and not seen.earlier(b"b", (-(1 << 63), 0, 0))
+    assert not seen.earlier(b"c", (7, 0, 0)) and not seen.earlier(b"a", (9, 0, 0)) and seen.earlier(b"c", (7, 0, 1))
+
+
+def test_nodes_count_shingles_with_a_bounded_memory(monkeypatch):
+    _, peak = traced(ngram_join._nodes(5), random_texts(400, ["d", "h", "text"]))
+    assert peak < 60
+    monkeypatch.setattr(ngram_join, "FOLDED", 7)
+    texts = ["a b c d e f", "c d e f g", "b c d x", "", "c d e f a b c d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array([0] * 5), pa.array(texts)], names=["d", "h", "text"])
+    got = {t: n for r in ngram_join._nodes(2)(iter([batch])) for k, t, n in zip(r["kind"].to_pylist(), r["token"].to_pylist(), r["df"].to_pylist()) if k}
+    counts = Counter(s for t in texts for s in ngram_join.shingle_set(t, 2).view(np.int64).tolist())
+    assert got == {s: n for s, n in counts.items() if n > 1}
