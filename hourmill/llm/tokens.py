@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -14,6 +16,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END = 0
 #: Latin letters below this, after a space or not, are one pre-token, which goes straight to the tokenizer's model.
 WORD_END = "\u0250"
+_BELOW_END = re.compile(f"[^{WORD_END}-\U0010ffff]*", re.DOTALL)
 CLOSING = ".,;:!?*#$%&"
 #: Bytes of texts that are split at once.
 SPLIT_BYTES = 4 << 20
@@ -50,8 +53,9 @@ class Pieces(dict):
 
     def __init__(self, tokenizer, dtype: np.dtype):
         self.encode, self.kind, self.older = tokenizer.encode, {2: "H", 4: "I"}[dtype.itemsize], {}
-        self.tokenize, self.shown = tokenizer.model.tokenize, byte_characters()
-        self.space = chr(self.shown[0x20])
+        hidden = byte_characters()
+        self.tokenize, self.shown = tokenizer.model.tokenize, "".join(chr(hidden.get(b, b)) for b in range(256))
+        self.below_end, self.show = _BELOW_END.fullmatch, codecs.charmap_decode
 
     def __missing__(self, piece: str) -> bytes | None:
         ids = self.older.get(piece)
@@ -65,11 +69,8 @@ class Pieces(dict):
         return ids
 
     def _ids(self, piece: str) -> bytes | None:
-        if piece[piece[0] == " " :].isalpha() and (piece.isascii() or max(piece) < WORD_END):
-            if piece.isascii():  # its letters are shown as they are
-                shown = self.space + piece[1:] if piece[0] == " " else piece
-            else:
-                shown = piece.encode().decode("latin-1").translate(self.shown)
+        if piece[piece[0] == " " :].isalpha() and (piece.isascii() or self.below_end(piece)):
+            shown = self.show(piece.encode(), "strict", self.shown)[0]
             return array(self.kind, [t.id for t in self.tokenize(shown)]).tobytes()
         if piece != "\n" and (piece == " " or piece[piece[0] == " "].isspace() or piece[-1].isspace()):
             return None
@@ -100,6 +101,21 @@ def _starts(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray
     return np.flatnonzero(cut)
 
 
+def strings(texts: pa.StringArray) -> list[str]:
+    """The strings of an array without nulls, decoded together and cut where characters begin."""
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[texts.offset :][: len(texts) + 1]
+    if not len(texts) or bounds[0] == bounds[-1]:
+        return [""] * len(texts)
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
+    whole = str(raw, "utf-8")
+    bounds = bounds - bounds[0]
+    if len(whole) != len(raw):
+        bounds = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)][bounds]
+    at = bounds.tolist()
+    return [whole[a:b] for a, b in zip(at, at[1:])]
+
+
 def _pieces_of(name: str, tokenizer, dtype: np.dtype) -> Pieces:
     """One memory per worker process and tokenizer, so that a task goes on with what earlier ones have learned."""
     known = vars(sys).setdefault("_llm_token_pieces", {})
@@ -163,11 +179,13 @@ class Encoder:
         bounds = pa.py_buffer(np.append(starts, ends[-1]).astype(np.int32))
         pieces = pa.StringArray.from_buffers(len(starts), bounds, data).dictionary_encode()
         which = pieces.indices.to_numpy()
-        found = list(map(self._pieces.__getitem__, pieces.dictionary.to_pylist()))
-        unsure = np.array([ids is None for ids in found])
-        known = [ids or b"" for ids in found]
-        sizes = np.array([len(ids) for ids in known]) // self.dtype.itemsize
-        ids, firsts = np.frombuffer(b"".join(known), self.dtype), np.cumsum(sizes) - sizes
+        found = list(map(self._pieces.__getitem__, strings(pieces.dictionary)))
+        unsure = np.zeros(len(found), bool)
+        if None in found:
+            unsure[:] = [ids is None for ids in found]
+            found = [ids or b"" for ids in found]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        ids, firsts = np.frombuffer(b"".join(found), self.dtype), np.cumsum(sizes) - sizes
         sums = np.r_[0, np.cumsum(sizes[which])]
         whole = ids[np.repeat(firsts[which] - sums[:-1], sizes[which]) + np.arange(sums[-1])].tobytes()
         at = (sums[np.searchsorted(starts, np.append(begins, ends[-1]))] * self.dtype.itemsize).tolist()

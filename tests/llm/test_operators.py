@@ -624,3 +624,17 @@ def test_nodes_count_shingles_with_a_bounded_memory(monkeypatch):
     got = {t: n for r in ngram_join._nodes(2)(iter([batch])) for k, t, n in zip(r["kind"].to_pylist(), r["token"].to_pylist(), r["df"].to_pylist()) if k}
     counts = Counter(s for t in texts for s in ngram_join.shingle_set(t, 2).view(np.int64).tolist())
     assert got == {s: n for s, n in counts.items() if n > 1}
+
+
+def test_pieces_are_decoded_together():
+    texts = ["left out", "", "éɐ \U0001f600", "plain", "\n", "", "wąski "]
+    for part in (texts, texts[:1], ["a", " b"], [""], []):
+        assert tokens.strings(pa.array(part, pa.string())) == part
+    assert tokens.strings(pa.array(texts)[2:5]) == texts[2:5] and tokens.strings(pa.array(texts)[5:6]) == [""]
+
+
+def test_latin_words_have_the_library_s_ids():
+    own = Encoder()
+    for word in ["plain", " plain", "Übung", " élève", "wąski", " ɏɎ", " ɐa", "aɐ", " ß", "ÿ", "ª", " привет"]:
+        ids = own.tokenizer.encode(word, add_special_tokens=False).ids
+        assert own._pieces._ids(word) == np.array(ids, own.dtype).tobytes(), word
