@@ -24,6 +24,8 @@ from .tokens import END, TOKENIZER, Encoder
 STEP = 64
 BLOCK_IDS = 1 << 16
 LONGEST_CODE = 16
+#: Pieces of text a task remembers, and as many older ones: no other work shares its executor, so twice as many as elsewhere.
+REMEMBERED = 500_000
 
 _IDS = "kind int, doc_id long, part int, turn long, start long, n long, ids binary, token long"
 _IDS_ARROW = pa.schema(
@@ -133,7 +135,7 @@ class Decoder:
 
 def _tokenise(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = Encoder(tokenizer, REMEMBERED), TaskContext.get().partitionId()
         start = turn = 0
         counts = np.zeros(0, np.int64)
 

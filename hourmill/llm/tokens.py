@@ -133,7 +133,7 @@ class Encoder:
     of an added token, are encoded as they are.
     """
 
-    def __init__(self, name: str = TOKENIZER):
+    def __init__(self, name: str = TOKENIZER, remembered: int = Pieces.LIMIT):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
@@ -141,6 +141,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._splits = "ByteLevel" in str(type(self.tokenizer.pre_tokenizer).__name__) and self.tokenizer.normalizer is None
         self._pieces = _pieces_of(name, self.tokenizer, self.dtype)
+        self._pieces.LIMIT = remembered
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian ids of ``dtype``."""

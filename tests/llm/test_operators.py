@@ -638,3 +638,16 @@ def test_latin_words_have_the_library_s_ids():
     for word in ["plain", " plain", "Übung", " élève", "wąski", " ɏɎ", " ɐa", "aɐ", " ß", "ÿ", "ª", " привет"]:
         ids = own.tokenizer.encode(word, add_special_tokens=False).ids
         assert own._pieces._ids(word) == np.array(ids, own.dtype).tobytes(), word
+
+
+def test_token_files_remember_more_pieces(monkeypatch):
+    monkeypatch.setattr(token_files, "TaskContext", type("Context", (), {"get": classmethod(lambda c: c), "partitionId": staticmethod(lambda: 0)}))
+    monkeypatch.setattr(token_files, "REMEMBERED", 300)
+    vars(sys).pop("_llm_token_pieces", None)
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([" ".join(f"q{i}" for i in range(1_000))])], names=["doc_id", "text"])
+    (row, _) = token_files._tokenise(tokens.TOKENIZER)(iter([batch]))
+    known = Encoder()._pieces
+    assert 0 < len(known) <= tokens.Pieces.LIMIT == known.LIMIT and len(known.older) == 300
+    ids = Encoder().tokenizer.encode(batch["text"][0].as_py(), add_special_tokens=False).ids
+    assert row["ids"][0].as_py() == np.array([*ids, tokens.END], Encoder().dtype).tobytes()
+    vars(sys).pop("_llm_token_pieces")
