@@ -40,11 +40,31 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The rows from a table written in the shared folder: later steps neither repeat the work nor lose it."""
-    path = new_path(df.sparkSession, name)
+    return _written(df, new_path(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that serve one step only: they go as the block ends, so nothing returned from it may read them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, new_path(spark, "scratch")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        return _written(df, f"{self.path}/{name}-{uuid.uuid4().hex}")
+
+    def __exit__(self, *_) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def packed(text: Column) -> Column:
     """The text compressed, for a shuffle of whole texts."""
 

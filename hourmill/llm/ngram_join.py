@@ -24,7 +24,7 @@ Links and components stay distributed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from itertools import combinations
 
@@ -34,8 +34,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import distinct, gram_hashes, identity, mixed, packed, released, saved, table_of, utf8, word_hashes
+from .common import Scratch, distinct, gram_hashes, identity, mixed, packed, released, saved, table_of, utf8, word_hashes
 
+Save = Callable[[DataFrame, str], DataFrame]
 FREQUENT = 8
 MAX_FREQUENT = 1 << 20
 #: Bounds of a task's memory: shingles counted, shingles waiting to be counted, rows sent at once, shingles kept for verification.
@@ -345,7 +346,7 @@ def _verify(shingle: int, percent: int):
     return run
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, saved: Save = saved) -> DataFrame:
     """``id`` and ``root`` (smallest id reachable) of all nodes of ``links`` (``x``, ``y``).
 
     Each round takes the smallest label among neighbours and then that node's own
@@ -422,9 +423,9 @@ def _neighbours(placed: DataFrame, percent: int, paired: int, turn: int) -> Data
     return met.select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y")).distinct()
 
 
-def _apart(placed: DataFrame, links: DataFrame) -> DataFrame:
+def _apart(placed: DataFrame, links: DataFrame, saved: Save) -> DataFrame:
     """Rows of keys that, given these links, still hold sets of several components, with the ``root`` of each set."""
-    rooted = placed.drop("root").join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rooted = placed.drop("root").join(components(links, saved), "id", "left").withColumn("root", F.coalesce("root", "id"))
     r = F.xxhash64("root")
     several = rooted.groupBy("key").agg(F.min(r).alias("lo"), F.max(r).alias("hi")).where("lo != hi")
     return saved(rooted.join(several.select("key"), "key", "left_semi"), "ngram-rest")
@@ -446,7 +447,7 @@ def _merged_keys(placed: DataFrame) -> DataFrame:
 
 
 def similar_links(
-    docs: DataFrame, nodes: DataFrame, shingle: int, percent: int, every: bool = True, paired: int = PAIRED
+    docs: DataFrame, nodes: DataFrame, shingle: int, percent: int, every: bool = True, paired: int = PAIRED, saved: Save = saved
 ) -> DataFrame:
     """Links ``x``, ``y`` between distinct sets: every one, or only such as yield the same components."""
     spark = docs.sparkSession
@@ -497,7 +498,7 @@ def similar_links(
     one_each = one_each.groupBy(*pair).agg(F.min(F.struct("x", "y")).alias("pair"))  # the partner of many comes second
     one_each = saved(one_each.select("lo", "hi", "pair.*"), "ngram-pairs")
     first_links = saved(verified(one_each.select("x", "y")), "ngram-links")
-    roots = components(first_links)
+    roots = components(first_links, saved)
     rooted = chosen.drop("d", "h").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     placed = shared.drop("n").join(rooted, "a").select("key", "id", "n", "pos", "root", *_MARKS)
     mixed_keys = _merged_keys(placed.select("key", "id", F.xxhash64("root").alias("r")))
@@ -511,7 +512,7 @@ def similar_links(
         n_beside, n_similar = beside.count(), similar.count()
         links, checked = links.unionByName(similar), checked.unionByName(beside)
         if n_similar:
-            rest = _apart(rest, links)
+            rest = _apart(rest, links, saved)
         if n_similar <= SIMILAR * n_beside:
             break
     further = _all_pairs(rest, percent, paired, apart=True)
@@ -520,10 +521,16 @@ def similar_links(
 
 def _placed(docs: DataFrame, shingle: int, percent: int, every: bool, paired: int = PAIRED) -> DataFrame:
     """Per document (``d``, ``h``): set size, component, whether it is the first of its component and, given all links, their number."""
+    with Scratch(docs.sparkSession) as scratch:
+        return saved(_places(docs, shingle, percent, every, paired, scratch.saved), "ngram-places")
+
+
+def _places(docs: DataFrame, shingle: int, percent: int, every: bool, paired: int, saved: Save) -> DataFrame:
     nodes = saved(docs.select(*identity(), "text").mapInArrow(released(_nodes(shingle)), _NODES), "ngram-nodes")
     per_doc = nodes.where("kind = 0").select("d", "h", "id", "n").distinct()
-    links = saved(similar_links(docs, nodes, shingle, percent, every, paired), "ngram-all-links")
-    roots = components(links)
+    with Scratch(docs.sparkSession) as scratch:
+        links = saved(similar_links(docs, nodes, shingle, percent, every, paired, scratch.saved), "ngram-all-links")
+    roots = components(links, saved)
     grouped = per_doc.where("id is not null").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     firsts = grouped.groupBy("root").agg(
         F.min(F.when(F.col("d") != F.lit(LOWEST).cast("long"), F.col("d"))).alias("component"), F.min(F.struct("d", "h")).alias("first")

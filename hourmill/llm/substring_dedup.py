@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, gram_hashes, identity, packed, released, saved, table_of, word_hashes
+from .common import Scratch, chunks, gram_hashes, identity, packed, released, table_of, word_hashes
 
 GRAM = 3
 #: Words with one-, two- and three-byte codes.
@@ -322,18 +322,19 @@ def repeated_spans(docs: DataFrame, window: int = 20, hot_rows: int = 20_000) ->
     if window < GRAM:
         raise ValueError(f"a window has {GRAM} words at least")
     texts = docs.select("text")
-    stats = saved(
+    often = (
         texts.mapInArrow(released(_survey(window)), _STATS).groupBy("kind", "key", "word").agg(F.sum("n").alias("n"))
-        .where((F.col("kind") == 1) | (F.col("n") > hot_rows)),
-        "grams",
+        .where((F.col("kind") == 1) | (F.col("n") > hot_rows))
     )
 
-    def most(kind: int, column: str, limit: int) -> list:
+    def most(stats: DataFrame, kind: int, column: str, limit: int) -> list:
         """The most frequent ones: at most ``limit`` numbers, or words of LONGEST_CODED bytes."""
         top = stats.where(F.col("kind") == kind).orderBy(F.desc("n"), column).limit(limit)
         return [r[column] for r in top.select(column).collect()]
 
-    hot, words = most(0, "key", MAX_HOT_KEYS), [bytes(w) for w in most(1, "word", CODES)]
+    with Scratch(docs.sparkSession) as scratch:
+        stats = scratch.saved(often, "grams")
+        hot, words = most(stats, 0, "key", MAX_HOT_KEYS), [bytes(w) for w in most(stats, 1, "word", CODES)]
     supers = docs.select(*identity(), "text").mapInArrow(released(_split(window, b" ".join(words), np.sort(np.array(hot, np.int64)))), _SUPER)
     sorted_rows = supers.repartition("key").sortWithinPartitions("key", "d", "h", "start")
     return sorted_rows.mapInArrow(released(_count(window)), _SPANS)

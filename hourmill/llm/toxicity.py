@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, let_go, released, saved, table_of
+from .common import Scratch, give_back, let_go, released, table_of
 
 MAX_LABELLED = 200_000
 MAX_TERMS = 5_000
@@ -191,6 +191,13 @@ def fit(
     so. Without both labels the model scores every document
     practically 0.
     """
+    with Scratch(docs.sparkSession) as scratch:  # the model is held by the driver
+        return _fit(docs, labels, exceptions, max_labelled, scratch.saved)
+
+
+def _fit(
+    docs: DataFrame, labels: DataFrame, exceptions: Sequence[str], max_labelled: int, saved: Callable[[DataFrame, str], DataFrame]
+) -> Model:
     usable = labels.where(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = saved(
         usable.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))

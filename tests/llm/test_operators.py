@@ -18,7 +18,7 @@ import brute  # noqa: E402
 from hourmill.llm.common import word_hashes  # noqa: E402
 from hourmill.llm import chat_format, decontaminate, licenses, nearest, ngram_join, packing, substring_dedup  # noqa: E402
 from hourmill.llm import token_files, tokens, toxicity, url_filter  # noqa: E402
-from hourmill.llm.common import new_path, released  # noqa: E402
+from hourmill.llm.common import Scratch, new_path, released, shared_folder  # noqa: E402
 from hourmill.llm.tokens import Encoder  # noqa: E402
 
 SCHEMA = "doc_id long, text string, n_words string, score string, items string, d string, h string"
@@ -651,3 +651,24 @@ def test_token_files_remember_more_pieces(monkeypatch):
     ids = Encoder().tokenizer.encode(batch["text"][0].as_py(), add_special_tokens=False).ids
     assert row["ids"][0].as_py() == np.array([*ids, tokens.END], Encoder().dtype).tobytes()
     vars(sys).pop("_llm_token_pieces")
+
+
+def test_tables_of_one_step_do_not_stay(spark):
+    rows = [(d, "vile " * 3 * (d % 9 == 0) + " ".join(f"t{d % 60}x{i}" for i in range(30))) for d in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d % 9 == 0)) for d, _ in rows], "doc_id long, toxic int")
+    shared = Path(shared_folder(spark))
+    there = set(shared.iterdir())
+    assert {r.doc_id for r in toxicity.score_toxicity(docs, labels).where("predicted = 1").collect()} == set(range(0, 90, 9))
+    cut = substring_dedup.substring_dedup(docs).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in cut} == brute.substring_dedup(rows)
+    assert set(shared.iterdir()) == there
+    alone = ngram_join.without_near_duplicates(docs)
+    (places,) = set(shared.iterdir()) - there
+    assert places.name.startswith("llm-ngram-places-")
+    assert {r.doc_id for r in alone.collect()} == {d for d, (_, c) in brute.components(rows, 5, 80).items() if c == d}
+    there = set(shared.iterdir())
+    with pytest.raises(ZeroDivisionError), Scratch(spark) as scratch:
+        assert scratch.saved(labels, "rows").count() == len(rows)
+        raise ZeroDivisionError
+    assert set(shared.iterdir()) == there
